@@ -12,7 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 import oracle_queries as oq
 from livemetrics.functions.predicates import Source
-from livemetrics.plans import reports
+from pyspark.sql import functions as F
+
+from livemetrics.functions.timefn import fmt_day, fmt_ts
+from livemetrics.operators import online
+from livemetrics.operators.room import effective_play, room_broadcast, room_revenue, watch_metrics
+from livemetrics.plans import reports, room_flow
 from livemetrics.sources import standins as si
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -49,6 +54,71 @@ def q_category_users(spark: SparkSession, d: str) -> DataFrame:
                                   list(SOURCES.values()), load_time=oq.LOAD_TIME)
 
 
+BROADCAST_GAP_S = 21600  # stand-in segments are hours apart; merge within 6 h
+
+
+def _fmt(df: DataFrame, days=("day",), times=()) -> DataFrame:
+    for c in days:
+        df = df.withColumn(c, fmt_day(c))
+    for c in times:
+        df = df.withColumn(c, fmt_ts(c))
+    return df
+
+
+def q_clean_broadcasts(spark, d):
+    _prep(spark)
+    m = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S)
+    return _fmt(m, times=("begin_time", "end_time"))
+
+
+def q_dedupe_readings(spark, d):
+    _prep(spark)
+    return _fmt(online.dedupe_readings(si.online_raw(spark, d)), times=("time",))
+
+
+def q_room_online_count(spark, d):
+    _prep(spark)
+    return _fmt(room_flow.room_online_count(si.online_raw(spark, d)), times=("time",))
+
+
+def q_room_concurrency(spark, d):
+    _prep(spark)
+    oc = room_flow.room_online_count(si.online_raw(spark, d))
+    return _fmt(online.peak_and_average(oc, ["day", "room_id"], time="time"), times=("peak_time",))
+
+
+def q_room_watch(spark, d):
+    _prep(spark)
+    plays = effective_play(si.player_log(spark, d)).select(
+        F.try_to_date("date", "yyyyMMdd").alias("day"), F.trim("roomid").try_cast("long").alias("room_id"),
+        "deviceid", "play_duration")
+    return _fmt(watch_metrics(plays, ["day", "room_id"]))
+
+
+def q_room_pv_uv(spark, d):
+    _prep(spark)
+    return _fmt(online.pivot_sum(si.room_pv_uv(spark, d), ["day", "room_id"], "info_type", "count",
+                                 online.INFO_CODES))
+
+
+def q_room_revenue_orders(spark, d):
+    _prep(spark)
+    return _fmt(room_revenue(si.trades_orders(spark, d), ["day", "room_id"]))
+
+
+def q_room_broadcast(spark, d):
+    _prep(spark)
+    return _fmt(room_broadcast(si.broadcasts_raw(spark, d), ["day", "room_id"]))
+
+
+def q_daily_room_flow(spark, d):
+    _prep(spark)
+    return room_flow.daily_room_flow(
+        si.room_pv_uv(spark, d), room_flow.room_online_count(si.online_raw(spark, d)),
+        si.trades_events(spark, d), si.subscription(spark, d), si.subscription_total(spark, d),
+        si.player_log(spark, d), si.broadcasts_raw(spark, d), si.dim_room(spark, d), si.dim_category(spark, d))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily channel report over every day of the sf0.001 tables."""
     return q_channel_report(spark, SMOKE_DIR)
@@ -61,6 +131,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "p5_source_report_direct": _source_report("direct"),
         "p5_source_report_tracked": _source_report("tracked", with_bounce=False),
         "p7_category_users": q_category_users,
+        "s1_clean_broadcasts": q_clean_broadcasts,
+        "o1_dedupe_readings": q_dedupe_readings,
+        "o2_room_online_count": q_room_online_count,
+        "o3_o4_room_concurrency": q_room_concurrency,
+        "m2_room_watch": q_room_watch,
+        "m3_room_pv_uv": q_room_pv_uv,
+        "m4_room_revenue": q_room_revenue_orders,
+        "m6_room_broadcast": q_room_broadcast,
+        "m7_daily_room_flow": q_daily_room_flow,
     }
 
 
@@ -71,4 +150,13 @@ def oracle_sql() -> dict[str, str]:
         "p5_source_report_direct": oq.source_report("direct"),
         "p5_source_report_tracked": oq.source_report("tracked", with_bounce=False),
         "p7_category_users": oq.category_users(),
+        "s1_clean_broadcasts": oq.clean_broadcasts(),
+        "o1_dedupe_readings": oq.dedupe_readings(),
+        "o2_room_online_count": oq.room_online_count(),
+        "o3_o4_room_concurrency": oq.room_concurrency(),
+        "m2_room_watch": oq.room_watch(),
+        "m3_room_pv_uv": oq.room_pv_uv(),
+        "m4_room_revenue": oq.room_revenue_orders(),
+        "m6_room_broadcast": oq.room_broadcast(),
+        "m7_daily_room_flow": oq.daily_room_flow(),
     }

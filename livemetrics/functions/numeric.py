@@ -27,7 +27,7 @@ def round_half_up(x, digits: int) -> Column:
 
 def decimal0(x) -> Column:
     """Hive ``cast(x as decimal)`` (decimal(10,0), half-up) as a bigint."""
-    return F.round(_c(x).cast(DecimalType(38, 6)), 0).cast("bigint")
+    return F.round(_c(x).cast("double"), 0).cast("bigint")
 
 
 def avg_positive(x) -> Column:
