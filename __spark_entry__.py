@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from livemetrics.functions.timefn import fmt_day, fmt_ts
 from livemetrics.operators import online
 from livemetrics.operators.room import effective_play, room_broadcast, room_revenue, watch_metrics
-from livemetrics.plans import reports, room_flow
+from livemetrics.plans import play_time, reports, room_flow
 from livemetrics.sources import standins as si
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -119,6 +119,15 @@ def q_daily_room_flow(spark, d):
         si.player_log(spark, d), si.broadcasts_raw(spark, d), si.dim_room(spark, d), si.dim_category(spark, d))
 
 
+def q_room_play_time(spark, d):
+    _prep(spark)
+    sessions = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S)
+    return play_time.room_play_time(
+        sessions, si.page_view(spark, d), room_flow.room_online_count(si.online_raw(spark, d)),
+        si.trades_events(spark, d), si.player_log(spark, d), si.room_pv_uv(spark, d),
+        si.dim_room(spark, d), si.dim_category(spark, d))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily channel report over every day of the sf0.001 tables."""
     return q_channel_report(spark, SMOKE_DIR)
@@ -140,6 +149,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m4_room_revenue": q_room_revenue_orders,
         "m6_room_broadcast": q_room_broadcast,
         "m7_daily_room_flow": q_daily_room_flow,
+        "i6_room_play_time": q_room_play_time,
     }
 
 
@@ -159,4 +169,5 @@ def oracle_sql() -> dict[str, str]:
         "m4_room_revenue": oq.room_revenue_orders(),
         "m6_room_broadcast": oq.room_broadcast(),
         "m7_daily_room_flow": oq.daily_room_flow(),
+        "i6_room_play_time": oq.room_play_time(),
     }

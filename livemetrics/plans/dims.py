@@ -18,10 +18,11 @@ def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> Data
 
 
 def room_dims(rooms: DataFrame, categories: DataFrame) -> DataFrame:
-    """Valid rooms (room_id > 0) with their category: room_id, domain, user_id, user_title,
+    """Valid rooms (room_id > 0) with their category: room_id, rdomain, user_id, user_title,
     cid, cname, cdomain.  The room table itself grows with the site and is not broadcast
     by hand."""
-    r = rooms.where(F.col("room_id") > 0).select("room_id", "domain", "user_id", "user_title", "category_id")
+    r = rooms.where(F.col("room_id") > 0).select("room_id", F.col("domain").alias("rdomain"), "user_id",
+                                                 "user_title", "category_id")
     c = bounded_broadcast(categories.select(F.col("id").alias("cid"), F.col("name").alias("cname"),
                                             F.col("domain").alias("cdomain")))
     return r.join(c, r.category_id == c.cid, "left").drop("category_id")

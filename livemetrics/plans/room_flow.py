@@ -78,7 +78,7 @@ def daily_room_flow(pv_uv: DataFrame, online_counts: DataFrame, trades: DataFram
     j = j.join(room_dims(rooms, categories), "room_id", "left")
     z = lambda c, d=0: F.coalesce(F.col(c), F.lit(d))
     return j.select(
-        fmt_day("day").alias("date"), "room_id", "domain", "user_id", F.col("user_title").alias("user_group"),
+        fmt_day("day").alias("date"), "room_id", F.col("rdomain").alias("domain"), "user_id", F.col("user_title").alias("user_group"),
         F.col("cid").alias("category_id"), F.col("cname").alias("category_name"),
         F.col("cdomain").alias("category_domain"),
         "web_pv", "web_uv", "app_pv", "app_uv", F.col("bullet_screen").alias("bullet_screen_num"),
