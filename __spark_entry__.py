@@ -17,7 +17,10 @@ from pyspark.sql import functions as F
 from livemetrics.functions.timefn import fmt_day, fmt_ts
 from livemetrics.operators import online
 from livemetrics.operators.room import effective_play, room_broadcast, room_revenue, watch_metrics
-from livemetrics.plans import play_time, reports, room_flow
+from livemetrics.functions.numeric import tier
+from livemetrics.functions.predicates import valid_trades
+from livemetrics.operators import spend
+from livemetrics.plans import play_time, reports, room_flow, user_profile
 from livemetrics.sources import standins as si
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -128,6 +131,21 @@ def q_room_play_time(spark, d):
         si.dim_room(spark, d), si.dim_category(spark, d))
 
 
+def q_user_transaction(spark, d):
+    _prep(spark)
+    return user_profile.user_transaction(si.trades_orders(spark, d), oq.REPORT_DAY, oq.HISTORY_START)
+
+
+def q_rolling_spend_daily(spark, d):
+    _prep(spark)
+    t = si.trades_orders(spark, d).where(valid_trades())
+    r = spend.rolling_spend_daily(spend.daily_totals(t))
+    out = ["user_id", fmt_day("day").alias("day")]
+    for c, p in (("day_total", "day_prange"), ("week_total", "week_prange"), ("month_total", "month_prange")):
+        out += [c, tier(c).alias(p)]
+    return r.select(*out)
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily channel report over every day of the sf0.001 tables."""
     return q_channel_report(spark, SMOKE_DIR)
@@ -150,6 +168,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m6_room_broadcast": q_room_broadcast,
         "m7_daily_room_flow": q_daily_room_flow,
         "i6_room_play_time": q_room_play_time,
+        "u5_user_transaction": q_user_transaction,
+        "u1_rolling_spend_daily": q_rolling_spend_daily,
     }
 
 
@@ -170,4 +190,6 @@ def oracle_sql() -> dict[str, str]:
         "m6_room_broadcast": oq.room_broadcast(),
         "m7_daily_room_flow": oq.daily_room_flow(),
         "i6_room_play_time": oq.room_play_time(),
+        "u5_user_transaction": oq.user_transaction(),
+        "u1_rolling_spend_daily": oq.rolling_spend_daily(),
     }
