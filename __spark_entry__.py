@@ -25,12 +25,13 @@ from livemetrics.sources import standins as si
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
-# Traffic sources of the stand-in reports (regexes over the stand-in urls / tracking ids).
-SOURCES = {
-    "blog": Source.referrer_and_landing("blog", r"blog\.", "/en/"),
-    "direct": Source.empty_or_referrer_and_landing("direct", r"^https://m\.", r"example\.com"),
-    "tracked": Source.tracking_id("tracked", r"^(click|purchase)-1"),
-}
+def sources() -> dict[str, Source]:
+    """Traffic sources of the stand-in reports (regexes over the stand-in urls / tracking ids)."""
+    return {
+        "blog": Source.referrer_and_landing("blog", r"blog\.", "/en/"),
+        "direct": Source.empty_or_referrer_and_landing("direct", r"^https://m\.", r"example\.com"),
+        "tracked": Source.tracking_id("tracked", r"^(click|purchase)-1"),
+    }
 
 
 def _prep(spark: SparkSession) -> None:
@@ -46,7 +47,7 @@ def q_channel_report(spark: SparkSession, d: str) -> DataFrame:
 def _source_report(name: str, with_bounce: bool = True):
     def q(spark: SparkSession, d: str) -> DataFrame:
         _prep(spark)
-        return reports.source_report(si.pv_track(spark, d), si.page_view(spark, d), SOURCES[name],
+        return reports.source_report(si.pv_track(spark, d), si.page_view(spark, d), sources()[name],
                                      load_time=oq.LOAD_TIME, with_bounce=with_bounce)
     return q
 
@@ -54,7 +55,7 @@ def _source_report(name: str, with_bounce: bool = True):
 def q_category_users(spark: SparkSession, d: str) -> DataFrame:
     _prep(spark)
     return reports.category_users(si.page_view(spark, d), si.dim_room(spark, d), si.dim_category(spark, d),
-                                  list(SOURCES.values()), load_time=oq.LOAD_TIME)
+                                  list(sources().values()), load_time=oq.LOAD_TIME)
 
 
 BROADCAST_GAP_S = 21600  # stand-in segments are hours apart; merge within 6 h

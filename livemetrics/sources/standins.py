@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-EPOCH = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+EPOCH_TEXT = "1970-01-01 00:00:00"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -42,11 +42,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _epoch_s(ts):
-    return F.timestamp_diff("SECOND", EPOCH, ts)
+    return F.timestamp_diff("SECOND", F.lit(EPOCH_TEXT).cast("timestamp_ntz"), ts)
 
 
 def _epoch_ms(ts):
-    return F.timestamp_diff("MILLISECOND", EPOCH, ts)
+    return F.timestamp_diff("MILLISECOND", F.lit(EPOCH_TEXT).cast("timestamp_ntz"), ts)
 
 
 def _fmt(ts):
