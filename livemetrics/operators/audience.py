@@ -19,22 +19,28 @@ from livemetrics.functions.predicates import Source
 
 
 def visits(track: DataFrame, keys: Sequence[str], user: str = "uuid", session: str = "session_id_in_day",
-           seq: str = "seq_no_in_session", stay: str = "page_stay", is_new: Column | None = None) -> DataFrame:
-    """Reduce the raw track to one row per (keys, user, session): the shared input of the
-    counters, bounce and retention.  ``is_new`` is a boolean column expression."""
+           seq: str = "seq_no_in_session", stay: str = "page_stay", is_new: Column | None = None,
+           extra: Sequence[str] = ()) -> DataFrame:
+    """Reduce the raw track to one row per (keys, user, session, *extra): the single
+    shuffle of the raw rows that counters, bounce, retention (and with ``extra=["ip"]``
+    the IP count) are all computed from.  ``is_new`` is a boolean column expression."""
     new = (is_new if is_new is not None else F.col("is_new") == 1)
-    return (track.groupBy(*keys, user, session)
+    return (track.groupBy(*keys, user, session, *extra)
                  .agg(F.count(F.lit(1)).alias("_pv"),
                       F.sum(stay).alias("_stay"),
                       F.max(seq).alias("_max_seq"),
                       F.max(F.when(new, 1).otherwise(0)).alias("_new")))
 
 
-def audience(v: DataFrame, keys: Sequence[str], user: str = "uuid") -> DataFrame:
-    """P1 counters from ``visits``: pv, uv, new users, stay seconds, frequent users and ratio."""
-    per_user = (v.groupBy(*keys, user)
-                 .agg(F.sum("_pv").alias("_pv"), F.sum("_stay").alias("_stay"), F.max("_new").alias("_new")))
-    a = (per_user.groupBy(*keys)
+def user_grain(v: DataFrame, keys: Sequence[str], user: str = "uuid") -> DataFrame:
+    """One row per (keys, user) from ``visits``; shared by the counters and retention."""
+    return (v.groupBy(*keys, user)
+             .agg(F.sum("_pv").alias("_pv"), F.sum("_stay").alias("_stay"), F.max("_new").alias("_new")))
+
+
+def audience(u: DataFrame, keys: Sequence[str], user: str = "uuid") -> DataFrame:
+    """P1 counters from ``user_grain``: pv, uv, new users, stay seconds, frequent users, ratio."""
+    a = (u.groupBy(*keys)
          .agg(F.count(F.col(user)).alias("uv"),
               F.count(F.when(F.col("_new") == 1, F.col(user))).alias("new_user_cnt"),
               F.sum("_pv").cast("long").alias("pv"),
@@ -58,30 +64,32 @@ def bounce_rate(v: DataFrame, keys: Sequence[str], session_keys: Sequence[str])
     judged on all its views in both.  The window runs on the visit grain, where a
     session has one row per channel it touched.
     """
+    grain = list(dict.fromkeys([*keys, *session_keys]))
+    per_session = v.groupBy(*grain).agg(F.max("_max_seq").alias("_max_seq"))
     w = Window.partitionBy(*session_keys)
-    s = v.select(*keys, *[c for c in session_keys if c not in keys],
-                 F.max("_max_seq").over(w).alias("_smax"))
+    s = per_session.select(*grain, F.max("_max_seq").over(w).alias("_smax"))
     return (s.groupBy(*keys)
              .agg(round_half_up(safe_div(F.count_if(F.col("_smax") == 1), F.count(F.lit(1))), 4)
                   .alias("bounce_rate")))
 
 
-def retention(v: DataFrame, keys: Sequence[str], n: int, user: str = "uuid", day: str = "day",
+def retention(u: DataFrame, keys: Sequence[str], n: int, user: str = "uuid", day: str = "day",
               alias: str | None = None) -> DataFrame:
     """New users of day D-n that are active again on D, over all new users of D-n.
 
-    Result keyed by the report day D (``day``) and the other ``keys``.  Users with a
-    NULL id drop out of both counts.
+    ``u`` is the ``user_grain`` frame.  Result keyed by the report day D (``day``) and the
+    other ``keys``.  Users with a NULL id drop out of both counts.
     """
     alias = alias or f"{n}_day_retention_rate"
     others = [k for k in keys if k != day]
-    users = v.groupBy(day, *others, user).agg(F.max("_new").alias("_new"))
-    cohort = (users.where(F.col("_new") == 1)
-                   .select(F.date_add(F.col(day), n).alias(day), *others, F.col(user).alias("_cu")))
-    active = users.select(day, *others, F.col(user).alias("_au"))
-    j = cohort.join(active, [*[cohort[c] == active[c] for c in [day, *others]],
-                             cohort["_cu"] == active["_au"]], "left")
-    return (j.groupBy(*[cohort[c] for c in [day, *others]])
+    cohort = (u.where(F.col("_new") == 1)
+               .select(F.date_add(F.col(day), n).alias(day), *others, F.col(user).alias("_cu")))
+    # The active side gets its own column names: both sides come from the same frame.
+    ks = [day, *others]
+    active = u.select(*[F.col(c).alias(f"_a_{c}") for c in ks], F.col(user).alias("_au"))
+    cond = [F.col(c) == F.col(f"_a_{c}") for c in ks] + [F.col("_cu") == F.col("_au")]
+    j = cohort.join(active, cond, "left")
+    return (j.groupBy(*ks)
              .agg(round_half_up(safe_div(F.count("_au"), F.count("_cu")), 4).alias(alias)))
 
 

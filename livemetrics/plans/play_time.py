@@ -20,6 +20,7 @@ from livemetrics.operators import online
 from livemetrics.operators.attribution import attribute
 from livemetrics.operators.room import effective_play, room_revenue, watch_metrics
 from livemetrics.plans.dims import room_dims
+from livemetrics.staging import stage
 
 IV = ["room_id", "begin_time", "end_time"]
 SESSION_COLS = ["room_id", "domain", "begin_time", "end_time", "max_viewer", "accumulative_viewer_total",
@@ -83,7 +84,9 @@ def room_play_time(sessions: DataFrame, page_views: DataFrame, online_counts: Da
     times and its ``day``; ``online_counts`` the per-(time, room) pivot.  Missing metrics
     are 0 except ``peak_time``.  ``bullet_screen_num`` is 0 by definition of the table.
     """
-    s = sessions.select("day", *SESSION_COLS).distinct()
+    # The broadcasts feed five branches: stage them once (they are a small table next to
+    # the event logs, and in production the cleaned broadcast table is already stored).
+    s = stage(sessions.select("day", *SESSION_COLS).distinct(), "broadcasts")
     iv = s.select(*IV).distinct()
     t1 = session_page_views(iv, page_views, bucket_s)
     t2 = session_concurrency(iv, online_counts, bucket_s)

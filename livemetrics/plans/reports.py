@@ -13,8 +13,9 @@ from pyspark.sql import functions as F
 
 from livemetrics.functions.numeric import round_half_up, safe_div
 from livemetrics.functions.predicates import Source
+from livemetrics.staging import stage
 from livemetrics.operators.audience import (
-    audience, bounce_rate, distinct_count, join_nullsafe, label_sources, retention, visits,
+    audience, bounce_rate, distinct_count, join_nullsafe, label_sources, retention, user_grain, visits,
 )
 
 # Fixed values of the channel report: the label of each page-view type.
@@ -39,11 +40,14 @@ def channel_report(track: DataFrame, day: str = "day", pv_type: str = "pv_type",
     t = track.where(F.col(pv_type).isin(list(pv_types)))
     new = is_new if is_new is not None else (F.to_date(F.col("first_login_time")) == F.col(day))
     keys = [day, pv_type, site_type]
-    v = visits(t, keys, user=user, is_new=new)
-    t1 = join_nullsafe(audience(v, keys, user=user), distinct_count(t, keys, ip, "ip"), keys)
+    # One shuffle of the raw track (to the visit grain, IP kept as a dimension); every
+    # metric below is computed from that reduced frame.
+    v = stage(visits(t, keys, user=user, is_new=new, extra=[ip]), "channel_visits")
+    u = user_grain(v, keys, user=user)
+    t1 = join_nullsafe(audience(u, keys, user=user), distinct_count(v, keys, ip, "ip"), keys)
     t2 = bounce_rate(v, keys, session_keys=[day, user, "session_id_in_day"])
-    t3 = retention(v, keys, 1, user=user, day=day, alias="1_day_retention_rate")
-    t4 = retention(v, keys, 7, user=user, day=day, alias="7_days_retention_rate")
+    t3 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
+    t4 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
     j = join_nullsafe(join_nullsafe(join_nullsafe(t1, t2, keys), t3, keys), t4, keys)
     label = F.when(F.col(pv_type) == 1, F.lit(CHANNEL_LABELS[1])).otherwise(F.lit(CHANNEL_LABELS[2]))
     return j.select(
@@ -72,14 +76,19 @@ def source_report(track: DataFrame, page_views: DataFrame, source: Source, load_
     days; by default every day present in the track.  ``load_time`` is the load stamp
     written to ``create_time``.
     """
-    t = track.where(source.condition)
     keys = [day]
-    v = visits(t, keys, user=user, is_new=F.col("is_new") == 1)
-    a = audience(v, keys, user=user)
+    # One pass over the track: visits of every day, flagged by the source condition.  The
+    # report days come from the unflagged rows, the metrics from the flagged ones.
+    flagged = track.withColumn("_src", F.coalesce(source.condition, F.lit(False)))
+    v_all = stage(visits(flagged, keys, user=user, is_new=F.col("is_new") == 1, extra=["_src"]),
+                  "source_visits")
+    v = v_all.where(F.col("_src"))
+    u = user_grain(v, keys, user=user)
+    a = audience(u, keys, user=user)
     ips = distinct_count(page_views.where(source.condition), keys, ip, "ip")
-    r1 = retention(v, keys, 1, user=user, day=day, alias="1_day_retention_rate")
-    r7 = retention(v, keys, 7, user=user, day=day, alias="7_days_retention_rate")
-    spine = days if days is not None else track.select(day).distinct()
+    r1 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
+    r7 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
+    spine = days if days is not None else v_all.select(day).distinct()
     j = spine.join(a, keys, "left").join(ips, keys, "left").join(r1, keys, "left").join(r7, keys, "left")
     cols = ["uv", "new_user_cnt", "frequent_user_cnt", "ip", "stay_seconds"]
     if with_bounce:
