@@ -14,14 +14,18 @@ import oracle_queries as oq
 from livemetrics.functions.predicates import Source
 from pyspark.sql import functions as F
 
-from livemetrics.functions.timefn import fmt_day, fmt_ts
+from livemetrics.functions.timefn import duration_minutes, fmt_day, fmt_ts, repair_interval, tag_replay
+from livemetrics.operators import audience as aud
 from livemetrics.operators import online
-from livemetrics.operators.room import effective_play, room_broadcast, room_revenue, watch_metrics
+from livemetrics.operators.room import (
+    effective_play, room_broadcast, room_revenue, room_subscriptions, watch_metrics,
+)
 from livemetrics.functions.numeric import tier
 from livemetrics.functions.predicates import valid_trades
 from livemetrics.operators import spend
 from livemetrics.plans import play_time, reports, room_flow, user_profile
 from livemetrics.sources import standins as si
+from livemetrics.staging import stage
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -147,6 +151,113 @@ def q_rolling_spend_daily(spark, d):
     return r.select(*out)
 
 
+def _channel_visits(spark, d):
+    track = si.pv_track(spark, d).where(F.col("pv_type").isin(1, 2))
+    keys = ["day", "pv_type", "site_type"]
+    new = F.to_date("first_login_time") == F.col("day")
+    return keys, aud.visits(track, keys, is_new=new, extra=["ip"])
+
+
+def q_audience(spark, d):
+    _prep(spark)
+    keys, v = _channel_visits(spark, d)
+    a = aud.join_nullsafe(aud.audience(aud.user_grain(v, keys), keys), aud.distinct_count(v, keys, "ip", "ip"), keys)
+    return _fmt(a.select(*keys, F.coalesce("ip", F.lit(0)).cast("long").alias("ip"), "uv", "pv",
+                         F.col("stay_seconds").cast("long").alias("stay_seconds"), "new_user_cnt",
+                         "frequent_user_cnt", "frequent_user_ratio"))
+
+
+def q_bounce(spark, d):
+    _prep(spark)
+    keys, v = _channel_visits(spark, d)
+    return _fmt(aud.bounce_rate(v, keys, ["day", "uuid", "session_id_in_day"]))
+
+
+def q_retention(spark, d):
+    _prep(spark)
+    keys, v = _channel_visits(spark, d)
+    u = aud.user_grain(v, keys)
+    parts = [aud.retention(u, keys, n, alias="retention_rate").withColumn("n", F.lit(n)) for n in (1, 7)]
+    return _fmt(parts[0].unionByName(parts[1])).select(*keys, "n", "retention_rate")
+
+
+def _intervals(spark, d):
+    s = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S)
+    return stage(s.select(*play_time.IV).distinct(), "intervals")
+
+
+def _fmt_iv(df):
+    return _fmt(df, days=(), times=("begin_time", "end_time"))
+
+
+def q_session_page_views(spark, d):
+    _prep(spark)
+    iv = _intervals(spark, d)
+    t1 = play_time.session_page_views(iv, si.page_view(spark, d))
+    out = iv.join(t1, play_time.IV, "left").select(
+        *play_time.IV, F.coalesce("pv", F.lit(0)).cast("long").alias("pv"),
+        F.coalesce("uv", F.lit(0)).cast("long").alias("uv"))
+    return _fmt_iv(out)
+
+
+def q_session_concurrency(spark, d):
+    _prep(spark)
+    oc = room_flow.room_online_count(si.online_raw(spark, d))
+    return _fmt(play_time.session_concurrency(_intervals(spark, d), oc), days=(),
+                times=("begin_time", "end_time", "peak_time"))
+
+
+def q_session_revenue(spark, d):
+    _prep(spark)
+    return _fmt_iv(play_time.session_revenue(_intervals(spark, d), si.trades_events(spark, d)))
+
+
+def q_session_watch(spark, d):
+    _prep(spark)
+    return _fmt_iv(play_time.session_watch(_intervals(spark, d), si.player_log(spark, d)))
+
+
+def _valid_orders(spark, d):
+    return si.trades_orders(spark, d).where(valid_trades())
+
+
+def q_extreme_days(spark, d):
+    _prep(spark)
+    e = spend.extreme_days(spend.daily_totals(_valid_orders(spark, d)))
+    return _fmt(e, days=("most_spent_day", "first_spent_day", "last_spent_day"))
+
+
+def q_top5_items(spark, d):
+    _prep(spark)
+    return spend.top_k_string(_valid_orders(spark, d), "user_id", "item_id", "item_num", alias="top5_item")
+
+
+def q_top5_rooms(spark, d):
+    _prep(spark)
+    return spend.top_k_string(_valid_orders(spark, d), "user_id", "room_id", "price", alias="top5_room",
+                              value_format=lambda c: F.round(c, 2))
+
+
+def q_room_subscriptions(spark, d):
+    _prep(spark)
+    k = ["day", "room_id"]
+    daily = room_subscriptions(si.subscription(spark, d), k)
+    tot = si.subscription_total(spark, d)
+    out = tot.join(daily, k, "left").select(
+        *k, F.coalesce("daily_subscription", F.lit(0)).alias("daily_subscription_num"),
+        F.col("count").alias("total_subscription_num"))
+    return _fmt(out)
+
+
+def q_repaired_intervals(spark, d):
+    _prep(spark)
+    raw = si.broadcasts_raw(spark, d).where(F.col("room_id").isNotNull())
+    r = repair_interval(raw, "begin_time", "end_time")
+    out = r.select("day", "room_id", "game_id", "begin_time", "end_time", tag_replay("play_title").alias("is_live"),
+                   duration_minutes("begin_time", "end_time").alias("play_minutes"))
+    return _fmt(out, times=("begin_time", "end_time"))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily channel report over every day of the sf0.001 tables."""
     return q_channel_report(spark, SMOKE_DIR)
@@ -171,6 +282,18 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "i6_room_play_time": q_room_play_time,
         "u5_user_transaction": q_user_transaction,
         "u1_rolling_spend_daily": q_rolling_spend_daily,
+        "p1_audience": q_audience,
+        "p2_bounce_rate": q_bounce,
+        "p3_retention": q_retention,
+        "i2_session_page_views": q_session_page_views,
+        "i3_o5_session_concurrency": q_session_concurrency,
+        "i4_session_revenue": q_session_revenue,
+        "i5_session_watch": q_session_watch,
+        "u3_extreme_days": q_extreme_days,
+        "u4_top5_items": q_top5_items,
+        "u4_top5_rooms": q_top5_rooms,
+        "m5_room_subscriptions": q_room_subscriptions,
+        "s2_s3_s4_repaired_intervals": q_repaired_intervals,
     }
 
 
@@ -193,4 +316,16 @@ def oracle_sql() -> dict[str, str]:
         "i6_room_play_time": oq.room_play_time(),
         "u5_user_transaction": oq.user_transaction(),
         "u1_rolling_spend_daily": oq.rolling_spend_daily(),
+        "p1_audience": oq.audience_counters(),
+        "p2_bounce_rate": oq.bounce(),
+        "p3_retention": oq.retention_rates(),
+        "i2_session_page_views": oq.session_page_views(),
+        "i3_o5_session_concurrency": oq.session_concurrency(),
+        "i4_session_revenue": oq.session_revenue(),
+        "i5_session_watch": oq.session_watch(),
+        "u3_extreme_days": oq.extreme_days(),
+        "u4_top5_items": oq.top5("item"),
+        "u4_top5_rooms": oq.top5("room"),
+        "m5_room_subscriptions": oq.room_subscriptions(),
+        "s2_s3_s4_repaired_intervals": oq.repaired_intervals(),
     }
