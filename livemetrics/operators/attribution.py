@@ -12,6 +12,10 @@ Because an event has one bucket and a session at most one row per bucket, no pai
 produced twice.  A busy room spreads over its buckets; a hot (room, bucket) can further be
 split with ``salt`` (events hashed into ``salt`` parts, sessions replicated), and AQE's
 skew-join splitting applies on top.
+
+Sessions spanning more than ``max_buckets`` buckets (a corrupt end far in the future, a
+multi-day stream) are not exploded: they take an exact second path, a join on the key with
+the band as the condition, and the two results are unioned.  Nothing is dropped or capped.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ from pyspark.sql import functions as F
 
 
 def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,
-              ts: str, bucket_s: int = 900, salt: int = 1) -> DataFrame:
+              ts: str, bucket_s: int = 900, salt: int = 1, max_buckets: int = 192) -> DataFrame:
     """Inner band join: one row per (session, event) with ``start <= ts <= end``.
 
     Output: all session columns, then the event columns except the key (the event key
@@ -34,11 +38,16 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     b0 = F.floor(F.unix_seconds(F.col(start)) / bucket_s)
-    b1 = F.floor(F.unix_seconds(F.col(end)) / bucket_s)
-    s = sessions.withColumn("_bk", F.explode(F.sequence(b0, F.greatest(b0, b1))))
+    b1 = F.greatest(b0, F.floor(F.unix_seconds(F.col(end)) / bucket_s))
+    short = (b1 - b0) < max_buckets
     e = events.select(*[F.col(k).alias(f"_ek_{k}") for k in key],
                       *[c for c in events.columns if c not in key],
                       F.floor(F.unix_seconds(F.col(ts)) / bucket_s).alias("_ebk"))
+    long_s = sessions.where(~short)
+    long_pairs = (long_s.join(e, [long_s[k] == e[f"_ek_{k}"] for k in key]
+                              + [e[ts].between(long_s[start], long_s[end])], "inner")
+                        .drop("_ebk", *[f"_ek_{k}" for k in key]))
+    s = sessions.where(short).withColumn("_bk", F.explode(F.sequence(b0, b1)))
     cond = [s[k] == e[f"_ek_{k}"] for k in key] + [s["_bk"] == e["_ebk"]]
     if salt > 1:
         s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
@@ -47,7 +56,7 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
     cond.append(e[ts].between(s[start], s[end]))
     j = s.join(e, cond, "inner")
     drop = ["_bk", "_ebk", *[f"_ek_{k}" for k in key]] + (["_salt", "_esalt"] if salt > 1 else [])
-    return j.drop(*drop)
+    return j.drop(*drop).unionByName(long_pairs)
 
 
 def attribute_counts(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,

@@ -49,7 +49,15 @@ def test_bucketed_matches_plain_join(spark):
     plain = s.join(e.withColumnRenamed("room_id", "r2"),
                    (s.room_id == F.col("r2")) & F.col("ts").between(s.s, s.e)).select("sid", "eid")
     want = sorted(tuple(r) for r in plain.collect())
-    for bucket_s, salt in ((900, 1), (60, 1), (3600, 4)):
+    for bucket_s, salt, mb in ((900, 1, 192), (60, 1, 192), (3600, 4, 192), (900, 1, 2)):
         got = sorted((r.sid, r.eid) for r in
-                     attribute(s, e, ["room_id"], "s", "e", "ts", bucket_s=bucket_s, salt=salt).collect())
-        assert got == want, (bucket_s, salt)
+                     attribute(s, e, ["room_id"], "s", "e", "ts", bucket_s=bucket_s, salt=salt,
+                               max_buckets=mb).collect())
+        assert got == want, (bucket_s, salt, mb)
+
+
+def test_long_session_takes_exact_path(spark):
+    s = sessions(spark, [(1, "L", T(2024, 1, 1), T(2030, 1, 1)), (1, "S", T(2024, 1, 1), T(2024, 1, 1, 1))])
+    e = events(spark, [(1, 1, T(2024, 1, 1, 0, 30)), (1, 2, T(2029, 6, 1))])
+    got = sorted((r.sid, r.eid) for r in attribute(s, e, ["room_id"], "s", "e", "ts").collect())
+    assert got == [("L", 1), ("L", 2), ("S", 1)]
