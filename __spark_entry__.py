@@ -24,6 +24,7 @@ from livemetrics.functions.numeric import tier
 from livemetrics.functions.predicates import valid_trades
 from livemetrics.operators import spend
 from livemetrics.plans import play_time, reports, room_flow, user_profile
+from livemetrics.plans.dims import room_dims
 from livemetrics.sources import standins as si
 from livemetrics.staging import stage
 
@@ -258,6 +259,27 @@ def q_repaired_intervals(spark, d):
     return _fmt(out, times=("begin_time", "end_time"))
 
 
+def q_rolling_spend(spark, d):
+    _prep(spark)
+    r = spend.rolling_spend(_valid_orders(spark, d), oq.REPORT_DAY)
+    out = ["user_id"]
+    for c, p in (("day_total", "day_prange"), ("week_total", "week_prange"), ("month_total", "month_prange")):
+        out += [c, tier(c).alias(p)]
+    return r.select(*out)
+
+
+def q_effective_play(spark, d):
+    _prep(spark)
+    p = effective_play(si.player_log(spark, d))
+    return p.select("date", F.trim("roomid").try_cast("long").alias("room_id"), "deviceid", "createtime",
+                    "play_duration")
+
+
+def q_room_dims(spark, d):
+    _prep(spark)
+    return room_dims(si.dim_room(spark, d), si.dim_category(spark, d))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the daily channel report over every day of the sf0.001 tables."""
     return q_channel_report(spark, SMOKE_DIR)
@@ -294,6 +316,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "u4_top5_rooms": q_top5_rooms,
         "m5_room_subscriptions": q_room_subscriptions,
         "s2_s3_s4_repaired_intervals": q_repaired_intervals,
+        "u1_u2_rolling_spend": q_rolling_spend,
+        "m1_effective_play": q_effective_play,
+        "d1_room_dims": q_room_dims,
     }
 
 
@@ -328,4 +353,7 @@ def oracle_sql() -> dict[str, str]:
         "u4_top5_rooms": oq.top5("room"),
         "m5_room_subscriptions": oq.room_subscriptions(),
         "s2_s3_s4_repaired_intervals": oq.repaired_intervals(),
+        "u1_u2_rolling_spend": oq.rolling_spend_report_day(),
+        "m1_effective_play": oq.effective_play(),
+        "d1_room_dims": oq.room_dims(),
     }
