@@ -70,7 +70,11 @@ def merge_adjacent(df: DataFrame, key: Sequence[str], label: str, start: str, en
                 .select(*[F.col(k).alias(f"_k_{k}") for k in key], F.col("_b").alias("_kb"),
                         "_cont", "_anc_b", "_anc_s"))
 
-    cond = [rows[k].eqNullSafe(summ[f"_k_{k}"]) for k in key] + [rows["_b"] == summ["_kb"]]
+    # Plain equality on non-nullable keys keeps the join on the (key, bucket) partitioning the
+    # first window already produced, so the rows are not shuffled again.
+    nullable = {f.name: f.nullable for f in df.schema.fields}
+    cond = [(rows[k].eqNullSafe(summ[f"_k_{k}"]) if nullable.get(k, True) else rows[k] == summ[f"_k_{k}"])
+            for k in key] + [rows["_b"] == summ["_kb"]]
     j = rows.join(summ, cond, "left")
     joined_first = (F.col("_ls") == 1) & F.col("_cont")
     j = (j.withColumn("_gb", F.when(joined_first, F.col("_anc_b")).otherwise(F.col("_b")))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 from livemetrics.functions.timefn import fmt_day, fmt_ts, parse_compact_day, repair_interval, tag_replay
 from livemetrics.operators import online
@@ -25,7 +28,12 @@ def clean_broadcasts(raw: DataFrame, max_gap_s: int = 300, bucket_s: int = 3600,
 
     Output keeps TIMESTAMP times; the 18 columns of the contract in their order.
     """
-    r = raw.where(F.col("room_id").isNotNull())
+    r = raw.where(F.col("room_id").isNotNull() & F.col("day").isNotNull())
+    # Keys are non-null from here on; say so in the schema (coalesce is a no-op on the
+    # values) so the merge joins on plain equality and keeps its partitioning.
+    day_fill = dt.date(1970, 1, 1) if isinstance(r.schema["day"].dataType, DateType) else "1970-01-01"
+    r = (r.withColumn("room_id", F.coalesce(F.col("room_id"), F.lit(0).cast("long")))
+          .withColumn("day", F.coalesce(F.col("day"), F.lit(day_fill))))
     r = repair_interval(r, "begin_time", "end_time")
     r = (r.withColumn("is_live", tag_replay("play_title"))
           .withColumn("begin_flower_count", F.coalesce(F.col("begin_flower_count").try_cast("long"), F.lit(0)))
