@@ -27,7 +27,8 @@ from pyspark.sql import functions as F
 
 
 def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,
-              ts: str, bucket_s: int = 900, salt: int = 1, max_buckets: int = 192) -> DataFrame:
+              ts: str, bucket_s: int = 900, salt: int = 1, max_buckets: int = 192,
+              long_broadcast_rows: int = 100_000) -> DataFrame:
     """Inner band join: one row per (session, event) with ``start <= ts <= end``.
 
     Output: all session columns, then the event columns except the key (the event key
@@ -43,10 +44,16 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
     e = events.select(*[F.col(k).alias(f"_ek_{k}") for k in key],
                       *[c for c in events.columns if c not in key],
                       F.floor(F.unix_seconds(F.col(ts)) / bucket_s).alias("_ebk"))
+    # Long sessions are rare: count them (bounded by a LIMIT) and broadcast them when few,
+    # so the events are not shuffled a second time; skip the path when there are none.
     long_s = sessions.where(~short)
-    long_pairs = (long_s.join(e, [long_s[k] == e[f"_ek_{k}"] for k in key]
-                              + [e[ts].between(long_s[start], long_s[end])], "inner")
-                        .drop("_ebk", *[f"_ek_{k}" for k in key]))
+    n_long = long_s.limit(long_broadcast_rows + 1).count()
+    long_pairs = None
+    if n_long:
+        ls = F.broadcast(long_s) if n_long <= long_broadcast_rows else long_s
+        long_pairs = (e.join(ls, [ls[k] == e[f"_ek_{k}"] for k in key]
+                             + [e[ts].between(ls[start], ls[end])], "inner")
+                       .drop("_ebk", *[f"_ek_{k}" for k in key]))
     s = sessions.where(short).withColumn("_bk", F.explode(F.sequence(b0, b1)))
     cond = [s[k] == e[f"_ek_{k}"] for k in key] + [s["_bk"] == e["_ebk"]]
     if salt > 1:
@@ -56,7 +63,8 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
     cond.append(e[ts].between(s[start], s[end]))
     j = s.join(e, cond, "inner")
     drop = ["_bk", "_ebk", *[f"_ek_{k}" for k in key]] + (["_salt", "_esalt"] if salt > 1 else [])
-    return j.drop(*drop).unionByName(long_pairs)
+    j = j.drop(*drop)
+    return j if long_pairs is None else j.unionByName(long_pairs)
 
 
 def attribute_counts(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,
