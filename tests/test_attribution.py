@@ -61,3 +61,19 @@ def test_long_session_takes_exact_path(spark):
     e = events(spark, [(1, 1, T(2024, 1, 1, 0, 30)), (1, 2, T(2029, 6, 1))])
     got = sorted((r.sid, r.eid) for r in attribute(s, e, ["room_id"], "s", "e", "ts").collect())
     assert got == [("L", 1), ("L", 2), ("S", 1)]
+
+
+def test_session_page_views_edges(spark):
+    from livemetrics.plans.play_time import session_page_views
+    iv = sessions(spark, [(7, "A", T(2024, 1, 1, 10), T(2024, 1, 1, 11))]).select(
+        "room_id", F.col("s").alias("begin_time"), F.col("e").alias("end_time"))
+    epoch = lambda t: str(int((t - T(1970, 1, 1)).total_seconds()))
+    pv = spark.createDataFrame([
+        ("7", epoch(T(2024, 1, 1, 10)), "u1", 1),       # at begin
+        ("7", epoch(T(2024, 1, 1, 10, 5)), "u1", 1),    # same viewer again
+        ("7", epoch(T(2024, 1, 1, 10, 6)), "u2", 2),    # second send: not a view
+        ("x7", epoch(T(2024, 1, 1, 10, 7)), "u3", 1),   # non-numeric room: matches nothing
+        ("7", epoch(T(2024, 1, 1, 11)), "u4", 1),       # at end
+    ], "sbt string, s_timestamp string, uuid string, send_count int")
+    r = session_page_views(iv, pv).first()
+    assert (r.pv, r.uv) == (3, 2)
