@@ -80,6 +80,12 @@ def q_clean_broadcasts(spark, d):
     return _fmt(m, times=("begin_time", "end_time"))
 
 
+def q_clean_broadcasts_compat(spark, d):
+    _prep(spark)
+    m = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S, compat=True)
+    return _fmt(m, times=("begin_time", "end_time"))
+
+
 def q_dedupe_readings(spark, d):
     _prep(spark)
     return _fmt(online.dedupe_readings(si.online_raw(spark, d)), times=("time",))
@@ -319,6 +325,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "u1_u2_rolling_spend": q_rolling_spend,
         "m1_effective_play": q_effective_play,
         "d1_room_dims": q_room_dims,
+        "s1_clean_broadcasts_compat": q_clean_broadcasts_compat,
     }
 
 
@@ -356,4 +363,5 @@ def oracle_sql() -> dict[str, str]:
         "u1_u2_rolling_spend": oq.rolling_spend_report_day(),
         "m1_effective_play": oq.effective_play(),
         "d1_room_dims": oq.room_dims(),
+        "s1_clean_broadcasts_compat": oq.clean_broadcasts_compat(),
     }

@@ -23,12 +23,18 @@ PLAY_TIME_COLUMNS = ["day", "room_id", "domain", "begin_time", "end_time", "max_
 
 
 def clean_broadcasts(raw: DataFrame, max_gap_s: int = 300, bucket_s: int = 3600,
-                     day_wrap: bool = False) -> DataFrame:
+                     day_wrap: bool = False, compat: bool = False,
+                     collapse_title_spaces: bool = False) -> DataFrame:
     """ods play-time ETL: repair times (S2), tag replays (S3), merge segments per room-day.
 
     Output keeps TIMESTAMP times; the 18 columns of the contract in their order.
+    ``compat=True`` reproduces the original merge script (see ``merge_adjacent``);
+    ``collapse_title_spaces=True`` trims titles and collapses runs of whitespace to one
+    space, as the script's text protocol did.
     """
     r = raw.where(F.col("room_id").isNotNull() & F.col("day").isNotNull())
+    if collapse_title_spaces:
+        r = r.withColumn("play_title", F.regexp_replace(F.trim(F.col("play_title")), r"\s+", " "))
     # Keys are non-null from here on; say so in the schema (coalesce is a no-op on the
     # values) so the merge joins on plain equality and keeps its partitioning.
     day_fill = dt.date(1970, 1, 1) if isinstance(r.schema["day"].dataType, DateType) else "1970-01-01"
@@ -44,7 +50,7 @@ def clean_broadcasts(raw: DataFrame, max_gap_s: int = 300, bucket_s: int = 3600,
         maxs=["max_viewer", "end_flower_count"], mins=["begin_flower_count"],
         firsts=["domain", "from_qq", "live_permission", "live_source_type", "live_stream_type",
                 "game_id", "game_name", "is_live"],
-        order_extra=["game_id"], bucket_s=bucket_s, day_wrap=day_wrap)
+        order_extra=["game_id"], bucket_s=bucket_s, day_wrap=day_wrap, compat=compat)
     return m.select(*PLAY_TIME_COLUMNS)
 
 

@@ -127,3 +127,59 @@ def test_clean_broadcasts_pipeline(spark):
     assert (r.max_viewer, r.accumulative_viewer_total, r.execute_times) == (7, 15, 2)
     assert (r.begin_flower_count, r.end_flower_count) == (0, 12)   # bad count -> 0
     assert (r.domain, r.game_id, r.is_live) == ("d", "g1", "replay")
+
+
+def merge_compat(spark, data, gap=300, bucket_s=3600):
+    df = spark.createDataFrame(data, SCHEMA)
+    out = merge_adjacent(df, ["room"], "title", "s", "e", max_gap_s=gap, sums=["v"], firsts=["a"],
+                         bucket_s=bucket_s, compat=True)
+    return sorted(((r.room, r.title, r.s, r.e, r.v, r.a) for r in out.collect()), key=repr)
+
+
+def restate_compat(data, gap):
+    """The original script's behaviour, stated row by row over the global
+    (room, start) order: a row continues the open segment only with the same title and the
+    same room and a gap (modulo one day) within the limit; a row with the open segment's
+    title but another room is emitted on its own and leaves the open segment as it is; a
+    gap break starts a new segment that keeps the attributes of the run's first row."""
+    rows = sorted(data, key=lambda r: (r[0], r[2], r[3], (r[1] is not None, r[1] or ""), r[5]))
+    out, cur, name, held_room = [], None, object(), None
+    for room, title, s, e, v, a in rows:
+        if cur is None or title != name:
+            if cur:
+                out.append(tuple(cur))
+            cur, name, held_room = [room, title, s, e, v, a], title, room
+        elif room == held_room:
+            if abs((s - cur[3]).total_seconds()) % 86400 <= gap:
+                cur[3], cur[4] = e, cur[4] + v
+            else:
+                out.append(tuple(cur))
+                cur = [room, title, s, e, v, cur[5]]
+        else:
+            out.append((room, title, s, e, v, a))
+    if cur:
+        out.append(tuple(cur))
+    return sorted(out, key=repr)
+
+
+def test_compat_carried_room_and_run_attributes(spark):
+    data = [seg(1, "t", 0, 10, a="r1"), seg(2, "t", 20, 10, a="x1"), seg(2, "t", 40, 10, a="x2"),
+            seg(2, "u", 60, 10, a="u1"), seg(2, "u", 5000, 10, a="u2")]
+    got = merge_compat(spark, data)
+    # room 2's leading "t" rows follow room 1's last title: emitted one by one;
+    # the gap break in the "u" run keeps the run's first attributes (u1)
+    assert [(r[0], r[1], r[4], r[5]) for r in got] == sorted(
+        [(1, "t", 1, "r1"), (2, "t", 1, "x1"), (2, "t", 1, "x2"), (2, "u", 1, "u1"), (2, "u", 1, "u1")], key=repr)
+    assert got == restate_compat(data, 300)
+
+
+def test_compat_random_against_restatement(spark):
+    rnd = random.Random(11)
+    for trial in range(6):
+        data = []
+        for i in range(rnd.randint(30, 120)):
+            data.append(seg(rnd.randint(1, 4), rnd.choice(["a", "b", None]), rnd.randint(0, 20000),
+                            rnd.choice([0, 30, 200, 600, 3000]), v=1, a=f"id{i:04d}"))
+        gap = rnd.choice([100, 300, 900])
+        got = merge_compat(spark, data, gap=gap, bucket_s=rnd.choice([60, 300, 7200]))
+        assert got == restate_compat(data, gap), trial
