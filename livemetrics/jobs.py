@@ -42,3 +42,154 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
     from pyspark.sql import functions as F
     out = out.where(F.to_date(F.col(day_col)).between(F.lit(first), F.lit(last)))
     overwrite_partitions(out, path, day_col=day_col)
+
+
+# --- the daily jobs over stored tables -----------------------------------------------------
+#
+# Each job reads the tables it needs (paths given by the caller), limited to the days it
+# needs with a partition filter on the raw ``day`` column, runs the set-based plan for the
+# whole range and writes the requested days with a dynamic partition overwrite.
+
+import argparse  # noqa: E402
+
+from pyspark.sql import SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+
+from livemetrics.functions.predicates import Source  # noqa: E402
+from livemetrics.sinks import write_report  # noqa: E402
+from livemetrics.sources.tables import day_range  # noqa: E402
+
+# Days of input each job reads around the requested range: (before, after).
+WINDOWS = {
+    "ods_play_time": (0, 0), "ods_online_count": (0, 0), "dw_room_online_count": (0, 0),
+    "dw_daily_room_flow": (0, 0), "dw_room_play_time": (0, 1), "rpt_channel_analysis": (7, 0),
+    "rpt_source": (7, 0), "rpt_user_cnt_by_category": (0, 0),
+}
+
+
+def _days(spark: SparkSession, tables: dict, name: str, first: dt.date, last: dt.date,
+          day_col: str = "day", as_date: bool = True):
+    df = day_range(spark.read.parquet(tables[name]), first, last, col=day_col)
+    return df.withColumn(day_col, F.to_date(F.col(day_col))) if as_date else df
+
+
+def _player(spark, tables, first, last):
+    # The player log is keyed by a compact yyyyMMdd text day: filter the raw column.
+    df = spark.read.parquet(tables["player_log"])
+    return df.where(F.col("date").between(F.lit(first.strftime("%Y%m%d")), F.lit(last.strftime("%Y%m%d"))))
+
+
+def build_job(spark: SparkSession, job: str, tables: dict, first: dt.date, last: dt.date,
+              sources: list[Source] | None = None, load_time=None, **kw) -> DataFrame:
+    """Return the output of ``job`` for inputs read over ``[first, last]``."""
+    from livemetrics.operators import online
+    from livemetrics.plans import play_time, reports, room_flow
+
+    t = lambda n: _days(spark, tables, n, first, last)
+    if job == "ods_play_time":
+        return room_flow.clean_broadcasts(t("play_time_raw"), **kw)
+    if job == "ods_online_count":
+        return online.dedupe_readings(t("online_raw"), **kw)
+    if job == "dw_room_online_count":
+        return online.pivot_online(t("online_count"))
+    if job == "dw_daily_room_flow":
+        oc = room_flow.room_online_count(t("online_raw"))
+        return room_flow.daily_room_flow(
+            t("room_pv_uv"), oc, t("trade"), t("subscription"), t("subscription_total"),
+            _player(spark, tables, first, last), t("play_time_raw"),
+            spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
+    if job == "dw_room_play_time":
+        sessions = t("play_time_etl").withColumn("begin_time", F.to_timestamp("begin_time")) \
+                                     .withColumn("end_time", F.to_timestamp("end_time"))
+        oc = t("online_count").withColumn("time", F.to_timestamp("time"))
+        return play_time.room_play_time(
+            sessions, t("page_view"), oc, t("trade"), _player(spark, tables, first, last), t("room_pv_uv"),
+            spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
+    if job == "rpt_channel_analysis":
+        return reports.channel_report(t("pv_track"), **kw)
+    if job == "rpt_source":
+        (src,) = sources
+        return reports.source_report(t("pv_track"), t("page_view"), src, load_time=load_time, **kw)
+    if job == "rpt_user_cnt_by_category":
+        return reports.category_users(t("page_view"), spark.read.parquet(tables["dim_room"]),
+                                      spark.read.parquet(tables["dim_category"]), sources or [],
+                                      load_time=load_time, **kw)
+    raise ValueError(f"unknown job {job}")
+
+
+REPORT_JOBS = {"rpt_source", "rpt_user_cnt_by_category"}
+DAY_COLUMN = {"rpt_channel_analysis": "date", "rpt_source": "date", "rpt_user_cnt_by_category": "date",
+              "dw_daily_room_flow": "date", "dw_room_play_time": "date"}
+
+
+def run_job(spark: SparkSession, job: str, tables: dict, start, end, out: str,
+            sources: list[Source] | None = None, load_time=None, **kw) -> None:
+    """Run ``job`` for the days ``[start, end)`` and overwrite those partitions of ``out``.
+
+    The user profile is the one job defined per report day over the whole history; it runs
+    once per day of the range (``run_user_transaction``).
+    """
+    before, after = WINDOWS[job]
+    days = days_between(start, end)
+    if not days:
+        return
+    first, last = days[0] - dt.timedelta(days=before), days[-1] + dt.timedelta(days=after)
+    df = build_job(spark, job, tables, first, last, sources=sources, load_time=load_time, **kw)
+    col = DAY_COLUMN.get(job, "day")
+    df = df.where(F.to_date(F.col(col)).between(F.lit(days[0]), F.lit(days[-1])))
+    if job in REPORT_JOBS:
+        write_report(df, out, day_col=col)
+    else:
+        overwrite_partitions(df, out, day_col=col)
+
+
+def run_user_transaction(spark: SparkSession, tables: dict, start, end, out: str,
+                         history_start: str = "2015-06-01") -> None:
+    """U5 for each report day of ``[start, end)`` (one job per day: each day reads the
+    whole history up to itself)."""
+    from livemetrics.plans.user_profile import user_transaction
+    for d in days_between(start, end):
+        trades = _days(spark, tables, "trade", dt.date.fromisoformat(history_start), d)
+        overwrite_partitions(user_transaction(trades, d, history_start), out, day_col="date")
+
+
+def main(argv=None) -> None:
+    """``python -m livemetrics.jobs JOB --start D --end D --out PATH --table name=path ...``
+
+    ``--end`` is exclusive; without ``--start`` the job runs for yesterday (B7).  Traffic
+    sources for the report jobs are given as ``--source name:referrer_re:landing_re``,
+    ``--source name:empty|referrer_re:landing_re`` or ``--source name:tid:tid_re``.
+    """
+    ap = argparse.ArgumentParser(prog="livemetrics.jobs")
+    ap.add_argument("job", choices=sorted([*WINDOWS, "dw_user_transaction"]))
+    ap.add_argument("--start")
+    ap.add_argument("--end")
+    ap.add_argument("--out", required=True)
+    ap.add_argument("--table", action="append", default=[], help="name=path")
+    ap.add_argument("--source", action="append", default=[])
+    ap.add_argument("--load-time", default=None)
+    a = ap.parse_args(argv)
+    start = dt.date.fromisoformat(a.start) if a.start else default_day()
+    end = dt.date.fromisoformat(a.end) if a.end else start + dt.timedelta(days=1)
+    tables = dict(x.split("=", 1) for x in a.table)
+    srcs = []
+    for spec in a.source:
+        name, kind, rest = spec.split(":", 2)
+        if kind == "tid":
+            srcs.append(Source.tracking_id(name, rest))
+        elif kind.startswith("empty|"):
+            srcs.append(Source.empty_or_referrer_and_landing(name, kind.split("|", 1)[1], rest))
+        else:
+            srcs.append(Source.referrer_and_landing(name, kind, rest))
+    from livemetrics.session import get_spark
+    spark = get_spark(app_name=f"livemetrics-{a.job}")
+    if a.job == "dw_user_transaction":
+        run_user_transaction(spark, tables, start, end, a.out)
+    else:
+        import time
+        run_job(spark, a.job, tables, start, end, a.out, sources=srcs or None,
+                load_time=a.load_time or int(time.time()))
+
+
+if __name__ == "__main__":
+    main()

@@ -48,11 +48,15 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster names it; only when it is unset (local tests) a scratch folder
-    is created and registered.
+    The cluster names it; only when it is unset in local mode (tests) a scratch folder is
+    created and registered.  On a cluster an unset folder is an error: a machine-local
+    folder would not survive the loss of that machine.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder: staging tables and stream "
+                               "checkpoints must survive the loss of any machine")
         d = tempfile.mkdtemp(prefix="livemetrics-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
         spark.conf.set("spark.checkpoint.dir", d)
     spark.sparkContext.setCheckpointDir(d)
