@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from livemetrics.functions.numeric import tier
 from livemetrics.functions.predicates import valid_trades
 from livemetrics.operators.spend import daily_totals, extreme_days, rolling_spend, top_k_string
+from livemetrics.staging import stage
 
 PROFILE_COLUMNS = ["date", "user_id", "day_total", "day_prange", "week_total", "week_prange",
                    "month_total", "month_prange", "most_spent_day", "most_spent_amount",
@@ -25,11 +26,15 @@ def user_transaction(trades: DataFrame, report_day, history_start) -> DataFrame:
     d = dt.date.fromisoformat(str(report_day))
     h = dt.date.fromisoformat(str(history_start))
     t = trades.where(valid_trades() & F.col("day").between(F.lit(h), F.lit(d)))
-    t3 = top_k_string(t, "user_id", "item_id", "item_num", alias="top5_item")
-    t4 = top_k_string(t, "user_id", "room_id", "price", alias="top5_room",
+    # The history is read once: reduced to (user, day, item, room) and staged; the four
+    # parts below read that grain instead of scanning the trade history four times.
+    g = stage(t.groupBy("user_id", "day", "item_id", "room_id")
+               .agg(F.sum("item_num").alias("item_num"), F.sum("price").alias("price")), "trade_grain")
+    t3 = top_k_string(g, "user_id", "item_id", "item_num", alias="top5_item")
+    t4 = top_k_string(g, "user_id", "room_id", "price", alias="top5_room",
                       value_format=lambda c: F.round(c, 2))
-    t2 = extreme_days(daily_totals(t))
-    t1 = rolling_spend(t, d)
+    t2 = extreme_days(daily_totals(g))
+    t1 = rolling_spend(g, d)
     j = t3.join(t4, "user_id", "left").join(t2, "user_id", "left").join(t1, "user_id", "left")
     out = [F.lit(d.isoformat()).alias("date"), "user_id"]
     for c, p in (("day_total", "day_prange"), ("week_total", "week_prange"), ("month_total", "month_prange")):

@@ -2,7 +2,6 @@
 
 import datetime as dt
 
-from pyspark.sql import functions as F
 
 from livemetrics.functions.predicates import Source
 from livemetrics.plans.reports import category_users, channel_report, source_report

@@ -1,7 +1,6 @@
 """The stored-table jobs end to end: stand-in logs written as day-partitioned tables, each
 job run over a day range, outputs compared with the in-memory plans."""
 
-import datetime as dt
 import tempfile
 
 import pytest

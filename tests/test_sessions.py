@@ -3,7 +3,6 @@
 import datetime as dt
 import random
 
-from pyspark.sql import functions as F
 
 from livemetrics.operators.sessions import merge_adjacent
 from livemetrics.plans.room_flow import clean_broadcasts

@@ -3,7 +3,6 @@
 import datetime as dt
 from decimal import Decimal
 
-from pyspark.sql import functions as F
 
 from livemetrics.operators.spend import extreme_days, rolling_spend, top_k_string
 from livemetrics.plans.user_profile import user_transaction
