@@ -28,8 +28,17 @@ from pyspark.sql import functions as F
 EPOCH_TEXT = "1970-01-01 00:00:00"
 
 
+_READERS: dict = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table as a DataFrame, opened once per Spark application (file listing and
+    Parquet footers are read once, not by every role derived from it)."""
+    path = f"{sf_dir}/{name}.parquet"
+    k = (spark.sparkContext.applicationId, path)
+    if k not in _READERS:
+        _READERS[k] = spark.read.parquet(path)
+    return _READERS[k]
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
