@@ -67,3 +67,15 @@ def test_stream_reruns_touched_days(spark):
     q.awaitTermination(120)
     got = [(r.day, r.total) for r in spark.read.parquet(out).collect()]
     assert got == [("2024-01-01", 15)]
+
+
+def test_create_report_table(spark):
+    from livemetrics.sinks import create_table
+    from livemetrics.sources.schemas import SOURCE_REPORT
+    name = "lm_test_source_report"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    create_table(spark, name, SOURCE_REPORT, comment="source report")
+    create_table(spark, name, SOURCE_REPORT)                     # exists: no-op
+    cols = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
+    assert cols["new_user_cnt"] == "new users" and "7_days_retention_rate" in cols
+    spark.sql(f"DROP TABLE {name}")
