@@ -77,3 +77,33 @@ def test_session_page_views_edges(spark):
     ], "sbt string, s_timestamp string, uuid string, send_count int")
     r = session_page_views(iv, pv).first()
     assert (r.pv, r.uv) == (3, 2)
+
+
+def test_shared_interval_not_double_counted(spark):
+    """Two broadcasts with the same (room, begin, end) but different titles each get the
+    interval's metrics once."""
+    from livemetrics.plans.play_time import room_play_time
+    d = dt.date(2024, 1, 1)
+    b, e = T(2024, 1, 1, 10), T(2024, 1, 1, 11)
+    cols = ("day date, room_id long, domain string, begin_time timestamp, end_time timestamp, max_viewer long, "
+            "accumulative_viewer_total long, from_qq string, live_permission string, live_source_type string, "
+            "live_stream_type string, game_id string, game_name string, play_title string, is_live string")
+    sessions = spark.createDataFrame([(d, 7, "x", b, e, 1, 1, "0", "1", "s", "t", "g", "G", "A", "live"),
+                                      (d, 7, "x", b, e, 1, 1, "0", "1", "s", "t", "g", "G", "B", "live")], cols)
+    epoch = str(int((T(2024, 1, 1, 10, 30) - T(1970, 1, 1)).total_seconds()))
+    pv = spark.createDataFrame([("7", epoch, "u1", 1)], "sbt string, s_timestamp string, uuid string, send_count int")
+    oc = spark.createDataFrame([(d, T(2024, 1, 1, 10, 30), 7, 5, 8, 2)],
+                               "day date, time timestamp, room_id long, outer_ol long, inner_ol long, encripted_ol long")
+    tr = spark.createDataFrame([(d, "2024-01-01 10:40:00", 7, 1, 9, 3, 2, 10.5, 1, "platform")],
+                               "day date, tr_date string, room_id long, user_id long, operator_id long, item_id long, "
+                               "item_num long, price double, trade_status int, product_name string")
+    log = spark.createDataFrame([], "date string, roomid string, deviceid string, ip string, ostype string, "
+                                    "playduration string, stuckduration string, createtime string")
+    pvuv = spark.createDataFrame([], "day date, room_id long, info_type int, count long")
+    rooms = spark.createDataFrame([], "room_id long, domain string, user_id long, user_title string, category_id long")
+    cats = spark.createDataFrame([], "id long, name string, domain string")
+    out = room_play_time(sessions, pv, oc, tr, log, pvuv, rooms, cats).collect()
+    assert sorted(r.play_title for r in out) == ["A", "B"]
+    for r in out:
+        assert (r.web_pv, r.web_uv, r.pcu_in, r.acu_in, r.total_price, r.total_item_num) == (1, 1, 8, 8, 10.5, 2)
+        assert r.peak_time == "2024-01-01 10:30:00"
