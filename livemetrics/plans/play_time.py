@@ -18,7 +18,8 @@ from livemetrics.functions.timefn import (
 )
 from livemetrics.operators import online
 from livemetrics.operators.attribution import attribute
-from livemetrics.operators.room import effective_play, room_revenue, watch_metrics
+from livemetrics.functions.numeric import decimal0, round_half_up, safe_div
+from livemetrics.operators.room import VALID_PLAY_MS, effective_play, room_revenue, watch_metrics
 from livemetrics.plans.dims import room_dims
 from livemetrics.staging import stage
 
@@ -75,6 +76,66 @@ PLAY_TIME_COLUMNS = [
     "valid_vv_device", "bullet_screen_num"]
 
 
+def _tagged_events(page_views: DataFrame, online_counts: DataFrame, trades: DataFrame,
+                   player_log: DataFrame) -> DataFrame:
+    """The four event logs as one frame: room, time, log tag ``_t``, the id counted
+    distinctly for that log ``_id`` (viewer, payer, device), and the log's measures."""
+    pv = page_views.where(F.col("send_count") == FIRST_SEND).select(
+        F.col("sbt").try_cast("long").alias("room_id"), parse_epoch_s("s_timestamp").alias("_ts"),
+        F.lit("pv").alias("_t"), F.col("uuid").cast("string").alias("_id"))
+    oc = online_counts.select("room_id", F.col("time").alias("_ts"), F.lit("oc").alias("_t"),
+                              F.lit(None).cast("string").alias("_id"), "outer_ol", "inner_ol", "encripted_ol")
+    tr = trades.where(valid_trades()).select(
+        "room_id", parse_ts("tr_date").alias("_ts"), F.lit("tr").alias("_t"),
+        F.col("operator_id").cast("string").alias("_id"), "price", "item_num")
+    pl = effective_play(player_log).select(
+        F.trim("roomid").try_cast("long").alias("room_id"), parse_epoch_ms("createtime").alias("_ts"),
+        F.lit("pl").alias("_t"), F.col("deviceid").cast("string").alias("_id"), "play_duration")
+    return (pv.unionByName(oc, allowMissingColumns=True).unionByName(tr, allowMissingColumns=True)
+              .unionByName(pl, allowMissingColumns=True))
+
+
+def broadcast_metrics(iv: DataFrame, events: DataFrame, bucket_s: int = 900) -> DataFrame:
+    """I2-I5 and O5 in one pass: a single band join of the tagged logs to the intervals,
+    then two conditional aggregations - to (interval, log, id), then to the interval.
+    Distinct viewers, payers and devices are the non-null ids of the second step."""
+    pairs = attribute(iv, events, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+    pd = F.col("play_duration")
+    g1 = pairs.groupBy(*IV, "_t", "_id").agg(
+        F.count(F.lit(1)).alias("_n"),
+        *[a for m in ("outer_ol", "inner_ol", "encripted_ol")
+          for a in (F.max(m).alias(f"_max_{m}"), F.sum(m).alias(f"_sum_{m}"), F.count_if(F.col(m) > 0).alias(f"_pos_{m}"))],
+        F.sum("price").alias("_price"), F.sum("item_num").alias("_items"),
+        F.sum(pd).alias("_all"), F.sum(F.when(pd > 0, pd).otherwise(0)).alias("_posplay"),
+        F.count_if(pd > 0).alias("_vv"), F.count_if(pd >= VALID_PLAY_MS).alias("_valid"))
+    t = F.col("_t")
+    has_id = F.col("_id").isNotNull()
+    on = lambda tag, c: F.when(t == tag, c)
+    vv_device = F.count_if((t == "pl") & has_id & (F.col("_vv") > 0))
+    aggs = [F.sum(on("pv", F.col("_n"))).cast("long").alias("pv"),
+            F.count_if((t == "pv") & has_id).alias("uv")]
+    for m, (pcu, acu) in online.PCU_ACU.items():
+        aggs += [F.max(on("oc", F.col(f"_max_{m}"))).alias(pcu),
+                 decimal0(safe_div(F.sum(on("oc", F.col(f"_sum_{m}"))), F.sum(on("oc", F.col(f"_pos_{m}")))))
+                 .alias(acu)]
+    aggs += [round_half_up(F.sum(on("tr", F.col("_price"))), 2).alias("total_price"),
+             F.sum(on("tr", F.col("_items"))).cast("int").alias("total_item_num"),
+             F.count_if((t == "tr") & has_id).alias("total_paying_user_num"),
+             decimal0(safe_div(F.sum(on("pl", F.col("_all"))), vv_device) / 1000 / 60).alias("awt"),
+             F.sum(on("pl", F.col("_vv"))).cast("long").alias("vv"),
+             F.sum(on("pl", F.col("_valid"))).cast("long").alias("valid_vv"),
+             decimal0(F.sum(on("pl", F.col("_posplay"))) / 1000 / 60).alias("play_duration"),
+             vv_device.alias("vv_device"),
+             F.count_if((t == "pl") & has_id & (F.col("_valid") > 0)).alias("valid_vv_device")]
+    metrics = g1.groupBy(*IV).agg(*aggs)
+    # The peak time orders by (value, time): its struct buffer would turn the aggregation
+    # above into a sort-based one, so it runs separately over the online-count pairs only.
+    peak = (pairs.where(t == "oc").groupBy(*IV)
+                 .agg(F.min_by(F.col("_ts"), F.struct((-F.col("inner_ol")).alias("v"),
+                                                      F.col("_ts").alias("t"))).alias("peak_time")))
+    return metrics.join(peak, IV, "left")
+
+
 def room_play_time(sessions: DataFrame, page_views: DataFrame, online_counts: DataFrame,
                    trades: DataFrame, player_log: DataFrame, pv_uv: DataFrame, rooms: DataFrame,
                    categories: DataFrame, bucket_s: int = 900) -> DataFrame:
@@ -83,18 +144,16 @@ def room_play_time(sessions: DataFrame, page_views: DataFrame, online_counts: Da
     ``sessions`` is the cleaned broadcast table (``clean_broadcasts``) with TIMESTAMP
     times and its ``day``; ``online_counts`` the per-(time, room) pivot.  Missing metrics
     are 0 except ``peak_time``.  ``bullet_screen_num`` is 0 by definition of the table.
+    The four event logs go through one band join (``broadcast_metrics``).
     """
-    # The broadcasts feed five branches: stage them once (they are a small table next to
-    # the event logs, and in production the cleaned broadcast table is already stored).
+    # The broadcasts are read by two branches: stage them once (they are a small table next
+    # to the event logs, and in production the cleaned broadcast table is already stored).
     s = stage(sessions.select("day", *SESSION_COLS).distinct(), "broadcasts")
     iv = s.select(*IV).distinct()
-    t1 = session_page_views(iv, page_views, bucket_s)
-    t2 = session_concurrency(iv, online_counts, bucket_s)
-    t4 = session_revenue(iv, trades, bucket_s)
-    t5 = session_watch(iv, player_log, bucket_s)
+    metrics = broadcast_metrics(iv, _tagged_events(page_views, online_counts, trades, player_log), bucket_s)
     t6 = online.pivot_sum(pv_uv, ["day", "room_id"], "info_type", "count", online.INFO_CODES) \
         .select("day", "room_id", "app_pv", "app_uv")
-    j = (s.join(t1, IV, "left").join(t2, IV, "left").join(t4, IV, "left").join(t5, IV, "left")
+    j = (s.join(metrics, IV, "left")
           .join(t6, ["day", "room_id"], "left")
           .join(room_dims(rooms, categories), "room_id", "left"))
     z = lambda c, d=0: F.coalesce(F.col(c), F.lit(d)).alias(c)
