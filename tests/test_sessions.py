@@ -182,3 +182,23 @@ def test_compat_random_against_restatement(spark):
         gap = rnd.choice([100, 300, 900])
         got = merge_compat(spark, data, gap=gap, bucket_s=rnd.choice([60, 300, 7200]))
         assert got == restate_compat(data, gap), trial
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_segments = st.lists(
+    st.tuples(st.integers(1, 3), st.sampled_from(["a", "b", None]), st.integers(0, 9000),
+              st.sampled_from([0, 40, 250, 700, 4000])),
+    min_size=1, max_size=40)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=_segments, gap=st.sampled_from([60, 300]), bucket_s=st.sampled_from([120, 900]),
+       compat=st.booleans())
+def test_property_merge(spark, rows, gap, bucket_s, compat):
+    data = [seg(r, t, s, d, v=1, a=f"id{i:03d}") for i, (r, t, s, d) in enumerate(rows)]
+    if compat:
+        assert merge_compat(spark, data, gap=gap, bucket_s=bucket_s) == restate_compat(data, gap)
+    else:
+        assert merge(spark, data, gap=gap, bucket_s=bucket_s) == restate(data, gap)
