@@ -107,3 +107,23 @@ def test_shared_interval_not_double_counted(spark):
     for r in out:
         assert (r.web_pv, r.web_uv, r.pcu_in, r.acu_in, r.total_price, r.total_item_num) == (1, 1, 8, 8, 10.5, 2)
         assert r.peak_time == "2024-01-01 10:30:00"
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(sess=st.lists(st.tuples(st.integers(1, 3), st.integers(0, 20000), st.integers(0, 9000)), min_size=1, max_size=15),
+       evs=st.lists(st.tuples(st.integers(1, 3), st.integers(0, 30000)), min_size=0, max_size=40),
+       bucket_s=st.sampled_from([60, 900, 3600]), salt=st.sampled_from([1, 3]), max_buckets=st.sampled_from([2, 192]))
+def test_property_band_join(spark, sess, evs, bucket_s, salt, max_buckets):
+    base = T(2024, 1, 1)
+    sd = [(r, f"s{i}", base + dt.timedelta(seconds=a), base + dt.timedelta(seconds=a + d))
+          for i, (r, a, d) in enumerate(sess)]
+    ed = [(r, i, base + dt.timedelta(seconds=x)) for i, (r, x) in enumerate(evs)]
+    want = sorted((s[1], e[1]) for s in sd for e in ed if s[0] == e[0] and s[2] <= e[2] <= s[3])
+    got = sorted((r.sid, r.eid) for r in attribute(sessions(spark, sd), events(spark, ed), ["room_id"], "s", "e",
+                                                  "ts", bucket_s=bucket_s, salt=salt,
+                                                  max_buckets=max_buckets).collect())
+    assert got == want
