@@ -281,6 +281,14 @@ def q_effective_play(spark, d):
                     "play_duration")
 
 
+def q_source_views(spark, d):
+    _prep(spark)
+    lab = aud.label_sources(si.page_view(spark, d), list(sources().values()), out="type")
+    per_viewer = lab.groupBy("day", "type", "uuid").agg(F.count(F.lit(1)).alias("_n"))
+    out = per_viewer.groupBy("day", "type").agg(F.sum("_n").cast("long").alias("pv"), F.count("uuid").alias("uv"))
+    return _fmt(out)
+
+
 def q_room_dims(spark, d):
     _prep(spark)
     return room_dims(si.dim_room(spark, d), si.dim_category(spark, d))
@@ -326,6 +334,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m1_effective_play": q_effective_play,
         "d1_room_dims": q_room_dims,
         "s1_clean_broadcasts_compat": q_clean_broadcasts_compat,
+        "p6_source_views": q_source_views,
     }
 
 
@@ -364,4 +373,5 @@ def oracle_sql() -> dict[str, str]:
         "m1_effective_play": oq.effective_play(),
         "d1_room_dims": oq.room_dims(),
         "s1_clean_broadcasts_compat": oq.clean_broadcasts_compat(),
+        "p6_source_views": oq.source_views(),
     }
