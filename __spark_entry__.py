@@ -9,20 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-import oracle_queries as oq
-from livemetrics.functions.predicates import Source
 from pyspark.sql import functions as F
 
+import oracle_queries as oq
+from livemetrics.functions.numeric import tier
+from livemetrics.functions.predicates import Source, valid_trades
 from livemetrics.functions.timefn import duration_minutes, fmt_day, fmt_ts, repair_interval, tag_replay
 from livemetrics.operators import audience as aud
-from livemetrics.operators import online
+from livemetrics.operators import online, spend
 from livemetrics.operators.room import (
     effective_play, room_broadcast, room_revenue, room_subscriptions, watch_metrics,
 )
-from livemetrics.functions.numeric import tier
-from livemetrics.functions.predicates import valid_trades
-from livemetrics.operators import spend
 from livemetrics.plans import play_time, reports, room_flow, user_profile
 from livemetrics.plans.dims import room_dims
 from livemetrics.sources import standins as si
@@ -30,6 +27,7 @@ from livemetrics.staging import stage
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
+
 def sources() -> dict[str, Source]:
     """Traffic sources of the stand-in reports (regexes over the stand-in urls / tracking ids)."""
     return {
