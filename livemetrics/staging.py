@@ -7,6 +7,9 @@ reduced grain: visits, merged broadcasts, filtered trades) once as Parquet under
 shared checkpoint folder named by ``spark.checkpoint.dir`` and reads it back: the
 lineage is cut, an executor lost later does not recompute the upstream, and each branch
 scans only the columns it needs.
+
+Each stage gets its own folder (a rerun never reads a half-written one).  The folders live
+under the checkpoint folder, whose retention is the cluster's policy, like any checkpoint.
 """
 
 from __future__ import annotations
