@@ -18,11 +18,14 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
+EXACT = os.environ.get("ORACLE_EXACT") == "1"
+
+
 def norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return round(v, 9)
+        return v.hex() if EXACT else round(v, 9)
     if hasattr(v, "isoformat"):
         return v.isoformat()
     return v
