@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from livemetrics.functions.numeric import decimal0, round_half_up, safe_div
 from livemetrics.functions.predicates import valid_trades
-from livemetrics.functions.timefn import parse_ts, repaired_end
+from livemetrics.functions.timefn import OPEN_END_PREFIX, parse_ts, repaired_end
 
 # Fixed values of the player log: a play is valid from 15 s, and a single record cannot
 # exceed one day; PC clients report play time net of stalls already.
@@ -78,12 +78,18 @@ def room_subscriptions(subs: DataFrame, keys: Sequence[str], active: str = "acti
 
 
 def room_broadcast(raw: DataFrame, keys: Sequence[str], start: str = "begin_time",
-                   end: str = "end_time") -> DataFrame:
+                   end: str = "end_time", compat: bool = False) -> DataFrame:
     """M6: broadcast minutes per key from raw segments (end repaired as in S2), rounded to 2.
 
     An inverted segment counts 0 minutes and still marks the room as broadcasting.
+    ``compat=True`` gives it no minutes at all (NULL, as the original job's mixed-type
+    branch did), so a room with only inverted segments has NULL minutes - not broadcasting.
     """
-    secs = F.unix_seconds(repaired_end(start, end)) - F.unix_seconds(parse_ts(start))
+    b, e = parse_ts(start), parse_ts(end)
+    secs = F.unix_seconds(repaired_end(start, end)) - F.unix_seconds(b)
+    if compat:
+        inverted = ~F.col(end).startswith(OPEN_END_PREFIX) & (e < b)
+        secs = F.when(inverted, F.lit(None).cast("long")).otherwise(secs)
     return (raw.groupBy(*keys)
                .agg(F.sum(secs).alias("_s"))
                .select(*keys, F.round(F.col("_s").cast("decimal(20,0)") / 60, 2).cast("double")

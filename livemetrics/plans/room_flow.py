@@ -69,7 +69,8 @@ FLOW_COLUMNS = ["date", "room_id", "domain", "user_id", "user_group", "category_
 
 def daily_room_flow(pv_uv: DataFrame, online_counts: DataFrame, trades: DataFrame, subs: DataFrame,
                     subs_total: DataFrame, player_log: DataFrame, broadcasts_raw: DataFrame,
-                    rooms: DataFrame, categories: DataFrame, acu_default: int = 1) -> DataFrame:
+                    rooms: DataFrame, categories: DataFrame, acu_default: int = 1,
+                    compat_inverted: bool = False) -> DataFrame:
     """M7: one row per room and day present in the pv/uv log, every metric fanned in.
 
     Each side is aggregated to (day, room_id) before the joins, so all joins are
@@ -85,7 +86,7 @@ def daily_room_flow(pv_uv: DataFrame, online_counts: DataFrame, trades: DataFram
         parse_compact_day("date").alias("day"), F.trim("roomid").try_cast("long").alias("room_id"),
         "deviceid", "play_duration")
     k6 = watch_metrics(plays, k)
-    k7 = room_broadcast(broadcasts_raw, k)
+    k7 = room_broadcast(broadcasts_raw, k, compat=compat_inverted)
     k8 = subs_total.select("day", "room_id", F.col("count").alias("total_subscription_num"))
     j = (k1.join(k2, k, "left").join(k4, k, "left").join(k5, k, "left").join(k6, k, "left")
            .join(k7, k, "left").join(k8, k, "left"))

@@ -35,10 +35,13 @@ def test_effective_play_and_watch(spark):
 
 def test_room_broadcast_inverted_only(spark):
     raw = spark.createDataFrame([("2024-01-01", 1, "2024-01-01 10:00:00", "2024-01-01 09:00:00"),
-                                 ("2024-01-01", 2, "2024-01-01 10:00:00", "2024-01-01 10:00:30")],
+                                 ("2024-01-01", 2, "2024-01-01 10:00:00", "2024-01-01 10:00:30"),
+                                 ("2024-01-01", 3, "2024-01-01 23:59:00", "0001-01-01 00:00:00")],
                                 "day string, room_id long, begin_time string, end_time string")
     got = {r.room_id: r.play_minutes for r in room_broadcast(raw, ["day", "room_id"]).collect()}
-    assert got == {1: 0.0, 2: 0.5}
+    assert got == {1: 0.0, 2: 0.5, 3: 0.98}
+    old = {r.room_id: r.play_minutes for r in room_broadcast(raw, ["day", "room_id"], compat=True).collect()}
+    assert old == {1: None, 2: 0.5, 3: 0.98}             # open end is not an inverted segment
 
 
 def test_revenue_filters(spark):
