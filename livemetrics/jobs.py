@@ -153,6 +153,17 @@ def run_user_transaction(spark: SparkSession, tables: dict, start, end, out: str
         overwrite_partitions(user_transaction(trades, d, history_start), out, day_col="date")
 
 
+def parse_source(spec: str) -> Source:
+    """``name:tid:re`` (tracking id), ``name:empty|ref_re:landing_re`` (empty or matching
+    referrer) or ``name:ref_re:landing_re`` (matching referrer)."""
+    name, kind, rest = spec.split(":", 2)
+    if kind == "tid":
+        return Source.tracking_id(name, rest)
+    if kind.startswith("empty|"):
+        return Source.empty_or_referrer_and_landing(name, kind.split("|", 1)[1], rest)
+    return Source.referrer_and_landing(name, kind, rest)
+
+
 def main(argv=None) -> None:
     """``python -m livemetrics.jobs JOB --start D --end D --out PATH --table name=path ...``
 
@@ -172,15 +183,7 @@ def main(argv=None) -> None:
     start = dt.date.fromisoformat(a.start) if a.start else default_day()
     end = dt.date.fromisoformat(a.end) if a.end else start + dt.timedelta(days=1)
     tables = dict(x.split("=", 1) for x in a.table)
-    srcs = []
-    for spec in a.source:
-        name, kind, rest = spec.split(":", 2)
-        if kind == "tid":
-            srcs.append(Source.tracking_id(name, rest))
-        elif kind.startswith("empty|"):
-            srcs.append(Source.empty_or_referrer_and_landing(name, kind.split("|", 1)[1], rest))
-        else:
-            srcs.append(Source.referrer_and_landing(name, kind, rest))
+    srcs = [parse_source(spec) for spec in a.source]
     from livemetrics.session import get_spark
     spark = get_spark(app_name=f"livemetrics-{a.job}")
     if a.job == "dw_user_transaction":

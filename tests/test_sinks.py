@@ -79,3 +79,13 @@ def test_create_report_table(spark):
     cols = {r.col_name: r.comment for r in spark.sql(f"DESCRIBE TABLE {name}").collect()}
     assert cols["new_user_cnt"] == "new users" and "7_days_retention_rate" in cols
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_parse_source_specs(spark):
+    from livemetrics.jobs import parse_source
+    df = spark.createDataFrame([("", "https://x/land?a", "t-1"), ("https://ref.example/", "/land", "u-2"),
+                                (None, "/land", "400-3")], "source_url string, url string, tid string")
+    hits = lambda spec: [bool(r[0]) for r in df.select(parse_source(spec).condition).collect()]
+    assert parse_source("a:tid:^400").name == "a" and hits("a:tid:^400") == [False, False, True]
+    assert hits(r"b:empty|ref\.example:land") == [True, True, False]       # NULL referrer is not empty
+    assert hits(r"c:ref\.example:land") == [False, True, False]
