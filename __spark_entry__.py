@@ -186,9 +186,11 @@ def q_retention(spark, d):
     return _fmt(parts[0].unionByName(parts[1])).select(*keys, "n", "retention_rate")
 
 
-def _intervals(spark, d):
+def _intervals(spark, d, staged: bool = False):
+    """Distinct broadcast intervals; staged when the caller reads them twice."""
     s = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S)
-    return stage(s.select(*play_time.IV).distinct(), "intervals")
+    iv = s.select(*play_time.IV).distinct()
+    return stage(iv, "intervals") if staged else iv
 
 
 def _fmt_iv(df):
@@ -197,7 +199,7 @@ def _fmt_iv(df):
 
 def q_session_page_views(spark, d):
     _prep(spark)
-    iv = _intervals(spark, d)
+    iv = _intervals(spark, d, staged=True)     # read by the attribution and the join back
     t1 = play_time.session_page_views(iv, si.page_view(spark, d))
     out = iv.join(t1, play_time.IV, "left").select(
         *play_time.IV, F.coalesce("pv", F.lit(0)).cast("long").alias("pv"),
