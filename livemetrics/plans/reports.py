@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from livemetrics.functions.numeric import round_half_up
 from livemetrics.functions.predicates import Source
+from livemetrics.plans.dims import bounded_broadcast
 from livemetrics.staging import stage
 from livemetrics.operators.audience import (
     audience, bounce_rate, distinct_count, join_nullsafe, label_sources, retention, user_grain, visits,
@@ -118,7 +119,7 @@ def category_users(page_views: DataFrame, rooms: DataFrame, categories: DataFram
     # third of all views reaches the join as one partial row per viewer.
     per_room = labelled.groupBy(day, "type", "_room", user).agg(F.count(F.lit(1)).alias("_pv"))
     r = rooms.select(F.col("room_id").alias("_room"), F.col("category_id").alias("_cat"))
-    c = categories.select(F.col("id").alias("cid"), F.col("domain").alias("cdomain"), "name")
+    c = bounded_broadcast(categories.select(F.col("id").alias("cid"), F.col("domain").alias("cdomain"), "name"))
     j = (per_room.join(r, "_room", "left")
                  .join(c, F.col("_cat") == F.col("cid"), "left"))
     keys = [day, "type", "cid", "cdomain", "name"]
