@@ -88,3 +88,12 @@ def test_user_transaction_job(spark, tables):
     assert sorted(r.date for r in got.select("date").distinct().collect()) == ["2001-07-30", "2001-07-31"]
     want = se.q_user_transaction(spark, SF)
     assert got.where(F.col("date") == "2001-07-31").count() == want.count()
+
+
+def test_category_job(spark, tables):
+    out = tempfile.mkdtemp(prefix="lm-cat-")
+    srcs = list(se.sources().values())
+    run_job(spark, "rpt_user_cnt_by_category", tables, "2024-01-03", "2024-01-06", out, sources=srcs, load_time=7)
+    want = reports.category_users(si.page_view(spark, SF), si.dim_room(spark, SF), si.dim_category(spark, SF),
+                                  srcs, load_time=7).where(F.col("date").between("2024-01-03", "2024-01-05"))
+    assert _rows(spark.read.parquet(out).select(*want.columns)) == _rows(want)
