@@ -73,3 +73,11 @@ def test_no_python_in_query_plans(spark):
     for name, q in se.queries().items():
         p = _plan(q(spark, d))
         assert "Python" not in p and "ArrowEval" not in p, name
+
+
+def test_top_k_limits_before_shuffle(spark):
+    from livemetrics.operators.spend import top_k_string
+    df = spark.range(5000).select((F.col("id") % 3).alias("user_id"), F.col("id").alias("item_id"),
+                                  (F.col("id") % 17).alias("n"))
+    p = _plan(top_k_string(df, "user_id", "item_id", "n", k=5))
+    assert p.count("WindowGroupLimit") >= 2                   # partial limit on both sides of the shuffle
