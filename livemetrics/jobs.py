@@ -7,12 +7,16 @@ day.  ``days_between`` and ``default_day`` cover the launcher side.
 
 from __future__ import annotations
 
+import argparse
 import datetime as dt
 from typing import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from livemetrics.sinks import overwrite_partitions
+from livemetrics.functions.predicates import Source
+from livemetrics.sinks import overwrite_partitions, write_report
+from livemetrics.sources.tables import day_range
 
 
 def default_day(today: dt.date | None = None) -> dt.date:
@@ -39,7 +43,6 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
         return
     first, last = days[0], days[-1]
     out = build(first, last + dt.timedelta(days=lookahead_days))
-    from pyspark.sql import functions as F
     out = out.where(F.to_date(F.col(day_col)).between(F.lit(first), F.lit(last)))
     overwrite_partitions(out, path, day_col=day_col)
 
@@ -50,15 +53,6 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
 # needs with a partition filter on the raw ``day`` column, runs the set-based plan for the
 # whole range and writes the requested days with a dynamic partition overwrite.
 
-import argparse  # noqa: E402
-
-from pyspark.sql import SparkSession  # noqa: E402
-from pyspark.sql import functions as F  # noqa: E402
-
-from livemetrics.functions.predicates import Source  # noqa: E402
-from livemetrics.sinks import write_report  # noqa: E402
-from livemetrics.sources.tables import day_range  # noqa: E402
-
 # Days of input each job reads around the requested range: (before, after).
 WINDOWS = {
     "ods_play_time": (0, 0), "ods_online_count": (0, 0), "dw_room_online_count": (0, 0),
