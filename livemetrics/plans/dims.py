@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from livemetrics.sources.tables import valid_rooms
+
 # Categories are a small, curated list (tens to hundreds of rows).  Broadcast it only
 # after checking that bound; above it the join is left to AQE, which switches to a
 # broadcast at runtime when the real size allows.
@@ -21,8 +23,8 @@ def room_dims(rooms: DataFrame, categories: DataFrame) -> DataFrame:
     """Valid rooms (room_id > 0) with their category: room_id, rdomain, user_id, user_title,
     cid, cname, cdomain.  The room table itself grows with the site and is not broadcast
     by hand."""
-    r = rooms.where(F.col("room_id") > 0).select("room_id", F.col("domain").alias("rdomain"), "user_id",
-                                                 "user_title", "category_id")
+    r = valid_rooms(rooms).select("room_id", F.col("domain").alias("rdomain"), "user_id", "user_title",
+                                  "category_id")
     c = bounded_broadcast(categories.select(F.col("id").alias("cid"), F.col("name").alias("cname"),
                                             F.col("domain").alias("cdomain")))
     return r.join(c, r.category_id == c.cid, "left").drop("category_id")
