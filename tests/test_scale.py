@@ -68,11 +68,12 @@ def test_bounded_broadcast(spark):
     assert "broadcast" not in bounded_broadcast(spark.range(1000), 100)._jdf.queryExecution().analyzed().toString()
 
 
-def test_no_python_in_query_plans(spark):
+def test_no_python_or_cross_join_in_query_plans(spark):
     d = "/root/testdata/sf0.001"
     for name, q in se.queries().items():
         p = _plan(q(spark, d))
         assert "Python" not in p and "ArrowEval" not in p, name
+        assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
 
 
 def test_top_k_limits_before_shuffle(spark):
