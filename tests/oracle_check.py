@@ -1,6 +1,9 @@
 """Run registered queries against their DuckDB oracle (same check as the driver's gate).
 
     python tests/oracle_check.py [sf_dir] [name ...]
+
+Columns are compared by name, rows as an unordered multiset.  Doubles are compared rounded
+to 9 digits, or to the bit with ``ORACLE_EXACT=1``.
 """
 
 from __future__ import annotations
