@@ -25,6 +25,12 @@ from livemetrics.plans.dims import room_dims
 from livemetrics.sources import standins as si
 from livemetrics.staging import stage
 
+try:                                       # the training-data subpackage is optional
+    import corpus_pipeline
+    from livemetrics.llm import queries as llm
+except ImportError:
+    llm = corpus_pipeline = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 
@@ -300,7 +306,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
+    own = {
         "p4_channel_report": q_channel_report,
         "p5_source_report_blog": _source_report("blog"),
         "p5_source_report_direct": _source_report("direct"),
@@ -336,10 +342,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s1_clean_broadcasts_compat": q_clean_broadcasts_compat,
         "p6_source_views": q_source_views,
     }
+    return own | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return {
+    own = {
         "p4_channel_report": oq.channel_report(),
         "p5_source_report_blog": oq.source_report("blog"),
         "p5_source_report_direct": oq.source_report("direct"),
@@ -375,3 +382,7 @@ def oracle_sql() -> dict[str, str]:
         "s1_clean_broadcasts_compat": oq.clean_broadcasts_compat(),
         "p6_source_views": oq.source_views(),
     }
+    more = llm.oracle_sql() if llm else {}
+    if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
+        more = more | {"pipeline": corpus_pipeline.ORACLE_SQL}
+    return own | more
