@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from livemetrics.llm import chat_format, line_dedup, mixing
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
+from livemetrics.llm.language_id import identify_languages
 from livemetrics.llm.repetition import repetition_quality
 from livemetrics.llm.url_filter import filter_urls
 
@@ -24,6 +25,10 @@ def op2_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(table(spark, d, "documents"))
 
 
+def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return identify_languages(table(spark, d, "documents"))
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -46,6 +51,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition_quality": op1_repetition_quality,
         "op2_mix_sources": op2_mix_sources,
+        "op4_language_id": op4_language_id,
         "op6_chat_format": op6_chat_format,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,

@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from livemetrics.llm import textvec as tv
+from livemetrics.llm.common import map_arrow
 
 
 @dataclass(frozen=True)
@@ -166,4 +167,4 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                        rules: RepetitionRules = RepetitionRules()) -> DataFrame:
     """One row per input row with the counts, shares, first broken rule and the verdict."""
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
-    return src.mapInArrow(lambda it: repetition_batches(it, rules), SCHEMA)
+    return map_arrow(src, lambda it: repetition_batches(it, rules), SCHEMA)
