@@ -9,7 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from livemetrics.llm import chat_format, line_dedup, mixing
+from livemetrics.llm import chat_format, decontaminate, line_dedup, mixing
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
 from livemetrics.llm.language_id import identify_languages
@@ -39,6 +39,10 @@ def op6_chat_format(spark: SparkSession, d: str) -> DataFrame:
     return chat_digest(format_conversations(convs.unionByName(probe)))
 
 
+def op7_decontaminate(spark: SparkSession, d: str) -> DataFrame:
+    return decontaminate.find_contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, d, "documents"))
 
@@ -53,6 +57,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op4_language_id": op4_language_id,
         "op6_chat_format": op6_chat_format,
+        "op7_decontaminate": op7_decontaminate,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
     }
@@ -63,5 +68,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_mix_sources": mixing.oracle_sql(),
         "op6_chat_format": chat_format.oracle_sql(probe),
+        "op7_decontaminate": decontaminate.oracle_sql(),
         "op9_line_dedup": line_dedup.oracle_sql(),
     }
