@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from livemetrics.llm import chat_format, decontaminate, line_dedup, mixing
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
+from livemetrics.llm.html_extract import extract_pages
 from livemetrics.llm.language_id import identify_languages
 from livemetrics.llm.repetition import repetition_quality
 from livemetrics.llm.url_filter import filter_urls
@@ -29,6 +30,10 @@ def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify_languages(table(spark, d, "documents"))
 
 
+def op5_html_extract(spark: SparkSession, d: str) -> DataFrame:
+    return extract_pages(table(spark, d, "pages"))
+
+
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
@@ -56,6 +61,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_repetition_quality": op1_repetition_quality,
         "op2_mix_sources": op2_mix_sources,
         "op4_language_id": op4_language_id,
+        "op5_html_extract": op5_html_extract,
         "op6_chat_format": op6_chat_format,
         "op7_decontaminate": op7_decontaminate,
         "op9_line_dedup": op9_line_dedup,
