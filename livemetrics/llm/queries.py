@@ -13,6 +13,7 @@ from livemetrics.llm import chat_format, decontaminate, line_dedup, mixing
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
 from livemetrics.llm.html_extract import extract_pages
+from livemetrics.llm.jaccard_join import jaccard_components
 from livemetrics.llm.language_id import identify_languages
 from livemetrics.llm.repetition import repetition_quality
 from livemetrics.llm.url_filter import filter_urls
@@ -48,6 +49,10 @@ def op7_decontaminate(spark: SparkSession, d: str) -> DataFrame:
     return decontaminate.find_contaminated(table(spark, d, "documents"), table(spark, d, "benchmark"))
 
 
+def op8_jaccard_join(spark: SparkSession, d: str) -> DataFrame:
+    return jaccard_components(table(spark, d, "documents"))
+
+
 def op9_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return line_dedup.line_dedup_digest(table(spark, d, "documents"))
 
@@ -64,6 +69,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op5_html_extract": op5_html_extract,
         "op6_chat_format": op6_chat_format,
         "op7_decontaminate": op7_decontaminate,
+        "op8_jaccard_join": op8_jaccard_join,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
     }
