@@ -16,6 +16,7 @@ from livemetrics.llm.html_extract import extract_pages
 from livemetrics.llm.jaccard_join import jaccard_components
 from livemetrics.llm.language_id import identify_languages
 from livemetrics.llm.repetition import repetition_quality
+from livemetrics.llm.suffix_dedup import dedup_substrings
 from livemetrics.llm.url_filter import filter_urls
 
 
@@ -27,6 +28,10 @@ def op2_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mixture_report(table(spark, d, "documents"))
 
 
+def op3_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return dedup_substrings(table(spark, d, "documents"), keep_text=False)
+
+
 def op4_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify_languages(table(spark, d, "documents"))
 
@@ -65,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_repetition_quality": op1_repetition_quality,
         "op2_mix_sources": op2_mix_sources,
+        "op3_suffix_dedup": op3_suffix_dedup,
         "op4_language_id": op4_language_id,
         "op5_html_extract": op5_html_extract,
         "op6_chat_format": op6_chat_format,
