@@ -72,8 +72,10 @@ def id_bitmap(ids: DataFrame, col: str, bits: int = ID_BITS):
 
 
 def with_bitmap_bit(df: DataFrame, col: str, bits: int = ID_BITS, name: str = "_bit") -> DataFrame:
-    """Add the bit position of each row's id, for ``in_bitmap``."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.col(col)), F.lit(1 << bits)))
+    """Append the bit position of each row's id, for ``in_bitmap``, under a name of its own."""
+    while name in df.columns:
+        name += "_"
+    return df.select("*", F.pmod(F.xxhash64(df[col]), F.lit(1 << bits)).alias(name))
 
 
 def in_bitmap(bitmap, position):

@@ -170,7 +170,6 @@ def match_anchors(blobs: list[bytes], part: int, p: SuffixDedup):
     same_place[1:] &= (doc_id[1:] == doc_id[:-1]) & (doc_th[1:] == doc_th[:-1]) & (start[1:] == start[:-1])
     # a piece is repeated unless it is at the first place of its run
     run = np.flatnonzero(~same_piece)
-    at_first = np.zeros(len(order), bool)
     head = np.repeat(run, np.diff(np.append(run, len(order))))
     at_first = (doc_id == doc_id[head]) & (doc_th == doc_th[head]) & (start == start[head])
     repeated = ~at_first & ~same_place
@@ -186,6 +185,8 @@ def match_anchors(blobs: list[bytes], part: int, p: SuffixDedup):
     kind = np.concatenate([np.zeros(int(repeated.sum()), np.int8), np.ones(len(want), np.int8)])
     where = np.concatenate([np.full(int(repeated.sum()), -1), np.arange(len(want))])
     o = np.lexsort((start[out_doc], kind, doc_th[out_doc], doc_id[out_doc]))
+    if not len(o):                            # only repeated rows met here
+        return []
     out_doc, kind, where = out_doc[o], kind[o], where[o]
     new = np.concatenate([[True], (doc_id[out_doc][1:] != doc_id[out_doc][:-1]) | (doc_th[out_doc][1:] != doc_th[out_doc][:-1])])
     cut = np.append(np.flatnonzero(new), len(out_doc))
