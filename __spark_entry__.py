@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import oracle_queries as oq
-from livemetrics.functions.numeric import tier
+from livemetrics.functions.numeric import text_key, tier
 from livemetrics.functions.predicates import Source, valid_trades
 from livemetrics.functions.timefn import duration_minutes, fmt_day, fmt_ts, repair_interval, tag_replay
 from livemetrics.operators import audience as aud
@@ -109,7 +109,7 @@ def q_room_concurrency(spark, d):
 def q_room_watch(spark, d):
     _prep(spark)
     plays = effective_play(si.player_log(spark, d)).select(
-        F.try_to_date("date", "yyyyMMdd").alias("day"), F.trim("roomid").try_cast("long").alias("room_id"),
+        F.try_to_date("date", "yyyyMMdd").alias("day"), text_key(F.trim("roomid")).alias("room_id"),
         "deviceid", "play_duration")
     return _fmt(watch_metrics(plays, ["day", "room_id"]))
 
@@ -192,11 +192,10 @@ def q_retention(spark, d):
     return _fmt(parts[0].unionByName(parts[1])).select(*keys, "n", "retention_rate")
 
 
-def _intervals(spark, d, staged: bool = False):
-    """Distinct broadcast intervals; staged when the caller reads them twice."""
+def _intervals(spark, d):
+    """Distinct broadcast intervals (in production the cleaned broadcast table is stored)."""
     s = room_flow.clean_broadcasts(si.broadcasts_raw(spark, d), max_gap_s=BROADCAST_GAP_S)
-    iv = s.select(*play_time.IV).distinct()
-    return stage(iv, "intervals") if staged else iv
+    return s.select(*play_time.IV).distinct()
 
 
 def _fmt_iv(df):
@@ -205,7 +204,7 @@ def _fmt_iv(df):
 
 def q_session_page_views(spark, d):
     _prep(spark)
-    iv = _intervals(spark, d, staged=True)     # read by the attribution and the join back
+    iv = stage(_intervals(spark, d), "intervals")     # read by the attribution and the join back
     t1 = play_time.session_page_views(iv, si.page_view(spark, d))
     out = iv.join(t1, play_time.IV, "left").select(
         *play_time.IV, F.coalesce("pv", F.lit(0)).cast("long").alias("pv"),
@@ -283,7 +282,7 @@ def q_rolling_spend(spark, d):
 def q_effective_play(spark, d):
     _prep(spark)
     p = effective_play(si.player_log(spark, d))
-    return p.select("date", F.trim("roomid").try_cast("long").alias("room_id"), "deviceid", "createtime",
+    return p.select("date", text_key(F.trim("roomid")).alias("room_id"), "deviceid", "createtime",
                     "play_duration")
 
 
@@ -305,8 +304,9 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_channel_report(spark, SMOKE_DIR)
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = {
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    """The site's own jobs and operators (without the optional subpackage)."""
+    return {
         "p4_channel_report": q_channel_report,
         "p5_source_report_blog": _source_report("blog"),
         "p5_source_report_direct": _source_report("direct"),
@@ -342,11 +342,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "s1_clean_broadcasts_compat": q_clean_broadcasts_compat,
         "p6_source_views": q_source_views,
     }
-    return own | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
 
 
-def oracle_sql() -> dict[str, str]:
-    own = {
+def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | (llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def own_oracle_sql() -> dict[str, str]:
+    return {
         "p4_channel_report": oq.channel_report(),
         "p5_source_report_blog": oq.source_report("blog"),
         "p5_source_report_direct": oq.source_report("direct"),
@@ -382,7 +385,10 @@ def oracle_sql() -> dict[str, str]:
         "s1_clean_broadcasts_compat": oq.clean_broadcasts_compat(),
         "p6_source_views": oq.source_views(),
     }
+
+
+def oracle_sql() -> dict[str, str]:
     more = llm.oracle_sql() if llm else {}
     if corpus_pipeline is not None and corpus_pipeline.ORACLE_SQL:
         more = more | {"pipeline": corpus_pipeline.ORACLE_SQL}
-    return own | more
+    return own_oracle_sql() | more

@@ -11,6 +11,24 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def text_long(x) -> Column:
+    """Number text as a bigint, fraction cut off toward zero (Hive: ``cast('123.7' as bigint)``
+    is 123); text that is no number is NULL."""
+    d = _c(x).cast("string").try_cast(DecimalType(38, 6))
+    return F.when(d >= 0, F.floor(d)).otherwise(F.ceil(d)).try_cast("long")
+
+
+def text_key(x) -> Column:
+    """Number text compared with a bigint key: '7' and '7.0' are 7, '7.5' matches nothing."""
+    d = _c(x).cast("string").try_cast(DecimalType(38, 6))
+    return F.when(d == F.floor(d), F.floor(d)).try_cast("long")
+
+
+def money(x) -> Column:
+    """Amounts as decimals: sums of doubles depend on task order, sums of decimals do not."""
+    return _c(x).cast(DecimalType(20, 6))
+
+
 def safe_div(num, den) -> Column:
     """``num / den`` as double, NULL when ``den`` is 0 or NULL (Hive rule)."""
     return F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
@@ -26,7 +44,8 @@ def round_half_up(x, digits: int) -> Column:
 
 
 def decimal0(x) -> Column:
-    """Hive ``cast(x as decimal)`` (decimal(10,0), half-up) as a bigint."""
+    """Half-up rounding to a whole number, as a bigint.  Hive's ``cast(x as decimal)`` is
+    decimal(10,0) and turns larger values into NULL; they are kept here on purpose."""
     return F.round(_c(x).cast("double"), 0).cast("bigint")
 
 

@@ -4,31 +4,44 @@ A band join on time inside an equi join on the key.  Joining on the key alone ma
 busy room a single task that compares every event with every session of the room; here
 both sides also carry a time bucket:
 
-* each session is exploded into the buckets its interval touches (``sequence``),
-* each event falls in exactly one bucket,
+* a session is laid out over buckets of two widths: whole coarse buckets (a day) where it
+  covers them, fine ones for the rest of its first and last day;
+* an event falls in one fine and one coarse bucket.
 
-and the equi join runs on (key, bucket) with the inclusive band as a residual filter.
-Because an event has one bucket and a session at most one row per bucket, no pair is
-produced twice.  A busy room spreads over its buckets; a hot (room, bucket) can further be
-split with ``salt`` (events hashed into ``salt`` parts, sessions replicated), and AQE's
-skew-join splitting applies on top.
+The equi join runs on (key, width, bucket) with the inclusive band as a residual filter.
+A session has at most one row per bucket and no fine bucket inside a coarse one it has, so
+no pair is produced twice, and a session of any length - a corrupt end far in the future, a
+stream of many days - costs one row per day.  Nothing is dropped, capped or switched by
+size, and building the query runs no job.
 
-Sessions spanning more than ``max_buckets`` buckets (a corrupt end far in the future, a
-multi-day stream) are not exploded: they take an exact second path, a join on the key with
-the band as the condition, and the two results are unioned.  Nothing is dropped or capped.
+A busy room spreads over its buckets; ``salt`` further splits every (key, bucket): events
+are dealt into ``salt`` parts by hash and the few session rows are repeated for each.
+AQE's skew-join splitting applies on top.
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+COARSE = 96                                  # fine buckets per coarse bucket
+
+
+def _layout(b0: Column, b1: Column) -> Column:
+    """Buckets of a session whose fine buckets are ``b0`` .. ``b1``: array of (width, bucket)."""
+    c0, c1 = F.ceil(b0 / COARSE), F.floor((b1 + 1) / COARSE) - 1      # coarse buckets wholly inside
+    whole = c1 >= c0
+    fine = lambda a, b: F.when(b >= a, F.transform(
+        F.sequence(a, b), lambda x: F.struct(F.lit(0).alias("w"), x.alias("b")))).otherwise(F.array())
+    coarse = F.transform(F.sequence(c0, c1), lambda x: F.struct(F.lit(1).alias("w"), x.alias("b")))
+    return F.when(whole, F.concat(fine(b0, c0 * COARSE - 1), coarse, fine((c1 + 1) * COARSE, b1))) \
+            .otherwise(fine(b0, b1))
+
 
 def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,
-              ts: str, bucket_s: int = 900, salt: int = 1, max_buckets: int = 192,
-              long_broadcast_rows: int = 100_000) -> DataFrame:
+              ts: str, bucket_s: int = 900, salt: int = 1) -> DataFrame:
     """Inner band join: one row per (session, event) with ``start <= ts <= end``.
 
     Output: all session columns, then the event columns except the key (the event key
@@ -39,42 +52,21 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
     if clash:
         raise ValueError(f"columns on both sides: {sorted(clash)}")
     b0 = F.floor(F.unix_seconds(F.col(start)) / bucket_s)
-    b1 = F.greatest(b0, F.floor(F.unix_seconds(F.col(end)) / bucket_s))
-    short = (b1 - b0) < max_buckets
+    b1 = F.floor(F.unix_seconds(F.col(end)) / bucket_s)
+    s = (sessions.where(F.col(start) <= F.col(end)).withColumn("_at", F.explode(_layout(b0, b1)))
+                 .withColumn("_w", F.col("_at.w")).withColumn("_bk", F.col("_at.b")).drop("_at"))
+    fine = F.floor(F.unix_seconds(F.col(ts)) / bucket_s)
     e = events.select(*[F.col(k).alias(f"_ek_{k}") for k in key],
                       *[c for c in events.columns if c not in key],
-                      F.floor(F.unix_seconds(F.col(ts)) / bucket_s).alias("_ebk"))
-    # Long sessions are rare: count them (bounded by a LIMIT) and broadcast them when few,
-    # so the events are not shuffled a second time; skip the path when there are none.
-    long_s = sessions.where(~short)
-    n_long = long_s.limit(long_broadcast_rows + 1).count()
-    long_pairs = None
-    if n_long:
-        ls = F.broadcast(long_s) if n_long <= long_broadcast_rows else long_s
-        long_pairs = (e.join(ls, [ls[k] == e[f"_ek_{k}"] for k in key]
-                             + [e[ts].between(ls[start], ls[end])], "inner")
-                       .drop("_ebk", *[f"_ek_{k}" for k in key]))
-    s = sessions.where(short).withColumn("_bk", F.explode(F.sequence(b0, b1)))
-    cond = [s[k] == e[f"_ek_{k}"] for k in key] + [s["_bk"] == e["_ebk"]]
+                      F.explode(F.array(F.struct(F.lit(0).alias("w"), fine.alias("b")),
+                                        F.struct(F.lit(1).alias("w"), F.floor(fine / COARSE).alias("b")))).alias("_eat"))
+    cond = [s[k] == e[f"_ek_{k}"] for k in key] + [s["_w"] == e["_eat"]["w"], s["_bk"] == e["_eat"]["b"]]
+    drop = ["_w", "_bk", "_eat", *[f"_ek_{k}" for k in key]]
     if salt > 1:
         s = s.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        e = e.withColumn("_esalt", F.pmod(F.xxhash64(*[c for c in e.columns]), F.lit(salt)))
-        cond.append(s["_salt"] == e["_esalt"])
+        e = e.withColumn("_esalt", F.pmod(F.xxhash64(*[c for c in events.columns if c not in key]), F.lit(salt)).cast("int"))
+        cond = [s[k] == e[f"_ek_{k}"] for k in key] + [
+            s["_w"] == e["_eat"]["w"], s["_bk"] == e["_eat"]["b"], s["_salt"] == e["_esalt"]]
+        drop += ["_salt", "_esalt"]
     cond.append(e[ts].between(s[start], s[end]))
-    j = s.join(e, cond, "inner")
-    drop = ["_bk", "_ebk", *[f"_ek_{k}" for k in key]] + (["_salt", "_esalt"] if salt > 1 else [])
-    j = j.drop(*drop)
-    return j if long_pairs is None else j.unionByName(long_pairs)
-
-
-def attribute_counts(sessions: DataFrame, events: DataFrame, key: Sequence[str], start: str, end: str,
-                     ts: str, alias: str = "n_events", **kw) -> DataFrame:
-    """Left-preserving form: every session with the number of events it contains (0 if none).
-
-    Inner join, aggregate per session, then join the counts back to the sessions.
-    """
-    skeys = [*key, start, end]
-    counts = attribute(sessions.select(*skeys).distinct(), events, key, start, end, ts, **kw) \
-        .groupBy(*skeys).agg(F.count(F.lit(1)).alias(alias))
-    return (sessions.join(counts, skeys, "left")
-                    .withColumn(alias, F.coalesce(F.col(alias), F.lit(0).cast("long"))))
+    return s.join(e, cond, "inner").drop(*drop)

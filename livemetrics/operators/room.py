@@ -8,7 +8,7 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from livemetrics.functions.numeric import decimal0, round_half_up, safe_div
+from livemetrics.functions.numeric import decimal0, round_half_up, safe_div, text_long
 from livemetrics.functions.predicates import valid_trades
 from livemetrics.functions.timefn import OPEN_END_PREFIX, parse_ts, repaired_end
 
@@ -23,9 +23,9 @@ def effective_play(log: DataFrame, play: str = "playduration", stuck: str = "stu
                    os: str = "ostype", out: str = "play_duration", keep_nan: bool = False) -> DataFrame:
     """M1: keep records with 0 <= play <= one day and a non-negative stall time; effective
     play = play on PC clients, play - stall elsewhere.  A stall of ``NaN`` is dropped
-    (the original filter did so); ``keep_nan=True`` counts it as 0 instead."""
-    p = F.col(play).try_cast("long")
-    s = F.col(stuck).try_cast("long")
+    (the original filter did so); ``keep_nan=True`` counts it as 0 instead.  Both times are
+    number text and may carry a fraction."""
+    p, s = text_long(play), text_long(stuck)
     is_nan = F.col(stuck) == "NaN"
     ok_stuck = (s >= 0) | is_nan if keep_nan else (s >= 0)
     eff = (F.when(F.substring(F.col(os), 1, 2) == PC_PREFIX, p)

@@ -66,16 +66,15 @@ def top_k_string(df: DataFrame, user: str, item: str, value: str, k: int = 5, al
     """U4: ``{id:value,...}`` of the ``k`` largest summed values per user.
 
     Order is value descending, then id ascending (ties broken by id, so the string is
-    stable).  The rank filter is planned as a per-partition group limit before the
+    stable).  The ranking uses the full sums; ``value_format`` only shapes what is printed.  The rank filter is planned as a per-partition group limit before the
     shuffle, so a user with millions of items ships only ``k`` rows per partition.
     """
     per = df.groupBy(user, item).agg(F.sum(value).alias("_v"))
-    if value_format is not None:
-        per = per.withColumn("_v", value_format(F.col("_v")))
+    shown = F.col("_v") if value_format is None else value_format(F.col("_v"))
     w = Window.partitionBy(user).orderBy(F.col("_v").desc(), F.col(item).asc())
     top = per.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
     pairs = F.array_sort(F.collect_list(F.struct(F.col("_rn"), F.concat_ws(
-        ":", F.col(item).cast("string"), F.col("_v").cast("string")).alias("s"))))
+        ":", F.col(item).cast("string"), shown.cast("string")).alias("s"))))
     return (top.groupBy(user)
                .agg(pairs.alias("_p"))
                .select(user, F.concat(F.lit("{"), F.array_join(F.transform("_p", lambda x: x["s"]), ","),

@@ -7,24 +7,11 @@ from pyspark.sql import functions as F
 
 from livemetrics.sources.tables import valid_rooms
 
-# Categories are a small, curated list (tens to hundreds of rows).  Broadcast it only
-# after checking that bound; above it the join is left to AQE, which switches to a
-# broadcast at runtime when the real size allows.
-MAX_BROADCAST_ROWS = 100_000
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows (checked with a LIMIT count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def room_dims(rooms: DataFrame, categories: DataFrame) -> DataFrame:
     """Valid rooms (room_id > 0) with their category: room_id, rdomain, user_id, user_title,
-    cid, cname, cdomain.  The room table itself grows with the site and is not broadcast
-    by hand."""
+    cid, cname, cdomain.  Nothing is broadcast by hand: both joins are left to AQE, which
+    broadcasts a side once its measured bytes are under the session's threshold."""
     r = valid_rooms(rooms).select("room_id", F.col("domain").alias("rdomain"), "user_id", "user_title",
                                   "category_id")
-    c = bounded_broadcast(categories.select(F.col("id").alias("cid"), F.col("name").alias("cname"),
-                                            F.col("domain").alias("cdomain")))
+    c = categories.select(F.col("id").alias("cid"), F.col("name").alias("cname"), F.col("domain").alias("cdomain"))
     return r.join(c, r.category_id == c.cid, "left").drop("category_id")

@@ -9,7 +9,7 @@ end) and joined back, so two broadcasts sharing an interval do not double anythi
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from livemetrics.functions.predicates import valid_trades
@@ -18,7 +18,7 @@ from livemetrics.functions.timefn import (
 )
 from livemetrics.operators import online
 from livemetrics.operators.attribution import attribute
-from livemetrics.functions.numeric import decimal0, round_half_up, safe_div
+from livemetrics.functions.numeric import decimal0, round_half_up, safe_div, text_key
 from livemetrics.operators.room import VALID_PLAY_MS, effective_play, room_revenue, watch_metrics
 from livemetrics.plans.dims import room_dims
 from livemetrics.staging import stage
@@ -29,13 +29,25 @@ SESSION_COLS = ["room_id", "domain", "begin_time", "end_time", "max_viewer", "ac
                 "game_name", "play_title", "is_live"]
 # Fixed value: only first sends of a page view count as a view.
 FIRST_SEND = 1
+# Parts a (room, time bucket) of the event logs is dealt into for the band join.
+SALT = 4
+# A reading as one number that orders by count, then by earlier time: seconds fit 33 bits.
+SECONDS = 1 << 33
+
+
+def peak_code(count: Column, ts: Column) -> Column:
+    return count * F.lit(SECONDS) + (F.lit(SECONDS - 1) - F.unix_seconds(ts))
+
+
+def peak_code_time(code: Column) -> Column:
+    return F.timestamp_seconds(F.lit(SECONDS - 1) - F.pmod(code, F.lit(SECONDS)))
 
 
 def session_page_views(iv: DataFrame, page_views: DataFrame, bucket_s: int = 900) -> DataFrame:
     """Pv (views with send_count = 1) and uv (distinct viewers) per interval."""
     pv = page_views.where(F.col("send_count") == FIRST_SEND).select(
-        F.col("sbt").try_cast("long").alias("room_id"), parse_epoch_s("s_timestamp").alias("_ts"), "uuid")
-    pairs = attribute(iv, pv, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+        text_key("sbt").alias("room_id"), parse_epoch_s("s_timestamp").alias("_ts"), "uuid")
+    pairs = attribute(iv, pv, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
     per_user = pairs.groupBy(*IV, "uuid").agg(F.count(F.lit(1)).alias("_n"))
     return per_user.groupBy(*IV).agg(F.sum("_n").cast("long").alias("pv"), F.count("uuid").alias("uv"))
 
@@ -44,7 +56,7 @@ def session_concurrency(iv: DataFrame, online_counts: DataFrame, bucket_s: int =
     """I3 + O5: PCU / ACU over the readings inside the interval and the earliest in-window
     time at the in-window inner maximum."""
     oc = online_counts.select("room_id", F.col("time").alias("_ts"), "outer_ol", "inner_ol", "encripted_ol")
-    pairs = attribute(iv, oc, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+    pairs = attribute(iv, oc, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
     return online.peak_and_average(pairs, IV, time="_ts")
 
 
@@ -53,16 +65,16 @@ def session_revenue(iv: DataFrame, trades: DataFrame, bucket_s: int = 900) -> Da
     tr = trades.where(valid_trades()).select(
         "room_id", parse_ts("tr_date").alias("_ts"), "price", "item_num", "operator_id",
         "trade_status", "product_name", "item_id")
-    pairs = attribute(iv, tr, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+    pairs = attribute(iv, tr, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
     return room_revenue(pairs, IV)
 
 
 def session_watch(iv: DataFrame, player_log: DataFrame, bucket_s: int = 900) -> DataFrame:
     """Watch metrics of plays that started inside the interval."""
     pl = effective_play(player_log).select(
-        F.trim("roomid").try_cast("long").alias("room_id"), parse_epoch_ms("createtime").alias("_ts"),
+        text_key(F.trim("roomid")).alias("room_id"), parse_epoch_ms("createtime").alias("_ts"),
         "deviceid", "play_duration")
-    pairs = attribute(iv, pl, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+    pairs = attribute(iv, pl, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
     return watch_metrics(pairs, IV)
 
 
@@ -81,7 +93,7 @@ def _tagged_events(page_views: DataFrame, online_counts: DataFrame, trades: Data
     """The four event logs as one frame: room, time, log tag ``_t``, the id counted
     distinctly for that log ``_id`` (viewer, payer, device), and the log's measures."""
     pv = page_views.where(F.col("send_count") == FIRST_SEND).select(
-        F.col("sbt").try_cast("long").alias("room_id"), parse_epoch_s("s_timestamp").alias("_ts"),
+        text_key("sbt").alias("room_id"), parse_epoch_s("s_timestamp").alias("_ts"),
         F.lit("pv").alias("_t"), F.col("uuid").cast("string").alias("_id"))
     oc = online_counts.select("room_id", F.col("time").alias("_ts"), F.lit("oc").alias("_t"),
                               F.lit(None).cast("string").alias("_id"), "outer_ol", "inner_ol", "encripted_ol")
@@ -89,7 +101,7 @@ def _tagged_events(page_views: DataFrame, online_counts: DataFrame, trades: Data
         "room_id", parse_ts("tr_date").alias("_ts"), F.lit("tr").alias("_t"),
         F.col("operator_id").cast("string").alias("_id"), "price", "item_num")
     pl = effective_play(player_log).select(
-        F.trim("roomid").try_cast("long").alias("room_id"), parse_epoch_ms("createtime").alias("_ts"),
+        text_key(F.trim("roomid")).alias("room_id"), parse_epoch_ms("createtime").alias("_ts"),
         F.lit("pl").alias("_t"), F.col("deviceid").cast("string").alias("_id"), "play_duration")
     return (pv.unionByName(oc, allowMissingColumns=True).unionByName(tr, allowMissingColumns=True)
               .unionByName(pl, allowMissingColumns=True))
@@ -99,10 +111,11 @@ def broadcast_metrics(iv: DataFrame, events: DataFrame, bucket_s: int = 900) ->
     """I2-I5 and O5 in one pass: a single band join of the tagged logs to the intervals,
     then two conditional aggregations - to (interval, log, id), then to the interval.
     Distinct viewers, payers and devices are the non-null ids of the second step."""
-    pairs = attribute(iv, events, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s)
+    pairs = attribute(iv, events, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
     pd = F.col("play_duration")
     g1 = pairs.groupBy(*IV, "_t", "_id").agg(
         F.count(F.lit(1)).alias("_n"),
+        F.max(peak_code(F.col("inner_ol"), F.col("_ts"))).alias("_peak"),
         *[a for m in ("outer_ol", "inner_ol", "encripted_ol")
           for a in (F.max(m).alias(f"_max_{m}"), F.sum(m).alias(f"_sum_{m}"), F.count_if(F.col(m) > 0).alias(f"_pos_{m}"))],
         F.sum("price").alias("_price"), F.sum("item_num").alias("_items"),
@@ -127,13 +140,10 @@ def broadcast_metrics(iv: DataFrame, events: DataFrame, bucket_s: int = 900) ->
              decimal0(F.sum(on("pl", F.col("_posplay"))) / 1000 / 60).alias("play_duration"),
              vv_device.alias("vv_device"),
              F.count_if((t == "pl") & has_id & (F.col("_valid") > 0)).alias("valid_vv_device")]
-    metrics = g1.groupBy(*IV).agg(*aggs)
-    # The peak time orders by (value, time): its struct buffer would turn the aggregation
-    # above into a sort-based one, so it runs separately over the online-count pairs only.
-    peak = (pairs.where(t == "oc").groupBy(*IV)
-                 .agg(F.min_by(F.col("_ts"), F.struct((-F.col("inner_ol")).alias("v"),
-                                                      F.col("_ts").alias("t"))).alias("peak_time")))
-    return metrics.join(peak, IV, "left")
+    # The earliest time at the highest inner count is the largest packed reading: a plain
+    # maximum, so the aggregation stays hash-based and the pairs are read once.
+    metrics = g1.groupBy(*IV).agg(F.max(on("oc", F.col("_peak"))).alias("_peak"), *aggs)
+    return metrics.withColumn("peak_time", peak_code_time(F.col("_peak"))).drop("_peak")
 
 
 def room_play_time(sessions: DataFrame, page_views: DataFrame, online_counts: DataFrame,

@@ -11,9 +11,8 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from livemetrics.functions.numeric import round_half_up
+from livemetrics.functions.numeric import round_half_up, text_key
 from livemetrics.functions.predicates import Source
-from livemetrics.plans.dims import bounded_broadcast
 from livemetrics.staging import stage
 from livemetrics.operators.audience import (
     audience, bounce_rate, distinct_count, join_nullsafe, label_sources, retention, user_grain, visits,
@@ -67,34 +66,34 @@ SOURCE_COLUMNS = ["date", "create_time", "uv", "new_user_cnt", "frequent_user_cn
                   "1_day_retention_rate", "7_days_retention_rate"]
 
 
-def source_report(track: DataFrame, page_views: DataFrame, source: Source, load_time,
-                  days: DataFrame | None = None, day: str = "day", user: str = "uuid",
-                  ip: str = "ip", with_bounce: bool = True) -> DataFrame:
-    """P5: one row per day for the traffic ``source``; metrics without data are 0.
+def source_reports(track: DataFrame, page_views: DataFrame, sources: Sequence[Source], load_time,
+                   days: DataFrame | None = None, day: str = "day", user: str = "uuid",
+                   ip: str = "ip", with_bounce: bool = True) -> DataFrame:
+    """P5 for any number of traffic sources in one pass: one row per source (``type``) and day.
 
     The unique visitors, new users, stay, bounce and retention come from the track; the
-    IP count from the raw page views.  ``days`` (one column ``day``) is the set of report
-    days; by default every day present in the track.  ``load_time`` is the load stamp
-    written to ``create_time``.
+    IP count from the raw page views.  ``days`` (one column ``day``) are the report days:
+    each has a row per source, metrics without data being 0.  By default they are the days
+    present in the track or the page views.  ``load_time`` is the load stamp written to
+    ``create_time``.
     """
-    keys = [day]
-    # One pass over the track: visits of every day, flagged by the source condition.  The
-    # report days come from the unflagged rows, the metrics from the flagged ones.
-    flagged = track.withColumn("_src", F.coalesce(source.condition, F.lit(False)))
-    v_all = stage(visits(flagged, keys, user=user, is_new=F.col("is_new") == 1, extra=["_src"]),
-                  "source_visits")
-    v = v_all.where(F.col("_src"))
+    keys = [day, "type"]
+    # Rows of no source are dropped at the scan; what is shuffled is the sources' own traffic.
+    t = label_sources(track, sources, out="type")
+    v = stage(visits(t, keys, user=user, is_new=F.col("is_new") == 1), "source_visits")
     u = user_grain(v, keys, user=user)
     a = audience(u, keys, user=user)
-    ips = distinct_count(page_views.where(source.condition), keys, ip, "ip")
+    ips = distinct_count(label_sources(page_views, sources, out="type"), keys, ip, "ip")
     r1 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
     r7 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
-    spine = days if days is not None else v_all.select(day).distinct()
+    if days is None:
+        days = track.select(day).unionByName(page_views.select(day)).distinct()
+    spine = days.withColumn("type", F.explode(F.array(*[F.lit(s.name) for s in sources])))
     j = spine.join(a, keys, "left").join(ips, keys, "left").join(r1, keys, "left").join(r7, keys, "left")
     cols = ["uv", "new_user_cnt", "frequent_user_cnt", "ip", "stay_seconds"]
     if with_bounce:
-        j = j.join(bounce_rate(v, keys, session_keys=[day, user, "session_id_in_day"]), keys, "left")
-    out = [_fmt_day(day).alias("date"), F.lit(str(load_time)).alias("create_time")]
+        j = j.join(bounce_rate(v, keys, session_keys=["type", day, user, "session_id_in_day"]), keys, "left")
+    out = ["type", _fmt_day(day).alias("date"), F.lit(str(load_time)).alias("create_time")]
     out += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols[:3]]
     out += [F.coalesce(F.col("frequent_user_ratio"), F.lit(0.0)).alias("frequent_user_ratio")]
     out += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols[3:]]
@@ -103,6 +102,12 @@ def source_report(track: DataFrame, page_views: DataFrame, source: Source, load_
     return j.select(*out)
 
 
+def source_report(track: DataFrame, page_views: DataFrame, source: Source, load_time,
+                  days: DataFrame | None = None, **kw) -> DataFrame:
+    """P5 for one source: one row per report day (see ``source_reports``)."""
+    return source_reports(track, page_views, [source], load_time, days=days, **kw).drop("type")
+
+
 def category_users(page_views: DataFrame, rooms: DataFrame, categories: DataFrame,
                    sources: Sequence[Source], load_time, day: str = "day", room: str = "sbt",
                    user: str = "uuid", min_room_len: int = 2) -> DataFrame:
@@ -114,14 +119,18 @@ def category_users(page_views: DataFrame, rooms: DataFrame, categories: DataFram
     """
     pv = page_views.where(F.length(F.col(room)) >= min_room_len)
     labelled = label_sources(pv, sources, out="type").select(
-        day, "type", user, F.col(room).try_cast("long").alias("_room"))
+        day, "type", user, text_key(room).alias("_room"))
     # Pre-aggregate to (day, source, room, viewer) before the dimension join: a room with a
     # third of all views reaches the join as one partial row per viewer.
     per_room = labelled.groupBy(day, "type", "_room", user).agg(F.count(F.lit(1)).alias("_pv"))
     r = rooms.select(F.col("room_id").alias("_room"), F.col("category_id").alias("_cat"))
-    c = bounded_broadcast(categories.select(F.col("id").alias("cid"), F.col("domain").alias("cdomain"), "name"))
-    j = (per_room.join(r, "_room", "left")
-                 .join(c, F.col("_cat") == F.col("cid"), "left"))
+    c = categories.select(F.col("id").alias("cid"), F.col("domain").alias("cdomain"), "name")
+    # Views without a numeric room match nothing: they go round the join, so their NULL key
+    # is not one shuffle partition.  A room's category is looked up before the views meet it.
+    rc = r.join(c, F.col("_cat") == F.col("cid"), "inner").select("_room", "cid", "cdomain", "name")
+    known = per_room.where(F.col("_room").isNotNull()).join(rc, "_room", "left")
+    none = per_room.where(F.col("_room").isNull())
+    j = known.unionByName(none.withColumns({x: F.lit(None).cast(rc.schema[x].dataType) for x in ("cid", "cdomain", "name")}))
     keys = [day, "type", "cid", "cdomain", "name"]
     # Views per viewer and category, then per key: a viewer of two rooms of one category
     # counts once; NULL category keys group together as in SQL GROUP BY.

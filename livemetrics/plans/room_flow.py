@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
+from livemetrics.functions.numeric import text_key, text_long
 from livemetrics.functions.timefn import fmt_day, fmt_ts, parse_compact_day, repair_interval, tag_replay
 from livemetrics.operators import online
 from livemetrics.operators.room import (
@@ -42,8 +43,8 @@ def clean_broadcasts(raw: DataFrame, max_gap_s: int = 300, bucket_s: int = 3600,
           .withColumn("day", F.coalesce(F.col("day"), F.lit(day_fill))))
     r = repair_interval(r, "begin_time", "end_time")
     r = (r.withColumn("is_live", tag_replay("play_title"))
-          .withColumn("begin_flower_count", F.coalesce(F.col("begin_flower_count").try_cast("long"), F.lit(0)))
-          .withColumn("end_flower_count", F.coalesce(F.col("end_flower_count").try_cast("long"), F.lit(0))))
+          .withColumn("begin_flower_count", F.coalesce(text_long("begin_flower_count"), F.lit(0)))
+          .withColumn("end_flower_count", F.coalesce(text_long("end_flower_count"), F.lit(0))))
     m = merge_adjacent(
         r, key=["day", "room_id"], label="play_title", start="begin_time", end="end_time",
         max_gap_s=max_gap_s, sums=["accumulative_viewer_total", "execute_times"],
@@ -83,7 +84,7 @@ def daily_room_flow(pv_uv: DataFrame, online_counts: DataFrame, trades: DataFram
     k4 = room_revenue(trades, k)
     k5 = room_subscriptions(subs, k)
     plays = effective_play(player_log).select(
-        parse_compact_day("date").alias("day"), F.trim("roomid").try_cast("long").alias("room_id"),
+        parse_compact_day("date").alias("day"), text_key(F.trim("roomid")).alias("room_id"),
         "deviceid", "play_duration")
     k6 = watch_metrics(plays, k)
     k7 = room_broadcast(broadcasts_raw, k, compat=compat_inverted)

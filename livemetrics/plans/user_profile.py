@@ -17,19 +17,29 @@ PROFILE_COLUMNS = ["date", "user_id", "day_total", "day_prange", "week_total", "
                    "first_spent_day", "first_spent_amount", "top5_item", "top5_room"]
 
 
+def trade_grain(trades: DataFrame, last_day, history_start) -> DataFrame:
+    """The valid trades of [history_start, last_day] reduced to (user, day, item, room) and staged:
+    every part of the profile, and every report day, reads this grain instead of the history."""
+    d = dt.date.fromisoformat(str(last_day))
+    h = dt.date.fromisoformat(str(history_start))
+    t = trades.where(valid_trades() & F.col("day").between(F.lit(h), F.lit(d)))
+    return stage(t.groupBy("user_id", "day", "item_id", "room_id")
+                  .agg(F.sum("item_num").alias("item_num"), F.sum("price").alias("price")), "trade_grain")
+
+
 def user_transaction(trades: DataFrame, report_day, history_start) -> DataFrame:
     """One row per user with a valid trade in [history_start, report_day].
 
     Top-5 items (by item count) and rooms (by spend, 2 decimals), biggest and first
     spend days, and the day / 8-day / 31-day spend with its tier.
     """
+    return user_transaction_from_grain(trade_grain(trades, report_day, history_start), report_day)
+
+
+def user_transaction_from_grain(grain: DataFrame, report_day) -> DataFrame:
+    """The profile of one report day from ``trade_grain`` (later days of it are left out)."""
     d = dt.date.fromisoformat(str(report_day))
-    h = dt.date.fromisoformat(str(history_start))
-    t = trades.where(valid_trades() & F.col("day").between(F.lit(h), F.lit(d)))
-    # The history is read once: reduced to (user, day, item, room) and staged; the four
-    # parts below read that grain instead of scanning the trade history four times.
-    g = stage(t.groupBy("user_id", "day", "item_id", "room_id")
-               .agg(F.sum("item_num").alias("item_num"), F.sum("price").alias("price")), "trade_grain")
+    g = grain.where(F.col("day") <= F.lit(d))
     t3 = top_k_string(g, "user_id", "item_id", "item_num", alias="top5_item")
     t4 = top_k_string(g, "user_id", "room_id", "price", alias="top5_room",
                       value_format=lambda c: F.round(c, 2))

@@ -13,7 +13,8 @@ feeds the role).  ``k`` is the integer in ``events.props``.
 | page-view track      | every event: uuid = user_id, channel = (k<50 ? 1 : 2, event_type),  |
 |                      | landing url = pages.url of page k, referrer = previous url in the   |
 |                      | hour session, first login = user's first event                      |
-| raw page views       | every event: room = user_id, viewer = "v"+k                         |
+| raw page views       | every event: room = user_id (k=13: no number, 14/15: with fraction), |
+|                      | viewer = "v"+k                                                      |
 | player log           | every event: play = value minutes, stuck = k seconds (k=0: NaN)     |
 | gift trades          | purchase events (per room / session), orders x lineitem (per user)  |
 | subscriptions        | signup events, active when k < 80                                   |
@@ -22,6 +23,8 @@ feeds the role).  ``k`` is the integer in ``events.props``.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -93,6 +96,7 @@ def broadcasts_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 PERIOD_BY_TYPE = {"view": 360, "click": 36, "purchase": 38, "signup": 360, "error": 39}
 INFO_BY_TYPE = {"view": 1, "click": 8, "purchase": 48, "signup": 49, "error": 7}
+FLOWER = 5                                   # error events with an odd k
 
 
 def _code(mapping: dict):
@@ -103,11 +107,13 @@ def _code(mapping: dict):
 
 
 def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Online-count readings at hourly ticks (ods_report_room_online_count)."""
+    """Online-count readings at hourly ticks, some with a fraction of a second
+    (ods_report_room_online_count)."""
     e = events(spark, sf_dir)
     return e.select(
         "day",
-        _fmt(F.date_trunc("hour", "ts")).alias("time"),
+        F.concat(_fmt(F.date_trunc("hour", "ts")),
+                 F.when(F.col("k") % 7 == 0, F.lit(".250")).otherwise(F.lit(""))).alias("time"),
         F.col("user_id").alias("room_id"),
         F.floor(F.col("k") / 25).alias("category_id"),
         F.lit("host").alias("user_title"),
@@ -118,7 +124,8 @@ def online_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def room_pv_uv(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = events(spark, sf_dir)
-    return e.select("day", F.col("user_id").alias("room_id"), _code(INFO_BY_TYPE).alias("info_type"),
+    code = F.when((F.col("event_type") == "error") & (F.col("k") % 2 == 1), FLOWER).otherwise(_code(INFO_BY_TYPE))
+    return e.select("day", F.col("user_id").alias("room_id"), code.alias("info_type"),
                     F.col("k").cast("long").alias("count"))
 
 
@@ -161,7 +168,9 @@ def page_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select(
         "day",
         _epoch_s(F.col("ts")).cast("string").alias("s_timestamp"),
-        F.col("user_id").cast("string").alias("sbt"),
+        F.when(F.col("k") == 13, F.lit("lobby")).when(F.col("k") == 14, F.concat(F.col("user_id").cast("string"), F.lit(".0")))
+         .when(F.col("k") == 15, F.concat(F.col("user_id").cast("string"), F.lit(".5")))
+         .otherwise(F.col("user_id").cast("string")).alias("sbt"),
         F.concat(F.lit("v"), F.col("k").cast("string")).alias("uuid"),
         F.when(F.col("value") >= 100, 2).otherwise(1).alias("send_count"),
         "ip", "source_url", "url", "tid",
@@ -169,7 +178,9 @@ def page_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def player_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Play records; some times are written with a fraction, as some clients do."""
     e = events(spark, sf_dir)
+    fraction = lambda digit, text: F.when(F.col("k") % 10 == digit, F.lit(text)).otherwise(F.lit(""))
     return e.select(
         F.date_format("ts", "yyyyMMdd").alias("date"),
         F.lpad(F.col("user_id").cast("string"), 6, " ").alias("roomid"),
@@ -177,8 +188,9 @@ def player_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("10.0.0."), F.col("k").cast("string")).alias("ip"),
         F.when(F.col("event_type") == "view", "PC").when(F.col("event_type") == "click", "PCweb")
          .otherwise("android").alias("ostype"),
-        F.floor(F.col("value") * 60000).cast("string").alias("playduration"),
-        F.when(F.col("k") == 0, F.lit("NaN")).otherwise((F.col("k") * 1000).cast("string")).alias("stuckduration"),
+        F.concat(F.floor(F.col("value") * 60000).cast("string"), fraction(3, ".0"), fraction(7, ".9")).alias("playduration"),
+        F.when(F.col("k") == 0, F.lit("NaN"))
+         .otherwise(F.concat((F.col("k") * 1000).cast("string"), fraction(4, ".5"))).alias("stuckduration"),
         _epoch_ms(F.col("ts")).cast("string").alias("createtime"),
     )
 
@@ -203,7 +215,7 @@ def trades_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def trades_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Gift trades from lineitem x orders (user = customer, room = supplier, item = part)."""
     o = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
-    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_quantity",
+    li = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                                                   "l_extendedprice")
     j = li.join(o, li.l_orderkey == o.o_orderkey)
     return j.select(
@@ -214,7 +226,9 @@ def trades_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_custkey").alias("operator_id"),
         F.col("l_partkey").alias("item_id"),
         F.col("l_quantity").cast("long").alias("item_num"),
-        F.col("l_extendedprice").cast("decimal(18,2)").alias("price"),
+        # more than two decimals, so that ranking by the rounded sum would show
+        (F.col("l_extendedprice").cast("decimal(18,2)")
+         + F.col("l_linenumber").cast("decimal(4,0)") * F.lit(Decimal("0.0011"))).alias("price"),
         F.when(F.col("o_orderstatus") == "F", 1).otherwise(0).alias("trade_status"),
         F.lit("platform").alias("product_name"),
     )

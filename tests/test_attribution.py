@@ -5,7 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from livemetrics.operators.attribution import attribute, attribute_counts
+from livemetrics.operators.attribution import attribute
 
 T = dt.datetime
 
@@ -33,8 +33,6 @@ def test_boundaries_overlap_midnight(spark):
     ])
     pairs = sorted((r.sid, r.eid) for r in attribute(s, e, ["room_id"], "s", "e", "ts", bucket_s=600).collect())
     assert pairs == [("A", 1), ("A", 2), ("A", 3), ("B", 2), ("B", 3), ("C", 5)]
-    counts = {r.sid: r.n_events for r in attribute_counts(s, e, ["room_id"], "s", "e", "ts").collect()}
-    assert counts == {"A": 3, "B": 2, "C": 1, "D": 0}
 
 
 def test_bucketed_matches_plain_join(spark):
@@ -49,18 +47,28 @@ def test_bucketed_matches_plain_join(spark):
     plain = s.join(e.withColumnRenamed("room_id", "r2"),
                    (s.room_id == F.col("r2")) & F.col("ts").between(s.s, s.e)).select("sid", "eid")
     want = sorted(tuple(r) for r in plain.collect())
-    for bucket_s, salt, mb in ((900, 1, 192), (60, 1, 192), (3600, 4, 192), (900, 1, 2)):
+    for bucket_s, salt in ((900, 1), (60, 1), (3600, 4), (7, 2)):      # 7 s: coarse buckets of 11 minutes
         got = sorted((r.sid, r.eid) for r in
-                     attribute(s, e, ["room_id"], "s", "e", "ts", bucket_s=bucket_s, salt=salt,
-                               max_buckets=mb).collect())
-        assert got == want, (bucket_s, salt, mb)
+                     attribute(s, e, ["room_id"], "s", "e", "ts", bucket_s=bucket_s, salt=salt).collect())
+        assert got == want, (bucket_s, salt)
 
 
-def test_long_session_takes_exact_path(spark):
+def test_long_session_in_the_same_join(spark):
     s = sessions(spark, [(1, "L", T(2024, 1, 1), T(2030, 1, 1)), (1, "S", T(2024, 1, 1), T(2024, 1, 1, 1))])
     e = events(spark, [(1, 1, T(2024, 1, 1, 0, 30)), (1, 2, T(2029, 6, 1))])
-    got = sorted((r.sid, r.eid) for r in attribute(s, e, ["room_id"], "s", "e", "ts").collect())
-    assert got == [("L", 1), ("L", 2), ("S", 1)]
+    j = attribute(s, e, ["room_id"], "s", "e", "ts")
+    assert sorted((r.sid, r.eid) for r in j.collect()) == [("L", 1), ("L", 2), ("S", 1)]
+    assert j._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 1      # one band join
+
+
+def test_session_layout_rows(spark):
+    """A session costs one row per whole day and at most two days of fine buckets."""
+    from livemetrics.operators.attribution import COARSE, _layout
+    df = spark.createDataFrame([(0, 0), (3, 95), (0, 95), (5, 96 * 400 + 7), (95, 96), (-200, -1)], "a long, b long")
+    for r in df.select("a", "b", _layout(F.col("a"), F.col("b")).alias("x")).collect():
+        assert len(r.x) <= (r.b - r.a) // COARSE + 2 * COARSE
+        covered = sorted(k for w, n in r.x for k in ([n] if w == 0 else range(n * COARSE, (n + 1) * COARSE)))
+        assert covered == list(range(r.a, r.b + 1))
 
 
 def test_session_page_views_edges(spark):
@@ -116,14 +124,13 @@ from hypothesis import strategies as st  # noqa: E402
 @settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(sess=st.lists(st.tuples(st.integers(1, 3), st.integers(0, 20000), st.integers(0, 9000)), min_size=1, max_size=15),
        evs=st.lists(st.tuples(st.integers(1, 3), st.integers(0, 30000)), min_size=0, max_size=40),
-       bucket_s=st.sampled_from([60, 900, 3600]), salt=st.sampled_from([1, 3]), max_buckets=st.sampled_from([2, 192]))
-def test_property_band_join(spark, sess, evs, bucket_s, salt, max_buckets):
+       bucket_s=st.sampled_from([7, 60, 900, 3600]), salt=st.sampled_from([1, 3]))
+def test_property_band_join(spark, sess, evs, bucket_s, salt):
     base = T(2024, 1, 1)
     sd = [(r, f"s{i}", base + dt.timedelta(seconds=a), base + dt.timedelta(seconds=a + d))
           for i, (r, a, d) in enumerate(sess)]
     ed = [(r, i, base + dt.timedelta(seconds=x)) for i, (r, x) in enumerate(evs)]
     want = sorted((s[1], e[1]) for s in sd for e in ed if s[0] == e[0] and s[2] <= e[2] <= s[3])
     got = sorted((r.sid, r.eid) for r in attribute(sessions(spark, sd), events(spark, ed), ["room_id"], "s", "e",
-                                                  "ts", bucket_s=bucket_s, salt=salt,
-                                                  max_buckets=max_buckets).collect())
+                                                  "ts", bucket_s=bucket_s, salt=salt).collect())
     assert got == want

@@ -74,3 +74,17 @@ def test_room_flow_defaults(spark):
     a, b = out[1], out[2]
     assert (a.category_name, a.acu_in, a.pcu_in, a.is_broadcast, a.play_minutes) == ("cat", 0, 0, 1, 0.0)
     assert (b.domain, b.category_id, b.acu_in, b.acu_out, b.app_pv, b.is_broadcast) == (None, None, 1, 1, 3, 0)
+
+
+def test_play_times_with_fractions(spark):
+    rows = [("123.0", "0"), ("16000.5", "1000.9"), ("-0.5", "0"), ("5000", "NaN"), ("abc", "0"), (None, "0"), ("7", "-1.0")]
+    log = spark.createDataFrame([(p, s, "android") for p, s in rows], "playduration string, stuckduration string, ostype string")
+    assert sorted(r.play_duration for r in effective_play(log).collect()) == [0, 123, 15000]
+    assert sorted(r.play_duration for r in effective_play(log, keep_nan=True).collect()) == [0, 123, 5000, 15000]
+
+
+def test_text_keys(spark):
+    from livemetrics.functions.numeric import text_key, text_long
+    df = spark.createDataFrame([("7",), ("7.0",), (" 7 ",), ("7.5",), ("-3.9",), ("x",), (None,), ("1e3",), ("99999999999999999999",)], "c string")
+    assert [r[0] for r in df.select(text_key("c")).collect()] == [7, 7, 7, None, None, None, None, 1000, None]
+    assert [r[0] for r in df.select(text_long("c")).collect()] == [7, 7, 7, 7, -3, None, None, 1000, None]

@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 import __spark_entry__ as se
 from livemetrics.operators.attribution import attribute
 from livemetrics.operators.sessions import merge_adjacent
-from livemetrics.plans.dims import bounded_broadcast
 from livemetrics.sinks import overwrite_partitions
 from livemetrics.sources import compact_day_scan, day_range, day_scan, lagged_day
 
@@ -61,16 +60,9 @@ def test_hot_room_attribution_keys(spark):
     assert "_bk" in p and "_salt" in p                                      # join keyed by room, bucket, salt
 
 
-def test_bounded_broadcast(spark):
-    small = spark.range(10)
-    assert "ResolvedHint (strategy=broadcast)" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in bounded_broadcast(small, 100)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" not in bounded_broadcast(spark.range(1000), 100)._jdf.queryExecution().analyzed().toString()
-
-
 def test_no_python_or_cross_join_in_query_plans(spark):
     d = "/root/testdata/sf0.001"
-    for name, q in se.queries().items():
+    for name, q in se.own_queries().items():
         p = _plan(q(spark, d))
         assert "Python" not in p and "ArrowEval" not in p, name
         assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name

@@ -1,6 +1,7 @@
 """S1 merge_adjacent: edge rows and a randomized check against a row-by-row restatement."""
 
 import datetime as dt
+import itertools
 import random
 
 
@@ -136,28 +137,30 @@ def merge_compat(spark, data, gap=300, bucket_s=3600):
 
 
 def restate_compat(data, gap):
-    """The original script's behaviour, stated row by row over the global
-    (room, start) order: a row continues the open segment only with the same title and the
-    same room and a gap (modulo one day) within the limit; a row with the open segment's
-    title but another room is emitted on its own and leaves the open segment as it is; a
-    gap break starts a new segment that keeps the attributes of the run's first row."""
-    rows = sorted(data, key=lambda r: (r[0], r[2], r[3], (r[1] is not None, r[1] or ""), r[5]))
-    out, cur, name, held_room = [], None, object(), None
-    for room, title, s, e, v, a in rows:
-        if cur is None or title != name:
-            if cur:
-                out.append(tuple(cur))
-            cur, name, held_room = [room, title, s, e, v, a], title, room
-        elif room == held_room:
-            if abs((s - cur[3]).total_seconds()) % 86400 <= gap:
-                cur[3], cur[4] = e, cur[4] + v
-            else:
-                out.append(tuple(cur))
-                cur = [room, title, s, e, v, cur[5]]
-        else:
-            out.append((room, title, s, e, v, a))
-    if cur:
-        out.append(tuple(cur))
+    """Compat output stated per run and segment, without an order of execution.
+
+    A *run* is a maximal stretch of one room's rows with the same title.  A run is *carried*
+    if it opens its room and the room before it (in id order) ends with its title: then every
+    row stands alone.  Any other run is cut where the gap to the row before, modulo one
+    day, exceeds the limit; each piece is a segment that shows the attributes of the run's
+    first row."""
+    rooms = {}
+    for row in sorted(data, key=lambda r: (r[0], r[2], r[3], (r[1] is not None, r[1] or ""), r[5])):
+        rooms.setdefault(row[0], []).append(row)
+    runs = {k: [list(g) for _, g in itertools.groupby(v, key=lambda r: r[1])] for k, v in rooms.items()}
+    ids = sorted(runs)
+    before = dict(zip(ids[1:], ids))
+    out = []
+    for room in ids:
+        for i, run in enumerate(runs[room]):
+            if i == 0 and room in before and runs[before[room]][-1][0][1] == run[0][1]:
+                out += [tuple(r) for r in run]
+                continue
+            wide = [abs((y[2] - x[3]).total_seconds()) % 86400 > gap for x, y in zip(run, run[1:])]
+            part = list(itertools.accumulate([0, *wide]))
+            for k in range(part[-1] + 1):
+                piece = [r for r, p in zip(run, part) if p == k]
+                out.append((room, run[0][1], piece[0][2], piece[-1][3], sum(r[4] for r in piece), run[0][5]))
     return sorted(out, key=repr)
 
 

@@ -4,6 +4,8 @@ import datetime as dt
 from decimal import Decimal
 
 
+from pyspark.sql import functions as F
+
 from livemetrics.operators.spend import extreme_days, rolling_spend, top_k_string
 from livemetrics.plans.user_profile import user_transaction
 
@@ -51,3 +53,10 @@ def test_profile(spark):
     assert (a.most_spent_day, a.most_spent_amount, a.first_spent_day) == ("2024-03-11", 50000.0, "2024-03-11")
     assert a.top5_item == "{3:3,9:1}" and a.top5_room == "{4:54500.01,2:600.00}"
     assert (b.day_total, b.day_prange, b.month_prange) == (0.0, "p0", "p0")
+
+
+def test_top5_ranks_unrounded_sums(spark):
+    t = spark.createDataFrame([(1, i, f"10.00{i}") for i in range(1, 8)], "user_id long, room_id long, p string") \
+        .withColumn("p", F.col("p").cast("decimal(18,4)"))
+    got = top_k_string(t, "user_id", "room_id", "p", value_format=lambda c: F.round(c, 2)).first().top5
+    assert got == "{7:10.01,6:10.01,5:10.01,4:10.00,3:10.00}"
