@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from livemetrics.functions.predicates import Source
+from livemetrics.functions.numeric import money
 from livemetrics.sinks import overwrite_partitions, write_report
-from livemetrics.sources.tables import day_range
+from livemetrics.staging import stages_dropped_after
 
 
 def default_day(today: dt.date | None = None) -> dt.date:
@@ -43,8 +44,7 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
         return
     first, last = days[0], days[-1]
     out = build(first, last + dt.timedelta(days=lookahead_days))
-    out = out.where(F.to_date(F.col(day_col)).between(F.lit(first), F.lit(last)))
-    overwrite_partitions(out, path, day_col=day_col)
+    overwrite_partitions(out, path, day_col=day_col, days=days)
 
 
 # --- the daily jobs over stored tables -----------------------------------------------------
@@ -53,33 +53,54 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
 # needs with a partition filter on the raw ``day`` column, runs the set-based plan for the
 # whole range and writes the requested days with a dynamic partition overwrite.
 
-# Days of input each job reads around the requested range: (before, after).
-WINDOWS = {
-    "ods_play_time": (0, 0), "ods_online_count": (0, 0), "dw_room_online_count": (0, 0),
-    "dw_daily_room_flow": (0, 0), "dw_room_play_time": (0, 1), "rpt_channel_analysis": (7, 0),
-    "rpt_source": (7, 0), "rpt_user_cnt_by_category": (0, 0),
+# Days of input each job reads for a requested day, as offsets from it: the day itself, the
+# next one for broadcasts running past midnight, and the cohort days of the retention rates.
+OFFSETS = {
+    "ods_play_time": (0,), "ods_online_count": (0,), "dw_room_online_count": (0,),
+    "dw_daily_room_flow": (0,), "dw_room_play_time": (0, 1), "rpt_channel_analysis": (0, -1, -7),
+    "rpt_source": (0, -1, -7), "rpt_user_cnt_by_category": (0,),
 }
 
 
-def _days(spark: SparkSession, tables: dict, name: str, first: dt.date, last: dt.date,
-          day_col: str = "day", as_date: bool = True):
-    df = day_range(spark.read.parquet(tables[name]), first, last, col=day_col)
+def input_days(job: str, days: list[dt.date]) -> list[dt.date]:
+    """The days ``job`` reads for the requested ``days``."""
+    return sorted({d + dt.timedelta(days=n) for d in days for n in OFFSETS[job]})
+
+
+def _read(spark: SparkSession, tables: dict, name: str) -> DataFrame:
+    """A stored table; amounts become decimals, so sums do not depend on task order."""
+    df = spark.read.parquet(tables[name])
+    return df.withColumn("price", money("price")) if "price" in df.columns else df
+
+
+def _days(spark: SparkSession, tables: dict, name: str, days: list[dt.date], day_col: str = "day",
+          as_date: bool = True):
+    df = _on_days(_read(spark, tables, name), days, day_col, "%Y-%m-%d")
     return df.withColumn(day_col, F.to_date(F.col(day_col))) if as_date else df
 
 
-def _player(spark, tables, first, last):
+def _on_days(df: DataFrame, days: list[dt.date], col: str, fmt: str) -> DataFrame:
+    """Rows of the given days by a literal filter on the raw column: a range where the days are
+    consecutive, a list otherwise (a one-day retention report reads three days, not eight)."""
+    text = [d.strftime(fmt) for d in days]
+    if (days[-1] - days[0]).days == len(days) - 1:
+        return df.where(F.col(col).between(F.lit(text[0]), F.lit(text[-1])))
+    return df.where(F.col(col).isin(text))
+
+
+def _player(spark, tables, days):
     # The player log is keyed by a compact yyyyMMdd text day: filter the raw column.
-    df = spark.read.parquet(tables["player_log"])
-    return df.where(F.col("date").between(F.lit(first.strftime("%Y%m%d")), F.lit(last.strftime("%Y%m%d"))))
+    return _on_days(_read(spark, tables, "player_log"), days, "date", "%Y%m%d")
 
 
-def build_job(spark: SparkSession, job: str, tables: dict, first: dt.date, last: dt.date,
+def build_job(spark: SparkSession, job: str, tables: dict, days: list[dt.date],
               sources: list[Source] | None = None, load_time=None, **kw) -> DataFrame:
-    """Return the output of ``job`` for inputs read over ``[first, last]``."""
+    """The output of ``job`` for the requested ``days`` (it may hold rows of other days too)."""
     from livemetrics.operators import online
     from livemetrics.plans import play_time, reports, room_flow
 
-    t = lambda n: _days(spark, tables, n, first, last)
+    reads = input_days(job, days)
+    t = lambda n, on=reads: _days(spark, tables, n, on)
     if job == "ods_play_time":
         return room_flow.clean_broadcasts(t("play_time_raw"), **kw)
     if job == "ods_online_count":
@@ -90,20 +111,22 @@ def build_job(spark: SparkSession, job: str, tables: dict, first: dt.date, last:
         oc = room_flow.room_online_count(t("online_raw"))
         return room_flow.daily_room_flow(
             t("room_pv_uv"), oc, t("trade"), t("subscription"), t("subscription_total"),
-            _player(spark, tables, first, last), t("play_time_raw"),
+            _player(spark, tables, reads), t("play_time_raw"),
             spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
     if job == "dw_room_play_time":
-        sessions = t("play_time_etl").withColumn("begin_time", F.to_timestamp("begin_time")) \
+        # only the requested days' broadcasts are attributed; the look-ahead day adds events
+        sessions = t("play_time_etl", days).withColumn("begin_time", F.to_timestamp("begin_time")) \
                                      .withColumn("end_time", F.to_timestamp("end_time"))
         oc = t("online_count").withColumn("time", F.to_timestamp("time"))
         return play_time.room_play_time(
-            sessions, t("page_view"), oc, t("trade"), _player(spark, tables, first, last), t("room_pv_uv"),
+            sessions, t("page_view"), oc, t("trade"), _player(spark, tables, reads), t("room_pv_uv", days),
             spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
     if job == "rpt_channel_analysis":
         return reports.channel_report(t("pv_track"), **kw)
     if job == "rpt_source":
         (src,) = sources
-        return reports.source_report(t("pv_track"), t("page_view"), src, load_time=load_time, **kw)
+        spine = spark.createDataFrame([(d,) for d in days], "day date")
+        return reports.source_report(t("pv_track"), t("page_view", days), src, load_time=load_time, days=spine, **kw)
     if job == "rpt_user_cnt_by_category":
         return reports.category_users(t("page_view"), spark.read.parquet(tables["dim_room"]),
                                       spark.read.parquet(tables["dim_category"]), sources or [],
@@ -117,34 +140,37 @@ DAY_COLUMN = {"rpt_channel_analysis": "date", "rpt_source": "date", "rpt_user_cn
 
 
 def run_job(spark: SparkSession, job: str, tables: dict, start, end, out: str,
-            sources: list[Source] | None = None, load_time=None, **kw) -> None:
-    """Run ``job`` for the days ``[start, end)`` and overwrite those partitions of ``out``.
-
-    The user profile is the one job defined per report day over the whole history; it runs
-    once per day of the range (``run_user_transaction``).
-    """
-    before, after = WINDOWS[job]
+            sources: list[Source] | None = None, load_time=None, mode: str = "overwrite_days", **kw) -> None:
+    """Run ``job`` for the days ``[start, end)`` and replace those partitions of ``out``, also
+    where a day has no rows.  ``mode="append"`` appends report rows instead."""
     days = days_between(start, end)
     if not days:
         return
-    first, last = days[0] - dt.timedelta(days=before), days[-1] + dt.timedelta(days=after)
-    df = build_job(spark, job, tables, first, last, sources=sources, load_time=load_time, **kw)
-    col = DAY_COLUMN.get(job, "day")
-    df = df.where(F.to_date(F.col(col)).between(F.lit(days[0]), F.lit(days[-1])))
-    if job in REPORT_JOBS:
-        write_report(df, out, day_col=col)
-    else:
-        overwrite_partitions(df, out, day_col=col)
+    with stages_dropped_after(spark):
+        df = build_job(spark, job, tables, days, sources=sources, load_time=load_time, **kw)
+        col = DAY_COLUMN.get(job, "day")
+        if job in REPORT_JOBS:
+            write_report(df.where(F.to_date(F.col(col)).isin(days)), out, mode=mode, day_col=col)
+        else:
+            overwrite_partitions(df, out, day_col=col, days=days)
 
 
 def run_user_transaction(spark: SparkSession, tables: dict, start, end, out: str,
                          history_start: str = "2015-06-01") -> None:
-    """U5 for each report day of ``[start, end)`` (one job per day: each day reads the
-    whole history up to itself)."""
-    from livemetrics.plans.user_profile import user_transaction
-    for d in days_between(start, end):
-        trades = _days(spark, tables, "trade", dt.date.fromisoformat(history_start), d)
-        overwrite_partitions(user_transaction(trades, d, history_start), out, day_col="date")
+    """U5 for every report day of ``[start, end)``: the trade history is read and reduced once
+    to (user, day, item, room); every report day is computed from that grain, all in one job."""
+    from livemetrics.plans.user_profile import trade_grain, user_transaction_from_grain
+    days = days_between(start, end)
+    if not days:
+        return
+    history = days_between(history_start, end)
+    with stages_dropped_after(spark):
+        grain = trade_grain(_days(spark, tables, "trade", history), history[-1], history_start)
+        profiles = [user_transaction_from_grain(grain, d) for d in days]
+        df = profiles[0]
+        for p in profiles[1:]:
+            df = df.unionByName(p)
+        overwrite_partitions(df, out, day_col="date", days=days)
 
 
 def parse_source(spec: str) -> Source:
@@ -158,6 +184,16 @@ def parse_source(spec: str) -> Source:
     return Source.referrer_and_landing(name, kind, rest)
 
 
+def parse_options(specs: list[str]) -> dict:
+    """``name=value`` pairs; true/false and whole numbers become booleans and integers."""
+    out = {}
+    for spec in specs:
+        name, value = spec.split("=", 1)
+        low = value.lower()
+        out[name] = low == "true" if low in ("true", "false") else int(value) if value.lstrip("-").isdigit() else value
+    return out
+
+
 def main(argv=None) -> None:
     """``python -m livemetrics.jobs JOB --start D --end D --out PATH --table name=path ...``
 
@@ -166,26 +202,31 @@ def main(argv=None) -> None:
     ``--source name:empty|referrer_re:landing_re`` or ``--source name:tid:tid_re``.
     """
     ap = argparse.ArgumentParser(prog="livemetrics.jobs")
-    ap.add_argument("job", choices=sorted([*WINDOWS, "dw_user_transaction"]))
+    ap.add_argument("job", choices=sorted([*OFFSETS, "dw_user_transaction"]))
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--out", required=True)
     ap.add_argument("--table", action="append", default=[], help="name=path")
     ap.add_argument("--source", action="append", default=[])
     ap.add_argument("--load-time", default=None)
+    ap.add_argument("--time-zone", default="UTC", help="zone of the logs' text times (epochs are compared with them)")
+    ap.add_argument("--mode", choices=["overwrite_days", "append"], default="overwrite_days", help="report writes")
+    ap.add_argument("--history-start", default="2015-06-01", help="first trade day of the user profile")
+    ap.add_argument("--option", action="append", default=[],
+                    help="name=value passed to the job's plan, e.g. max_gap_s=600, compat=true, with_bounce=false")
     a = ap.parse_args(argv)
     start = dt.date.fromisoformat(a.start) if a.start else default_day()
     end = dt.date.fromisoformat(a.end) if a.end else start + dt.timedelta(days=1)
     tables = dict(x.split("=", 1) for x in a.table)
     srcs = [parse_source(spec) for spec in a.source]
     from livemetrics.session import get_spark
-    spark = get_spark(app_name=f"livemetrics-{a.job}")
+    spark = get_spark(app_name=f"livemetrics-{a.job}", extra={"spark.sql.session.timeZone": a.time_zone})
     if a.job == "dw_user_transaction":
-        run_user_transaction(spark, tables, start, end, a.out)
+        run_user_transaction(spark, tables, start, end, a.out, history_start=a.history_start)
     else:
         import time
-        run_job(spark, a.job, tables, start, end, a.out, sources=srcs or None,
-                load_time=a.load_time or int(time.time()))
+        run_job(spark, a.job, tables, start, end, a.out, sources=srcs or None, mode=a.mode,
+                load_time=a.load_time or int(time.time()), **parse_options(a.option))
 
 
 if __name__ == "__main__":

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import os
+from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,19 +22,56 @@ def with_partitions(df: DataFrame, day_col: str = "day") -> DataFrame:
               .withColumn("day", F.date_format(d, "yyyy-MM-dd")))
 
 
-def overwrite_partitions(df: DataFrame, path: str, day_col: str = "day", fmt: str = "parquet") -> None:
-    """B1: replace exactly the day partitions present in ``df`` (dynamic overwrite).
+class _DayFiles:
+    """Data files of requested day partitions, through the table's own file system."""
 
-    Reruns are idempotent: rewriting a day replaces it, other days are untouched.  Rows are
-    clustered by day before the write so each task writes few files per partition.
+    def __init__(self, spark: SparkSession, path: str, days: Sequence[dt.date]):
+        self._path = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+        self._folders = [f"{path}/year={d:%Y}/month={d:%Y-%m}/day={d:%Y-%m-%d}" for d in days]
+        self._before = {f: self._names(f) for f in self._folders}
+
+    def _names(self, folder: str) -> set[str]:
+        p = self._path(folder)
+        return {x.getPath().getName() for x in self._fs.listStatus(p)} if self._fs.exists(p) else set()
+
+    def drop_unreplaced(self) -> None:
+        """Remove the partitions that still hold a file they held before: the write that has
+        just ended had no row for them."""
+        for f, old in self._before.items():
+            if old and old & self._names(f):
+                self._fs.delete(self._path(f), True)
+
+
+def _spread(df: DataFrame, *cols: str) -> DataFrame:
+    """Cluster rows by partition column, splitting a large partition over many tasks: a
+    REBALANCE exchange, whose oversized partitions AQE divides by the advisory size."""
+    return df.hint("rebalance", *[F.col(c) for c in cols])
+
+
+def overwrite_partitions(df: DataFrame, path: str, day_col: str = "day", fmt: str = "parquet",
+                         days: Sequence | None = None) -> None:
+    """B1: replace day partitions (dynamic overwrite); other days are untouched.
+
+    ``days`` are the days the caller asked for: each of them is replaced, also by nothing, as
+    ``INSERT OVERWRITE .. PARTITION (day)`` does, and rows of other days are not written.
+    Without ``days`` exactly the days present in ``df`` are replaced.  A day is spread over as
+    many tasks as its size asks for.
     """
     out = with_partitions(df, day_col)
-    (out.repartition("day")
+    files = None
+    if days is not None:
+        days = [d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days]
+        out = out.where(F.col("day").isin([d.isoformat() for d in days]))
+        files = _DayFiles(df.sparkSession, path, days)
+    (_spread(out, "day")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*PARTITION_COLS)
         .format(fmt)
         .save(path))
+    if files is not None:
+        files.drop_unreplaced()
 
 
 def write_report(df: DataFrame, path: str, mode: str = "overwrite_days", day_col: str = "date") -> None:
@@ -68,7 +107,8 @@ def export_jdbc(df: DataFrame, url: str, table: str, day: str | None = None, day
     """
     if day is not None:
         df = df.where(F.col(day_col) == F.lit(day))
-    w = (df.coalesce(num_partitions).write.format("jdbc").mode("append")
+    # repartition, not coalesce: the last stage keeps its own parallelism, only the writers are few
+    w = (df.repartition(num_partitions).write.format("jdbc").mode("append")
            .option("url", url).option("dbtable", table).option("batchsize", batch_size))
     user, pwd = os.environ.get(user_env), os.environ.get(password_env)
     if user:

@@ -13,12 +13,16 @@ from __future__ import annotations
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from livemetrics.session import checkpoint_dir
 from livemetrics.sinks import overwrite_partitions
 
+# Days of one micro-batch filtered by literals; a batch with more of them joins instead.
+MAX_DAYS = 1000
+
 
 def rerun_touched_days(spark: SparkSession, raw_path: str, schema: StructType,
                        build: Callable[[DataFrame], DataFrame], out_path: str, name: str,
@@ -31,9 +35,18 @@ def rerun_touched_days(spark: SparkSession, raw_path: str, schema: StructType,
     stream = spark.readStream.schema(schema).parquet(raw_path)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        touched = batch.select(day_col).distinct()
-        full = spark.read.schema(schema).parquet(raw_path).join(touched, day_col, "left_semi")
-        overwrite_partitions(build(full), out_path, day_col=day_col)
+        # The days a micro-batch touches are a handful of values: as literals they prune the
+        # raw folder's partitions (or skip row groups), so history is not read.
+        days = [r[0] for r in batch.select(day_col).distinct().limit(MAX_DAYS + 1).collect()]
+        if not days:
+            return
+        raw = spark.read.schema(schema).parquet(raw_path)
+        if len(days) > MAX_DAYS:             # a bulk reload: join instead of an endless literal list
+            full = raw.join(batch.select(day_col).distinct(), day_col, "left_semi")
+            overwrite_partitions(build(full), out_path, day_col=day_col)
+            return
+        overwrite_partitions(build(raw.where(F.col(day_col).isin(days))), out_path, day_col=day_col,
+                             days=[str(d) for d in days])
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/streams/{name}"
     w = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)

@@ -1,13 +1,15 @@
 """The stored-table jobs end to end: stand-in logs written as day-partitioned tables, each
 job run over a day range, outputs compared with the in-memory plans."""
 
+import datetime as dt
+import os
 import tempfile
 
 import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as se
-from livemetrics.jobs import run_job, run_user_transaction
+from livemetrics.jobs import input_days, parse_options, run_job, run_user_transaction
 from livemetrics.plans import reports, room_flow
 from livemetrics.sinks import overwrite_partitions
 from livemetrics.sources import standins as si
@@ -82,14 +84,40 @@ def test_report_jobs(spark, tables):
     assert _rows(spark.read.parquet(out2).select(*want2.columns)) == _rows(want2) and want2.count() == 3
 
 
+def test_source_report_of_a_day_without_track(spark, tables):
+    """Page views but no track rows on the day: the row is written, with the IP count."""
+    day = "2024-01-09"
+    rest = tempfile.mkdtemp(prefix="lm-track-")
+    overwrite_partitions(spark.read.parquet(tables["pv_track"]).where(F.col("day") < "2024-01-02").drop("year", "month"), rest)
+    out = tempfile.mkdtemp(prefix="lm-src0-")
+    src = se.sources()["blog"]
+    run_job(spark, "rpt_source", dict(tables, pv_track=rest), day, "2024-01-10", out, sources=[src], load_time=0)
+    (r,) = spark.read.parquet(out).collect()
+    ips = si.page_view(spark, SF).where((F.col("day") == day) & src.condition).select("ip").distinct().count()
+    assert (r.date, r.uv, r.new_user_cnt, r.ip) == (day, 0, 0, ips) and ips > 0
+
+
+def test_jobs_leave_no_stage_folder(spark, tables):
+    root = os.path.join(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"), "stage")
+    before = set(os.listdir(root)) if os.path.isdir(root) else set()
+    run_job(spark, "rpt_channel_analysis", tables, "2024-01-09", "2024-01-10", tempfile.mkdtemp(prefix="lm-st-"))
+    assert set(os.listdir(root)) <= before
+
+
+def test_one_day_retention_reads_three_days():
+    d = dt.date(2024, 1, 9)
+    assert input_days("rpt_channel_analysis", [d]) == [dt.date(2024, 1, 2), dt.date(2024, 1, 8), d]
+    assert parse_options(["max_gap_s=600", "compat=true", "x=a=b"]) == {"max_gap_s": 600, "compat": True, "x": "a=b"}
+
+
 def test_user_transaction_job(spark, tables):
     out = tempfile.mkdtemp(prefix="lm-ut-")
-    run_user_transaction(spark, dict(tables, trade=tables["trade_orders"]), "2001-07-30", "2001-08-01", out,
+    run_user_transaction(spark, dict(tables, trade=tables["trade_orders"]), "2001-07-31", "2001-08-02", out,
                          history_start="1995-01-01")
     got = spark.read.parquet(out)
-    assert sorted(r.date for r in got.select("date").distinct().collect()) == ["2001-07-30", "2001-07-31"]
+    assert sorted(r.date for r in got.select("date").distinct().collect()) == ["2001-07-31", "2001-08-01"]
     want = se.q_user_transaction(spark, SF)
-    assert got.where(F.col("date") == "2001-07-31").count() == want.count()
+    assert _rows(got.where(F.col("date") == "2001-08-01").select(*want.columns)) == _rows(want)
 
 
 def test_category_job(spark, tables):

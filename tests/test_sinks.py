@@ -23,6 +23,50 @@ def test_overwrite_is_idempotent(spark):
     assert os.path.isdir(os.path.join(out, "year=2024", "month=2024-01", "day=2024-01-01"))
 
 
+def test_requested_days_are_replaced_also_by_nothing(spark):
+    out = tempfile.mkdtemp(prefix="lm-sink0-")
+    a = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-03", 3)], "day string, v long")
+    overwrite_partitions(a, out)
+    b = spark.createDataFrame([("2024-01-03", 9), ("2024-01-07", 7)], "day string, v long")
+    overwrite_partitions(b, out, days=["2024-01-02", "2024-01-03", "2024-01-04"])
+    got = sorted((r.day, r.v) for r in spark.read.parquet(out).collect())
+    assert got == [("2024-01-01", 1), ("2024-01-03", 9)]      # 02 emptied, 07 not asked for
+    overwrite_partitions(b.limit(0), out, days=["2024-01-01", "2024-01-03"])
+    assert not [f for _, _, files in os.walk(out) for f in files if f.startswith("part-")]
+
+
+def test_one_day_is_written_by_many_tasks(spark):
+    out = tempfile.mkdtemp(prefix="lm-sink1-")
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "256k")
+    try:
+        overwrite_partitions(spark.range(400_000).select(F.lit("2024-01-01").alias("day"), F.rand(3).alias("x")), out,
+                             days=["2024-01-01"])
+    finally:
+        spark.conf.set(key, old)
+    files = [f for _, _, names in os.walk(out) for f in names if f.startswith("part-") and f.endswith(".parquet")]
+    assert len(files) > 4 and spark.read.parquet(out).count() == 400_000
+
+
+def test_stream_reads_only_touched_days(spark):
+    raw, out = tempfile.mkdtemp(prefix="lm-raw2-"), tempfile.mkdtemp(prefix="lm-out2-")
+    from pyspark.sql.types import StructType
+    schema = "room_id long, day string"
+    spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02")], schema).write.mode("append").partitionBy("day").parquet(raw)
+    plans = []
+
+    def build(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df.groupBy("day").agg(F.count("room_id").alias("n"))
+
+    for _ in range(2):
+        rerun_touched_days(spark, raw, StructType.fromDDL(schema), build, out, name="t2", trigger_once=True).awaitTermination(120)
+        spark.createDataFrame([(3, "2024-01-02")], schema).write.mode("append").partitionBy("day").parquet(raw)
+    assert "PartitionFilters: [isnotnull(day" in plans[-1] and "= 2024-01-02)" in plans[-1] and "2024-01-01" not in plans[-1]
+    assert sorted((r.day, r.n) for r in spark.read.parquet(out).collect()) == [("2024-01-01", 1), ("2024-01-02", 2)]
+
+
 def test_report_overwrite_and_append(spark):
     out = tempfile.mkdtemp(prefix="lm-rpt-")
     r = spark.createDataFrame([("2024-01-01", 3)], "date string, uv long")
