@@ -60,6 +60,14 @@ def test_hot_room_attribution_keys(spark):
     assert "_bk" in p and "_salt" in p                                      # join keyed by room, bucket, salt
 
 
+def test_one_scan_and_one_band_join(spark):
+    d = "/root/testdata/sf0.001"
+    s1 = _plan(se.own_queries()["s1_clean_broadcasts"](spark, d))
+    assert s1.count("FileScan") == 1 and s1.count("Exchange hashpartitioning") == 2 and "Join" not in s1
+    i6 = _plan(se.own_queries()["i6_room_play_time"](spark, d))
+    assert len([x for x in i6.splitlines() if "Join" in x and "_bk#" in x]) == 1
+
+
 def test_no_python_or_cross_join_in_query_plans(spark):
     d = "/root/testdata/sf0.001"
     for name, q in se.own_queries().items():
