@@ -172,7 +172,7 @@ def _channel_visits(spark, d):
 def q_audience(spark, d):
     _prep(spark)
     keys, v = _channel_visits(spark, d)
-    a = aud.join_nullsafe(aud.audience(aud.user_grain(v, keys), keys), aud.distinct_count(v, keys, "ip", "ip"), keys)
+    a = aud.fan_in([aud.audience(aud.user_grain(v, keys), keys), aud.distinct_count(v, keys, "ip", "ip")], keys)
     return _fmt(a.select(*keys, F.coalesce("ip", F.lit(0)).cast("long").alias("ip"), "uv", "pv",
                          F.col("stay_seconds").cast("long").alias("stay_seconds"), "new_user_cnt",
                          "frequent_user_cnt", "frequent_user_ratio"))

@@ -15,7 +15,7 @@ from livemetrics.functions.numeric import round_half_up, text_key
 from livemetrics.functions.predicates import Source
 from livemetrics.staging import stage
 from livemetrics.operators.audience import (
-    audience, bounce_rate, distinct_count, join_nullsafe, label_sources, retention, user_grain, visits,
+    audience, bounce_rate, distinct_count, fan_in, label_sources, retention, user_grain, visits,
 )
 
 # Fixed values of the channel report: the label of each page-view type.
@@ -44,11 +44,11 @@ def channel_report(track: DataFrame, day: str = "day", pv_type: str = "pv_type",
     # metric below is computed from that reduced frame.
     v = stage(visits(t, keys, user=user, is_new=new, extra=[ip]), "channel_visits")
     u = user_grain(v, keys, user=user)
-    t1 = join_nullsafe(audience(u, keys, user=user), distinct_count(v, keys, ip, "ip"), keys)
+    t1 = [audience(u, keys, user=user), distinct_count(v, keys, ip, "ip")]
     t2 = bounce_rate(v, keys, session_keys=[day, user, "session_id_in_day"])
     t3 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
     t4 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
-    j = join_nullsafe(join_nullsafe(join_nullsafe(t1, t2, keys), t3, keys), t4, keys)
+    j = fan_in([*t1, t2, t3, t4], keys)
     label = F.when(F.col(pv_type) == 1, F.lit(CHANNEL_LABELS[1])).otherwise(F.lit(CHANNEL_LABELS[2]))
     return j.select(
         _fmt_day(day).alias("date"),
@@ -89,10 +89,11 @@ def source_reports(track: DataFrame, page_views: DataFrame, sources: Sequence[So
     if days is None:
         days = track.select(day).unionByName(page_views.select(day)).distinct()
     spine = days.withColumn("type", F.explode(F.array(*[F.lit(s.name) for s in sources])))
-    j = spine.join(a, keys, "left").join(ips, keys, "left").join(r1, keys, "left").join(r7, keys, "left")
+    parts = [spine, a, ips, r1, r7]
     cols = ["uv", "new_user_cnt", "frequent_user_cnt", "ip", "stay_seconds"]
     if with_bounce:
-        j = j.join(bounce_rate(v, keys, session_keys=["type", day, user, "session_id_in_day"]), keys, "left")
+        parts.append(bounce_rate(v, keys, session_keys=["type", day, user, "session_id_in_day"]))
+    j = fan_in(parts, keys)
     out = ["type", _fmt_day(day).alias("date"), F.lit(str(load_time)).alias("create_time")]
     out += [F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in cols[:3]]
     out += [F.coalesce(F.col("frequent_user_ratio"), F.lit(0.0)).alias("frequent_user_ratio")]
