@@ -33,12 +33,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_WRITTEN: dict[str, list[str]] = {}
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet under the shared checkpoint folder and read back: cuts the
-    lineage, survives lost executors, and lets several branches read it without recomputing."""
+    lineage, survives lost executors, and lets several branches read it without recomputing.
+    ``drop_written`` removes it."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -127,3 +132,12 @@ def whole_keys(batches):
             held.append(b)
     if held:
         yield pa.Table.from_batches(held)
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Remove what ``written`` has stored for this application, through its own file system.  Call
+    it when the results that read it have been saved."""
+    jvm = spark._jvm
+    for path in _WRITTEN.pop(spark.sparkContext.applicationId, []):
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

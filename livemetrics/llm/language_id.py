@@ -131,23 +131,34 @@ class FittedLanguages:
         return best, cos[np.arange(len(cos)), best]
 
 
-def training_sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, p: LangModel) -> DataFrame:
-    """(lang, text) of the bounded labelled sample.  The ranking moves ids only (and keeps at
-    most ``per_language`` per task and language before its shuffle); texts join the chosen ids."""
+def training_sample(docs: DataFrame, counts: dict[str, int], id_col: str, text_col: str, lang_col: str,
+                    p: LangModel) -> DataFrame:
+    """(lang, text) of the bounded labelled sample.
+
+    Each language first keeps the ids whose hash is under a threshold that leaves about four
+    times the wanted number (from the language's row count), so the ranking moves a bounded
+    number of ids whatever the table's size; texts join the chosen ids.
+    """
     src = docs.select(docs[id_col].cast("string").alias("_k"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
     train = src.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.crc32("_k"), F.lit(p.folds)) != 0))
+    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 4.0 * p.per_language / n + 1e-9))])
+    unit = (F.xxhash64("_k").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("_k"), "_k"))
-    chosen = (train.select("lang", "_k").withColumn("_r", rank).where(F.col("_r") <= p.per_language)
-              .select("lang", "_k").distinct())
+    chosen = (train.where(unit <= F.element_at(share, F.col("lang"))).select("lang", "_k").withColumn("_r", rank)
+              .where(F.col("_r") <= p.per_language).select("lang", "_k").distinct())
     # at most per_language * max_languages ids
     return train.join(F.broadcast(chosen), ["lang", "_k"], "left_semi").select("lang", "text")
 
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   p: LangModel = LangModel()) -> FittedLanguages:
-    langs = docs.select(docs[lang_col].alias("l")).where("l is not null").distinct().limit(p.max_languages + 1).collect()
+    langs = (docs.select(docs[lang_col].alias("l")).where("l is not null").groupBy("l").count()
+             .limit(p.max_languages + 1).collect())
     if len(langs) > p.max_languages:
         raise ValueError(f"more than {p.max_languages} languages")
+    if not langs:
+        return FittedLanguages([], np.zeros((0, p.dims), np.float32), np.ones(p.dims, np.float32), 0.0)
+    counts = {r["l"]: r["count"] for r in langs}
 
     def featurise(batches):
         for b in batches:
@@ -159,7 +170,7 @@ def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     [b.column(0).slice(c.first, len(tf)).filter(pa.array(use)),
                      pa.array([v.tobytes() for v in tf[use]], pa.binary())], names=["lang", "tf"])
 
-    rows = map_arrow(training_sample(docs, id_col, text_col, lang_col, p), featurise, "lang string, tf binary").collect()
+    rows = map_arrow(training_sample(docs, counts, id_col, text_col, lang_col, p), featurise, "lang string, tf binary").collect()
     rows.sort(key=lambda r: (r["lang"], bytes(r["tf"])))
     if not rows:
         return FittedLanguages([], np.zeros((0, p.dims), np.float32), np.ones(p.dims, np.float32), 0.0)
