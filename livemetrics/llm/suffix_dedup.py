@@ -56,7 +56,7 @@ class SuffixDedup:
     length: int = 100                        # bytes of a repeated string
     gram: int = 24                           # bytes of an anchor
     split_at: int = 4096                     # different pieces of one gram per shard
-    shard_bytes: int = 2 << 20               # text sorted at a time
+    shard_bytes: int = 1 << 19               # text sorted at a time
 
 
 def _cuts(key: np.ndarray) -> np.ndarray:
@@ -120,25 +120,40 @@ def anchors(c: tv.Chunk, p: SuffixDedup):
 
 
 def _anchor_blobs(p: SuffixDedup, parts: int):
+    """(id, text) batches to (part, blob) rows; entries are gathered over a task's texts, so blobs
+    stay large however many parts there are.  Texts are hashed 256 kB at a time (some 15 eight-byte arrays each)."""
+    names = "ids text docs gram piece pos left more".split()
+
+    def packed(held) -> pa.RecordBatch:
+        x = {k: np.concatenate(v) for k, v in held.items()}
+        part = (x["gram"] >> U64(48)).astype(np.int64) % parts
+        order = np.argsort(part, kind="stable")                # documents stay in order within a part
+        cut = _cuts(part[order])
+        rows = []
+        for i, j in zip(cut[:-1], cut[1:]):
+            o = order[i:j]
+            docs, count = np.unique(x["docs"][o], return_counts=True)
+            g = x["gram"][o]
+            rows.append((int(part[o[0]]), _pack(
+                x["ids"][docs], x["text"][docs], count.astype(np.uint32), g.astype(np.uint32),
+                (g >> U64(32)).astype(np.uint16), x["piece"][o], x["pos"][o], x["left"][o], x["more"][o])))
+        return _batch("part blob", [pa.int32(), pa.binary()], rows)
+
     def run(batches):
+        held, docs, size = {k: [] for k in names}, 0, 0
         for b in batches:
             ids = b.column(0).to_numpy()
-            for c in tv.chunks(b.column(1), 4 * tv.CHUNK_BYTES):
+            for c in tv.chunks(b.column(1), tv.CHUNK_BYTES // 8):
                 row, pos, first, end, gram, piece, text = anchors(c, p)
-                if not len(row):
-                    continue
-                part = (gram >> U64(48)).astype(np.int64) % parts
-                order = np.argsort(part, kind="stable")        # rows stay in order within a part
-                cut = _cuts(part[order])
-                rows = []
-                for i, j in zip(cut[:-1], cut[1:]):
-                    o = order[i:j]
-                    docs, count = np.unique(row[o], return_counts=True)
-                    rows.append((int(part[o[0]]), _pack(
-                        ids[c.first + docs], text[docs], count.astype(np.uint32),
-                        gram[o].astype(np.uint32), (gram[o] >> U64(32)).astype(np.uint16), piece[o],
-                        pos[o].astype(np.uint32), (pos[o] - first[o]).astype(np.uint8), (end[o] - first[o]).astype(np.uint8))))
-                yield _batch("part blob", [pa.int32(), pa.binary()], rows)
+                for k, v in zip(names, (ids[c.first:c.first + len(text)], text, docs + row, gram, piece, pos.astype(np.uint32),
+                                        (pos - first).astype(np.uint8), (end - first).astype(np.uint8))):
+                    held[k].append(v)
+                docs, size = docs + len(text), size + len(row)
+                if size > 400_000:
+                    yield packed(held)
+                    held, docs, size = {k: [] for k in names}, 0, 0
+        if size:
+            yield packed(held)
     return run
 
 
@@ -356,7 +371,7 @@ def _cut_pieces(p: SuffixDedup, parts: int):
                     split.append(x)
                     text.append(raw)
                     size += len(g)
-                if size > 100_000:
+                if size > 20_000:             # about 3 MB of pieces
                     yield flush()
                     doc, group, start, more, split, text = [], [], [], [], [], []
                     size = 0
@@ -369,7 +384,10 @@ def _slices(data: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Concatenation of data[start : start + n]."""
     n = n.astype(np.int64)
     at = np.concatenate([[0], np.cumsum(n)])
-    return data[np.arange(at[-1]) + np.repeat(start.astype(np.int64) - at[:-1], n)]
+    kind = np.int32 if len(data) < 1 << 31 and at[-1] < 1 << 31 else np.int64
+    index = np.repeat((start.astype(np.int64) - at[:-1]).astype(kind), n)
+    index += np.arange(at[-1], dtype=kind)
+    return data[index]
 
 
 _PIECE = (np.int64, np.int64, np.uint32, np.uint64, np.uint32, np.uint8, np.uint8, np.uint8)
@@ -535,7 +553,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     ``keep_text``, the remaining bytes as ``kept``."""
     spark = docs.sparkSession
     width = shuffle_partitions(spark)
-    parts = 4 * width
+    parts = 2 * width
     src = docs.select(F.coalesce(docs[id_col].cast("long"), F.lit(NULL_ID)).alias("id"),
                       F.coalesce(docs[text_col], F.lit("")).alias("text"))
 
