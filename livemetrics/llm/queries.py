@@ -9,7 +9,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from livemetrics.llm import chat_format, decontaminate, line_dedup, mixing
+from livemetrics.llm import (
+    chat_format, decontaminate, jaccard_join, line_dedup, mixing, repetition, url_filter,
+)
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
 from livemetrics.llm.html_extract import extract_pages
@@ -84,8 +86,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def oracle_sql() -> dict[str, str]:
     probe = f"(-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}')"
     return {
+        "op1_repetition_quality": repetition.oracle_sql(),
         "op2_mix_sources": mixing.oracle_sql(),
         "op6_chat_format": chat_format.oracle_sql(probe),
         "op7_decontaminate": decontaminate.oracle_sql(),
+        "op8_jaccard_join": jaccard_join.oracle_sql(),
         "op9_line_dedup": line_dedup.oracle_sql(),
+        "op10_url_filter": url_filter.oracle_sql(),
     }

@@ -168,3 +168,45 @@ def repetition_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """One row per input row with the counts, shares, first broken rule and the verdict."""
     src = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     return map_arrow(src, lambda it: repetition_batches(it, rules), SCHEMA)
+
+
+def oracle_sql(rules: RepetitionRules = RepetitionRules()) -> str:
+    """DuckDB SQL of the same rows, from the words themselves (for tables of modest size)."""
+    lengths = sorted({3, *rules.top, *rules.dup})
+    limit = lambda d: " ".join(f"WHEN {n} THEN {v}" for n, v in d.items())
+    return rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+size AS (SELECT doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols FROM d),
+line AS (SELECT doc_id, u.i, string_split(t, chr(10))[u.i] AS x
+         FROM d, unnest(range(1, len(string_split(t, chr(10))) + 1)) AS u(i)),
+again AS (SELECT doc_id, x FROM line WHERE regexp_matches(x, '[^\x20\x09-\x0D]')
+          QUALIFY row_number() OVER (PARTITION BY doc_id, x ORDER BY i) > 1),
+lines AS (SELECT doc_id, count(*) AS n, sum(list_sum(list_transform(
+              regexp_extract_all(x, '[^\x20\x09-\x0D]+'), lambda y: length(y)))) AS chars FROM again GROUP BY doc_id),
+gram AS (SELECT doc_id, k.n, u.i, array_to_string(list_slice(w, u.i, u.i + k.n - 1), ' ') AS g
+         FROM d, (VALUES {", ".join(f"({n})" for n in lengths)}) AS k(n), unnest(range(1, len(w) - k.n + 2)) AS u(i)),
+many AS (SELECT *, count(*) OVER same AS times, min(i) OVER same AS head FROM gram
+         WINDOW same AS (PARTITION BY doc_id, n, g) QUALIFY times > 1),
+top AS (SELECT doc_id, n, max((length(g) - n + 1) * times) AS chars FROM many GROUP BY ALL),
+later AS (SELECT DISTINCT doc_id, n, i + o.k AS p FROM many, unnest(range(0, n)) AS o(k) WHERE i > head),
+dup AS (SELECT doc_id, n, sum(length(w[p])) AS chars FROM later JOIN d USING (doc_id) GROUP BY ALL),
+thrice AS (SELECT doc_id, count(DISTINCT i + o.k) AS n FROM many, unnest(range(0, 3)) AS o(k) WHERE many.n = 3 GROUP BY doc_id),
+share AS (
+  SELECT doc_id, n, 'top_' || n || 'gram' AS rule, 'top' AS kind, chars / word_chars AS s, CASE n {limit(rules.top)} END AS cap
+  FROM top JOIN size USING (doc_id)
+  UNION ALL
+  SELECT doc_id, n, 'dup_' || n || 'gram', 'dup', chars / word_chars, CASE n {limit(rules.dup)} END FROM dup JOIN size USING (doc_id)
+  UNION ALL
+  SELECT doc_id, 99, 'dup_line', 'line', chars / word_chars, {rules.dup_line} FROM lines JOIN size USING (doc_id)),
+verdict AS (
+  SELECT doc_id, max(s) FILTER (kind = 'top') AS top_share, max(s) FILTER (kind = 'dup') AS dup_share,
+         max(s) FILTER (kind = 'line') AS dup_line_share, arg_min(rule, n) FILTER (s > cap) AS failed_rule
+  FROM share WHERE cap IS NOT NULL GROUP BY doc_id),
+f AS (SELECT *, n_words < {rules.min_words} OR 100 * coalesce(thrice.n, 0) > {rules.max_repeat_percent} * n_words AS base_failed
+      FROM size LEFT JOIN thrice USING (doc_id))
+SELECT f.doc_id, n_words, word_chars, n_symbols, coalesce(lines.n, 0) AS n_dup_lines, coalesce(f.n, 0) AS n_repeat_words,
+       base_failed, NOT base_failed AND failed_rule IS NULL AS kept, coalesce(dup_line_share, 0.0) AS dup_line_share,
+       coalesce(top_share, 0.0) AS top_share, coalesce(dup_share, 0.0) AS dup_share, failed_rule
+FROM f LEFT JOIN lines USING (doc_id) LEFT JOIN verdict USING (doc_id)"""

@@ -137,3 +137,42 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     return (judged.join(scores, "url", "left")
             .select("page_id", "url", "host", "path", "rule",
                     F.coalesce("by_rule", by_model).alias("verdict"), "score"))
+
+
+def oracle_sql(rules: Sequence[UrlRule] = RULES) -> str:
+    """DuckDB SQL of page_id, host, path, rule and verdict: the same rules and models."""
+    up = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    low = lambda c: f"translate({c}, '{up}', '{up.lower()}')"
+    values = ", ".join(f"('{r.verdict}', '{r.rule}', '{r.host}', '{r.path}')" for r in rules)
+    fold = (f"'^^' || regexp_replace(regexp_replace({low('url')}, '[0-9]', '0', 'g'), "
+            r"'[^a-z0/.:\-_?&=#%+]', '~', 'g') || '$'")
+    return rf"""
+WITH rules(verdict, rule, rhost, rpath) AS (VALUES {values}),
+p AS (SELECT page_id, url, coalesce({low("regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1)")}, '') AS host,
+             coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
+j AS (SELECT p.*, (SELECT arg_max(rule, length(rule)) FROM rules
+                   WHERE (p.host = rhost OR ends_with(p.host, '.' || rhost)) AND starts_with(p.path, rpath)) AS rule FROM p),
+k AS (SELECT j.*, r.verdict AS by_rule FROM j LEFT JOIN rules r USING (rule)),
+u AS (SELECT DISTINCT url, by_rule, {fold} AS s FROM k WHERE url IS NOT NULL),
+g AS (SELECT url, by_rule AS label, substr(s, i, 3) AS gram FROM u, unnest(range(1, length(s) - 1)) t(i)),
+seen AS (SELECT label, gram, count(*) AS n FROM g WHERE label IS NOT NULL GROUP BY ALL),
+cell AS (SELECT l.label, x.gram, coalesce(seen.n, 0) AS n, substr(x.gram, 1, 2) AS c2, substr(x.gram, 2, 2) AS t2,
+                substr(x.gram, 2, 1) AS c1, substr(x.gram, 3, 1) AS c0
+         FROM (SELECT DISTINCT gram FROM seen) x CROSS JOIN (VALUES ('allow'), ('block')) l(label)
+         LEFT JOIN seen ON seen.label = l.label AND seen.gram = x.gram),
+m0 AS (SELECT label, c0, sum(n) AS n0 FROM cell GROUP BY ALL),
+m1 AS (SELECT label, c1, sum(n) AS n1, count(DISTINCT c0) FILTER (n > 0) AS f1 FROM cell GROUP BY ALL),
+mt AS (SELECT label, t2, sum(n) AS nt FROM cell GROUP BY ALL),
+m2 AS (SELECT label, c2, sum(n) AS n2, count(*) FILTER (n > 0) AS f2 FROM cell GROUP BY ALL),
+ma AS (SELECT label, sum(n) AS na FROM cell GROUP BY ALL),
+q0 AS (SELECT *, (n0 + 1) / (na + {len(ALPHABET)}) AS p0 FROM cell JOIN m0 USING (label, c0) JOIN m1 USING (label, c1)
+       JOIN mt USING (label, t2) JOIN m2 USING (label, c2) JOIN ma USING (label)),
+q1 AS (SELECT *, if(n1 > 0, (nt + f1 * p0) / (n1 + f1), p0) AS p1 FROM q0),
+q2 AS (SELECT gram, label, if(n2 > 0, (n + f2 * p1) / (n2 + f2), p1) AS p2 FROM q1),
+d AS (SELECT gram, sum(if(label = 'allow', ln(p2), -ln(p2))) AS d FROM q2 GROUP BY gram),
+sc AS (SELECT url, sum(d) / count(d) AS score FROM g LEFT JOIN d USING (gram) GROUP BY url),
+side AS (SELECT by_rule, avg(score) AS mean FROM u JOIN sc USING (url) WHERE by_rule IS NOT NULL GROUP BY by_rule),
+cut AS (SELECT if(count(mean) = 2, avg(mean), NULL) AS t FROM side)
+SELECT page_id, host, path, rule,
+       coalesce(by_rule, if(score < (SELECT t FROM cut), 'block', 'allow')) AS verdict
+FROM k LEFT JOIN sc USING (url)"""
