@@ -416,8 +416,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     members = written(matched.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("_k")).distinct()
                       .join(of, "_k").select("bucket", "id"), "jaccard-members")
     edges = written(_verified(src, written(_bounded(pairs, nodes, p), "jaccard-pairs"), p), "jaccard-edges")
+    label = components(edges)
     for limit in (p.first_pairs, None):
-        label = components(edges)
         named = (members.join(label, "id", "left")
                  .select("bucket", "id", F.coalesce("component", "id").alias("comp")))
         mixed = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("bucket")
@@ -430,10 +430,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if found.isEmpty():
             break
         more = written(_verified(src, found, p), "jaccard-more")
-        if more.isEmpty() and limit is None:
-            break
-        edges = written(edges.unionByName(more).distinct(), "jaccard-edges")
-    label = components(edges)
+        if not more.isEmpty():                # the components so far, as stars, and the new links
+            label = components(label.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
     comp = (classes.join(label, "id", "left").select("key", F.col("n").alias("_n"), F.coalesce("component", "id").alias("comp")))
     out = points.join(comp, (points["key"] == comp["key"]) & (points["n"] == comp["_n"]) & (points["n"] > 0), "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("comp", "doc_id").alias("component_id"))
