@@ -22,9 +22,8 @@ shingles.  The result is each document's set size and connected component.
    the best few per bucket and component pair, the last takes all: no link is lost, and
    members of one component are never paired.
 
-The bound tells unrelated sets of n shingles apart while 1.13 * sqrt(n * dims) stays above the
-difference a link allows (about 0.22 n at 80 percent): with 128 dims up to some 4000 shingles;
-larger ones are left to the exact comparison.  An R-tree over all points alone would not do: in ``dims`` dimensions the boxes of unrelated
+Count vectors of large sets have more coordinates (they fold to ``dims`` for the tree), so the
+bound tells unrelated texts apart at every length.  An R-tree over all points alone would not do: in ``dims`` dimensions the boxes of unrelated
 documents overlap, and every query would visit most of the tree.  The buckets are its shards.
 
 Defined edge results: null text or no words: empty set, own component; fewer words than
@@ -76,7 +75,21 @@ def set_key(s: np.ndarray) -> int:
 
 
 def count_vector(s: np.ndarray, dims: int) -> np.ndarray:
-    return np.bincount((s >> tv.U64(40)).astype(np.int64) % dims, minlength=dims).astype(np.int32)
+    """Counts of hashed shingles; large sets get a power of two times ``dims`` coordinates (about
+    one per eight shingles), so the bound tells unrelated texts apart at every length."""
+    while dims * 8 < len(s):
+        dims *= 2
+    return np.bincount((s >> tv.U64(32)).astype(np.int64) % dims, minlength=dims).astype(np.int32)
+
+
+def fold(vec: np.ndarray, dims: int) -> np.ndarray:
+    """The count vector of the same set in ``dims`` coordinates."""
+    return vec if len(vec) == dims else vec.reshape(-1, dims).sum(axis=0, dtype=np.int32)
+
+
+def overlap_bound(a: np.ndarray, b: np.ndarray) -> int:
+    dims = min(len(a), len(b))
+    return int(np.minimum(fold(a, dims), fold(b, dims)).sum())
 
 
 def size_class(n: int, ratio: float) -> tuple[int, int]:
@@ -219,10 +232,12 @@ def match_part(key: np.ndarray, sig: np.ndarray) -> tuple[np.ndarray, np.ndarray
     if not len(idx):
         return none, none, none, none
     share = np.bincount(idx, minlength=len(names))             # central: in many buckets of this range
-    order = np.lexsort((idx, -share[idx], bucket))
-    idx, bucket = idx[order], bucket[order]
     run = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]]))
     size = np.diff(np.append(run, len(idx)))
+    # among the nearly most central the smallest key: ranges mostly agree on a group's centre
+    edge = share[idx] < 0.8 * np.repeat(np.maximum.reduceat(share[idx], run), size)
+    order = np.lexsort((idx, edge, bucket))
+    idx = idx[order]
     centre = np.repeat(idx[run], size)
     other = np.ones(len(idx), bool)
     other[run] = False
@@ -324,7 +339,7 @@ def _search_buckets(p: JaccardJoin, limit: int | None):
         for t in whole_keys(batches):
             bucket = t.column(0).to_numpy()
             ids, comp, size = (t.column(i).to_numpy() for i in (1, 2, 3))
-            vec = np.frombuffer(b"".join(t.column(4).to_pylist()), np.int32).reshape(len(ids), -1)
+            vec = np.stack([fold(np.frombuffer(v.as_buffer(), np.int32), p.dims) for v in t.column(4)])
             cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
             for i, j in zip(cut[:-1], cut[1:]):
                 if j - i > 1:
@@ -359,9 +374,10 @@ def _bounded(pairs: DataFrame, nodes: DataFrame, p: JaccardJoin) -> DataFrame:
         for x in batches:
             if not x.num_rows:
                 continue
-            va, vb = (np.frombuffer(b"".join(x.column(i).to_pylist()), np.int32).reshape(x.num_rows, -1) for i in (4, 5))
             na, nb = (x.column(i).to_numpy() for i in (2, 3))
-            ok = (100 + p.percent) * np.minimum(va, vb).sum(axis=1) >= p.percent * (na + nb)
+            over = np.array([overlap_bound(np.frombuffer(va.as_buffer(), np.int32), np.frombuffer(vb.as_buffer(), np.int32))
+                             for va, vb in zip(x.column(4), x.column(5))])
+            ok = (100 + p.percent) * over >= p.percent * (na + nb)
             y = x.filter(pa.array(ok))
             yield pa.RecordBatch.from_arrays(y.columns[:4], names=["a", "b", "na", "nb"])
 
