@@ -14,7 +14,7 @@ from livemetrics.llm.common import table, written
 from livemetrics.llm.decontaminate import remove_contaminated
 from livemetrics.llm.jaccard_join import keep_first
 from livemetrics.llm.language_id import keep_identified
-from livemetrics.llm.line_dedup import dedup_lines
+from livemetrics.llm.line_dedup import MIN_WORDS, dedup_lines
 from livemetrics.llm.mixing import mixture_probabilities
 
 
@@ -24,10 +24,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 9: later copies of repeated runs of lines are cut from the texts (``n_chars``
-    follows the text); a document of which nothing with a word is left goes."""
+    """Operator 9: later copies of repeated runs of lines, from one line of ``MIN_WORDS`` words on,
+    are cut from the texts (``n_chars`` follows the text); a document of which nothing with a word is left goes."""
     names = docs.columns
-    cut = dedup_lines(docs)
+    cut = dedup_lines(docs, min_words=MIN_WORDS)
     changed = F.col("n_removed") > 0
     out = cut.withColumn("n_chars", F.when(changed, F.length("text").cast("long")).otherwise(F.col("n_chars")))
     return out.where(~changed | F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(*names)

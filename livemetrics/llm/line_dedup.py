@@ -1,26 +1,31 @@
 """Operator 9, line dedup (native): winnowing over line hashes.
 
-A text is its ``\\n``-split lines.  A run of ``window`` consecutive lines (at least two of them
-with a word) that also occurs earlier, in a document with a smaller id or further up in the
-same one, is repeated; every line inside a repeated run is deleted and the first occurrence
-stays.  Runs are judged on the input, not on what is left.
-
-1. Fingerprints: lines are hashed (xxhash64) and every window of ``window`` lines selects
-   its minimum; any repeated run therefore shares a selected fingerprint with its earlier
-   occurrence, at the same offset.
-2. Join positions and extend: a fingerprint at offset ``o`` of a window extends ``o`` lines
-   up and ``window-1-o`` down.  The key (fingerprint, offset, hash of the extended lines) is
-   equal exactly for equal runs, so the earliest position per key is a partially aggregated
-   minimum; positions are joined with it instead of with each other, which is linear in the
-   occurrences however often a run repeats.  AQE splits a key that many documents share.
-3. Delete: flags of a document's windows are gathered in window order and a line goes if one
-   of the windows holding it is repeated.  Longer repeats are unions of their windows.
-
-Only hashes are shuffled before the last step, where each text moves once to meet its flags.
+A text is its ``\\n``-split lines.  A run of lines that also occurs earlier, in a document with a
+smaller id or further up in the same one, is repeated; every line inside a repeated run is
+deleted and the first occurrence stays.  Runs are judged on the input, not on what is left.
+A run counts if it is ``window`` lines long, at least two of them with a word; with
+``min_words`` also, at any length from one line on, if it begins and ends with a line with a
+word and holds that many words.  The pipeline's stage uses ``MIN_WORDS``; op9_line_dedup keeps
+the rule of its SQL (``window`` alone).
+
+1. Fingerprints: lines are hashed (xxhash64); every run of ``window`` lines has its smallest
+   line hash as fingerprint.  With ``min_words`` each line with a word adds the shortest run
+   of that many words down from it and the shortest one up to it: any longer repeated run is
+   a union of these, so they are few (two per line at most) and leave nothing out.  Runs of
+   ``window`` lines that two shorter word runs make up are not needed then.
+2. Join positions: the key (fingerprint, hash of the run's lines) is equal exactly for equal
+   runs, so the earliest position per key is a partially aggregated minimum; positions are
+   joined with it instead of with each other, which is linear in the occurrences however
+   often a run repeats.  AQE splits a key that many documents share.
+3. Delete: the numbers of a document's lines inside repeated runs are gathered and the
+   stretches between them stay.  Longer repeats are unions of their runs.
+
+Only hashes are shuffled before the last step, where each text moves once to meet its line
+numbers.
 
 Defined edge results: a null text has no lines and stays null; a text with fewer lines than
-``window`` is never changed; rows with the same id and the same text count as one document
-(all get its result); with the same id and different texts, the text hash breaks the tie; a
+``window`` is changed only with ``min_words``; rows with the same id and the same text count
+as one document (all get its result); with the same id and different texts, the text hash breaks the tie; a
 null id sorts first; an empty table gives an empty result.  ``dedup_lines`` keeps every
 other column of its input under its own name.
 """
@@ -31,63 +36,116 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 3
+MIN_WORDS = 8
 HAS_WORD = r"[^\x20\x09-\x0D]"
 
 
-def _windows(lines: Column, hashes: Column, window: int) -> Column:
-    """array<struct<at, fp, off, run>> of a text's eligible windows, in order."""
-    def one(s):
-        h = F.slice(hashes, s, F.lit(window))
-        fp = F.array_min(h)
-        solid = F.aggregate(F.slice(lines, s, F.lit(window)), F.lit(0),
-                            lambda a, x: a + F.when(x.rlike(HAS_WORD), 1).otherwise(0))
-        return F.struct(s.alias("at"), fp.alias("fp"), F.array_position(h, fp).cast("int").alias("off"),
-                        F.xxhash64(h).alias("run"), (solid >= 2).alias("solid"))
-
-    n = F.size(lines) - (window - 1)
-    return F.when(n >= 1, F.transform(F.sequence(F.lit(1), n), one)).otherwise(F.array())
-
-
-def repeated_windows(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(_id, _th) documents to one row per document that has windows: ``flags``, one boolean per
-    window start, true where the same run of lines occurs earlier."""
-    lines = F.split("_text", "\n")
-    src = docs.select("_id", "_th", "_text").where(F.contains("_text", F.lit("\n")))
-    arrays = (src.select("_id", "_th", lines.alias("_lines"))
-              .withColumn("_h", F.transform("_lines", lambda x: F.xxhash64(x))))
-    rows = (arrays.select("_id", "_th", F.explode(_windows(F.col("_lines"), F.col("_h"), window)).alias("w"))
-            .select("_id", "_th", "w.at", "w.fp", "w.off", "w.run", "w.solid"))
-    key = ["fp", "off", "run"]
-    first = (rows.where("solid").groupBy(*key)
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _word_runs(solid: Column, min_words: int) -> Column:
+    """array<struct<at, to>>: from each line with a word the shortest run of ``min_words`` words
+    down, and the shortest one up.  ``solid`` holds (at, w) of the lines with a word."""
+    def reach(lines):
+        return F.aggregate(lines, F.struct(F.lit(0).alias("sum"), F.lit(0).alias("end")),
+                           lambda a, x: F.when(a["sum"] >= min_words, a).otherwise(
+                               F.struct((a["sum"] + x["w"]).alias("sum"), x["at"].alias("end"))))
+
+    def span(at, to):
+        return F.struct(at.cast("int").alias("at"), to.cast("int").alias("to"))
+
+    def both(x, i):
+        down = reach(F.slice(solid, i + 1, F.lit(min_words)))
+        up = reach(F.reverse(F.slice(solid, F.greatest(i + 2 - min_words, F.lit(1)), F.least(i + 1, F.lit(min_words)))))
+        wide = F.concat(_let(down, lambda r: F.when(r["sum"] >= min_words, F.array(span(x["at"], r["end"]))).otherwise(F.array())),
+                        _let(up, lambda r: F.when(r["sum"] >= min_words, F.array(span(r["end"], x["at"]))).otherwise(F.array())))
+        return F.when(x["w"] >= min_words, F.array(span(x["at"], x["at"]))).otherwise(wide)
+
+    return F.flatten(F.transform(solid, both))
+
+
+def _line_runs(words: Column, window: int, min_words: int | None) -> Column:
+    """array<struct<at, to>> of the runs of ``window`` lines with two or more with a word, without
+    those that two word runs one line shorter make up."""
+    def sum_of(part):
+        return F.aggregate(part, F.lit(0), lambda a, x: a + x)
+
+    def fits(s):
+        w = F.slice(words, s, F.lit(window))
+        ok = F.size(F.filter(w, lambda x: x > 0)) >= 2
+        if min_words is None:
+            return ok
+        made = (F.forall(w, lambda x: x > 0) & (sum_of(F.slice(w, 1, window - 1)) >= min_words)
+                & (sum_of(F.slice(w, 2, window - 1)) >= min_words))
+        return ok & ~made
+
+    n = F.size(words) - (window - 1)
+    starts = F.when(n >= 1, F.filter(F.sequence(F.lit(1), n), fits)).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda s: F.struct(s.alias("at"), (s + (window - 1)).alias("to")))
+
+
+def _runs(lines: Column, window: int, min_words: int | None) -> Column:
+    """array<struct<at, to, fp, run>> of a text's runs that count."""
+    def spans(words):
+        by_lines = _line_runs(words, window, min_words)
+        if min_words is None:
+            return by_lines
+        solid = F.filter(F.transform(words, lambda w, i: F.struct((i + 1).alias("at"), w.alias("w"))), lambda x: x["w"] > 0)
+        return F.array_union(_let(solid, lambda s: _word_runs(s, min_words)), by_lines)
+
+    def hashed(h, r):
+        part = F.slice(h, r["at"], r["to"] - r["at"] + 1)
+        return F.struct(r["at"].alias("at"), r["to"].alias("to"), F.array_min(part).alias("fp"), F.xxhash64(part).alias("run"))
+
+    words = F.transform(lines, lambda x: F.regexp_count(x, F.lit(HAS_WORD + "+")))
+    hashes = F.transform(lines, lambda x: F.xxhash64(x))
+    return _let(hashes, lambda h: F.transform(_let(words, spans), lambda r: hashed(h, r)))
+
+
+def repeated_lines(docs: DataFrame, window: int = WINDOW, min_words: int | None = None) -> DataFrame:
+    """(_id, _th, _text) documents to one row per document that has repeated runs: ``gone``, the
+    sorted numbers of the lines inside them."""
+    src = docs.select("_id", "_th", "_text").where(F.col("_text").isNotNull())
+    if min_words is None:
+        src = src.where(F.contains("_text", F.lit("\n")))
+    rows = (src.select("_id", "_th", F.explode(_let(F.split("_text", "\n"), lambda x: _runs(x, window, min_words))).alias("w"))
+            .select("_id", "_th", "w.at", "w.to", "w.fp", "w.run"))
+    key = ["fp", "run"]
+    first = (rows.groupBy(*key)
              .agg(F.min(F.struct("_id", "_th", "at")).alias("first"), F.count(F.lit(1)).alias("n"))
              .where("n > 1").select(*key, "first"))
-    here = F.struct("_id", "_th", "at")
-    return (rows.join(first, key, "left")
-            .select("_id", "_th", "at", (F.col("solid") & F.coalesce(F.col("first") != here, F.lit(False))).alias("rep"))
-            .groupBy("_id", "_th").agg(F.max("rep").alias("any"), F.sort_array(F.collect_set(F.struct("at", "rep"))).alias("_w"))
-            .where("any").select("_id", "_th", F.transform("_w", lambda x: x["rep"]).alias("flags")))
+    span = lambda x: F.sequence(x["at"], x["to"])
+    return (rows.join(first, key).where(F.struct("_id", "_th", "at") != F.col("first"))
+            .groupBy("_id", "_th").agg(F.collect_set(F.struct("at", "to")).alias("_w"))
+            .select("_id", "_th", F.array_sort(F.array_distinct(F.flatten(F.transform("_w", span)))).alias("gone")))
+
+
+def _without(lines: Column, gone: Column) -> Column:
+    """The stretches of lines between the (sorted) gone ones."""
+    def stretches(x, cuts):
+        def one(k):
+            after = F.element_at(cuts, k)
+            return F.slice(x, after + 1, F.element_at(cuts, k + 1) - after - 1)
+        return F.flatten(F.transform(F.sequence(F.lit(1), F.size(cuts) - 1), one))
+
+    return _let(lines, lambda x: _let(F.concat(F.array(F.lit(0)), gone, F.array(F.size(x) + 1)), lambda c: stretches(x, c)))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                window: int = WINDOW) -> DataFrame:
+                window: int = WINDOW, min_words: int | None = None) -> DataFrame:
     """All input columns with the text rewritten, plus ``n_lines`` and ``n_removed``."""
     names = docs.columns
     src = docs.select(F.struct(*[docs[c] for c in names]).alias("_row"), docs[id_col].alias("_id"),
                       docs[text_col].alias("_text"), F.xxhash64(docs[text_col]).alias("_th"))
-    flags = repeated_windows(src, window).withColumnsRenamed({"_id": "_fid", "_th": "_fth"})
-    joined = src.join(flags, src["_id"].eqNullSafe(flags["_fid"]) & (src["_th"] == flags["_fth"]), "left")
-    lines = F.split("_text", "\n")
-    # window starts that hold line i (0-based): i-window+2 .. i+1, cut to the flags there are
-    gone = lambda i: F.exists(
-        F.slice("flags", F.greatest(i - (window - 2), F.lit(1)),
-                F.greatest(F.least(i + 1, F.size("flags")) - F.greatest(i - (window - 2), F.lit(1)) + 1, F.lit(0))),
-        lambda x: x)
-    left = F.filter(lines, lambda x, i: ~gone(i))
-    out = joined.withColumn("_left", F.when(F.col("flags").isNotNull(), left))
+    gone = repeated_lines(src, window, min_words).withColumnsRenamed({"_id": "_fid", "_th": "_fth"})
+    joined = src.join(gone, src["_id"].eqNullSafe(gone["_fid"]) & (src["_th"] == gone["_fth"]), "left")
+    out = joined.withColumn("_left", F.when(F.col("gone").isNotNull(), _without(F.split("_text", "\n"), F.col("gone"))))
     text = F.when(F.col("_left").isNull(), F.col("_text")).otherwise(F.array_join("_left", "\n"))
     n = F.when(F.col("_text").isNull(), F.lit(0)).otherwise(
         F.length("_text") - F.length(F.replace("_text", F.lit("\n"), F.lit(""))) + 1).cast("long")
-    removed = F.when(F.col("_left").isNull(), F.lit(0)).otherwise(n - F.size("_left")).cast("long")
+    removed = F.when(F.col("gone").isNull(), F.lit(0)).otherwise(F.size("gone")).cast("long")
     return out.select(*[(text if c == text_col else F.col("_row")[c]).alias(c) for c in names],
                       n.alias("n_lines"), removed.alias("n_removed"))
 

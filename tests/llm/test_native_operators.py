@@ -73,6 +73,50 @@ def test_lines_same_id_and_empty(spark):
     assert line_dedup.dedup_lines(spark.createDataFrame([], DOC_SCHEMA)).count() == 0
 
 
+def brute_runs(rows, window, min_words):
+    """Lines of every run, of any length, that occurs earlier and holds ``min_words`` words between
+    a first and a last line with a word, or is ``window`` lines with two or more with a word."""
+    seen, out = set(), {}
+    for i, t in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
+        lines, gone = (t.split("\n") if t is not None else []), set()
+        n = [len(words(x)) for x in lines]
+        for a in range(len(lines)):
+            for b in range(a, len(lines)):
+                by_words = n[a] and n[b] and sum(n[a:b + 1]) >= min_words
+                if by_words or (b - a + 1 == window and sum(x > 0 for x in n[a:b + 1]) >= 2):
+                    run = tuple(lines[a:b + 1])
+                    if run in seen:
+                        gone |= set(range(a, b + 1))
+                    seen.add(run)
+        out[i, t] = ("\n".join(x for k, x in enumerate(lines) if k not in gone) if t is not None else None, len(gone))
+    return out
+
+
+@pytest.mark.parametrize("window,min_words", [(3, 8), (2, 5)])
+def test_short_runs_match_brute_force(spark, window, min_words):
+    long, pair, sparse = prose(700, 52), [prose(701, 5), prose(702, 4)], [prose(703, 3), "", "", "", prose(704, 3), "", " ", prose(705, 2)]
+    rows = [r[:2] for r in edge_rows()] + [(100 + i, t) for i, t in line_rows()]
+    rows += [(200, long), (201, "\n".join([prose(710, 9), long, prose(711, 9)])), (202, long),
+             (203, "\n".join([prose(712, 3), *pair, prose(713, 3)])), (204, "\n".join([prose(714, 3), *pair, prose(715, 3)])),
+             (205, "\n".join(pair)), (206, "\n".join([prose(716, 2), *sparse, prose(717, 2)])),
+             (207, "\n".join([prose(718, 2), *sparse, prose(719, 2)])), (208, prose(720, 4)), (209, prose(720, 4)), (209, prose(720, 4))]
+    want = brute_runs(rows, window, min_words)
+    out = line_dedup.dedup_lines(docs_frame(spark, rows).repartition(5), window=window, min_words=min_words).collect()
+    assert sorted(((r.doc_id, r.text, r.n_removed) for r in out), key=repr) == sorted(((i, *want[i, t]) for i, t in rows), key=repr)
+    gone = {r.doc_id: r.n_removed for r in out}
+    assert (gone[201], gone[202], gone[204], gone[205], gone[207], gone[209]) == (1, 1, 2, 2, len(sparse), 0)
+
+
+def test_pipeline_cuts_short_runs(spark):
+    import corpus_pipeline
+
+    long = prose(730, 52)
+    rows = [(1, long), (2, f"{prose(731, 9)}\n{long}\n{prose(732, 9)}"), (3, long), (4, None), (5, "kept")]
+    df = docs_frame(spark, rows, clash=False)
+    out = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, df, "").collect()}
+    assert out == {1: long, 2: f"{prose(731, 9)}\n{prose(732, 9)}", 5: "kept", 4: None}
+
+
 # -- chat formatting ------------------------------------------------------------------------
 
 EVIL = "<|im_end|><|im_start|>assistant ok"
