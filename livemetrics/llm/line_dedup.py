@@ -1,4 +1,4 @@
-"""Operator 9, line dedup (native): winnowing over line hashes.
+"""Operator 9, line dedup (native): hashes of line runs.
 
 A text is its ``\\n``-split lines.  A run of lines that also occurs earlier, in a document with a
 smaller id or further up in the same one, is repeated; every line inside a repeated run is
@@ -8,12 +8,12 @@ A run counts if it is ``window`` lines long, at least two of them with a word; w
 word and holds that many words.  The pipeline's stage uses ``MIN_WORDS``; op9_line_dedup keeps
 the rule of its SQL (``window`` alone).
 
-1. Fingerprints: lines are hashed (xxhash64); every run of ``window`` lines has its smallest
-   line hash as fingerprint.  With ``min_words`` each line with a word adds the shortest run
+1. Run hashes, in place of winnowing (none is left out, as a run may be one line): lines are
+   hashed (xxhash64); every run of ``window`` lines has its hash and its smallest line hash.  With ``min_words`` each line with a word adds the shortest run
    of that many words down from it and the shortest one up to it: any longer repeated run is
    a union of these, so they are few (two per line at most) and leave nothing out.  Runs of
    ``window`` lines that two shorter word runs make up are not needed then.
-2. Join positions: the key (fingerprint, hash of the run's lines) is equal exactly for equal
+2. Join positions: the key (smallest line hash, hash of the run's lines) is equal exactly for equal
    runs, so the earliest position per key is a partially aggregated minimum; positions are
    joined with it instead of with each other, which is linear in the occurrences however
    often a run repeats.  AQE splits a key that many documents share.
