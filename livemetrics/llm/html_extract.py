@@ -36,7 +36,7 @@ SCHEMA = "page_id long, url string, text string, n_chars long"
 
 # Fixed values of HTML: elements without an end tag, without readable text, and of block level.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-UNREAD = "script|style|noscript|template|textarea|title|iframe|svg|math|select|object|canvas|audio|video"
+UNREAD = "script|style|template|textarea|title|iframe|svg|select|canvas|audio|video"
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt
 fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol
 option p pre search section summary table tbody td tfoot th thead tr ul""".split())
@@ -46,6 +46,7 @@ SELF_NESTING = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "optio
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
+    r"|<svg(?=[\s/>])[^>]*+(?<=/)>"           # self-closed: holds nothing
     rf"|<(?P<raw>{UNREAD})(?=[\s/>])[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)"
     r"|<[!?][^>]*+(?:>|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*+)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"

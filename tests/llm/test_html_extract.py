@@ -50,6 +50,13 @@ def test_blocks_of_broken_markup():
     assert main_text(f"<article><p>{LONG}</p><p>cut off <a href='x") == f"{LONG}\ncut off"
 
 
+def test_self_closed_svg_and_text_of_math_object_noscript():
+    assert [b.text for b in page_blocks('<p>One <svg class="i"/> two.</p><p>Three <math/>four.</p>')] == ["One two.", "Three four."]
+    assert [b.text for b in page_blocks("<p>a <svg><text>drawn</text></svg> b <svg/>c</p>")] == ["a b c"]
+    page = f"<article><p>{LONG} <math><mi>x</mi></math> <object>in object</object> <noscript>no script</noscript></p><p>{LONG}</p></article>"
+    assert main_text(page).split("\n") == [f"{LONG} x in object no script", LONG]
+
+
 def test_smoothing_keeps_a_short_line_and_drops_a_link_row():
     page = (f'<body><div><a href="1">Home</a> <a href="2">News</a></div><div><h1>A title of it</h1><p>{LONG}</p><p>Ok</p>'
             f'<p>{LONG}</p></div><div><a href="1">About us</a> | <a href="2">Contact</a></div></body>')
