@@ -39,9 +39,10 @@ def ordered_parts(df: DataFrame, keys: Sequence, name: str = "ordered", partitio
 
 
 def running(parts: DataFrame, group: Sequence[str], order: Sequence, values: dict[str, tuple[str, Column]],
-            totals: dict[str, tuple[str, Column]] | None = None, part: str = PART) -> DataFrame:
-    """Append running values over ``group`` in ``order`` (the row itself included), and values of
-    the whole group (``totals``); both as name -> (kind, column).
+            totals: dict[str, tuple[str, Column]] | None = None, part: str = PART,
+            inclusive: bool = True) -> DataFrame:
+    """Append running values over ``group`` in ``order`` (the row itself included, unless
+    ``inclusive`` is false), and values of the whole group (``totals``); both as name -> (kind, column).
 
     ``part`` may be any column that never decreases along the order inside a group and whose
     values hold a bounded number of rows, e.g. ``position div 65536``.
@@ -67,7 +68,7 @@ def running(parts: DataFrame, group: Sequence[str], order: Sequence, values: dic
         *[again(kind)(F.col(f"_t{i}")).over(before).alias(f"_c{i}") for i, (kind, _) in enumerate(values.values())],
         *[again(kind)(F.col(f"_t{i + len(values)}")).over(whole).alias(n)
           for i, (n, (kind, _)) in enumerate(totals.items())])
-    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
     local = parts.select("*", *[KINDS[kind][0](c).over(inside).alias(f"_l{i}")
                                 for i, (kind, c) in enumerate(values.values())])
     out = local.join(carried, keys)

@@ -42,6 +42,19 @@ def test_a_hot_group_is_spread_over_parts_and_no_part_number_goes_back(spark):
     assert all(x["b"] < y["a"] for x, y in zip(per, per[1:]))
 
 
+def test_values_before_the_row(spark):
+    rows, df = _frame(spark)
+    parts = ordered_parts(df, ["g", "o"], partitions=7)
+    out = running(parts, ["g"], ["o"], {"top": ("max", F.col("o")), "n": ("count", F.lit(1)),
+                                        "seen": ("last", F.col("w"))}, inclusive=False)
+    got = {(r["g"], r["o"]): (r["top"], r["n"], r["seen"]) for r in out.collect()}
+    state = {}
+    for g, o, _, w in sorted(rows):
+        top, n, seen = state.get(g, (None, 0, None))
+        assert got[g, o] == (top, n, seen)
+        state[g] = (o, n + 1, w if w is not None else seen)
+
+
 def test_given_parts_no_group_and_an_empty_table(spark):
     df = spark.range(100).withColumn("p", F.expr("id div 9"))
     out = running(df, [], ["id"], {"s": ("sum", F.col("id"))}, part="p")
