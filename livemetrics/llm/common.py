@@ -22,11 +22,16 @@ ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)
 def map_arrow(df: DataFrame, fn, schema) -> DataFrame:
     """``df.mapInArrow`` whose Python workers can import this package also when only the driver
     has it on its path (local sessions; clusters ship it with ``--py-files``)."""
-    env = df.sparkSession.sparkContext.environment
+    ship(df.sparkSession)
+    return df.mapInArrow(fn, schema)
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers started from now on import this package."""
+    env = spark.sparkContext.environment
     path = env.get("PYTHONPATH", "")
     if ROOT not in path.split(os.pathsep):
         env["PYTHONPATH"] = os.pathsep.join(x for x in (path, ROOT) if x)
-    return df.mapInArrow(fn, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

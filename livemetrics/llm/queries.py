@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from livemetrics.llm import (
-    chat_format, decontaminate, jaccard_join, line_dedup, merkle, mixing, repetition, url_filter,
+    chat_format, conversation_trie, decontaminate, jaccard_join, line_dedup, merkle, mixing, repetition, url_filter,
 )
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
@@ -68,6 +68,10 @@ def op10_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return filter_urls(table(spark, d, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op11_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
+    return conversation_trie.prefix_trie(table(spark, d, "conversations"))
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.merkle_digest(table(spark, d, "documents"))
 
@@ -84,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_jaccard_join": op8_jaccard_join,
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
+        "op11_conversation_trie": op11_conversation_trie,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
@@ -98,5 +103,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_jaccard_join": jaccard_join.oracle_sql(),
         "op9_line_dedup": line_dedup.oracle_sql(),
         "op10_url_filter": url_filter.oracle_sql(),
+        "op11_conversation_trie": conversation_trie.oracle_sql(),
         "op13_merkle_manifest": merkle.oracle_sql(),
     }
