@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from livemetrics.llm import (
-    chat_format, conversation_trie, decontaminate, jaccard_join, line_dedup, merkle, mixing, repetition, url_filter,
+    chat_format, conversation_trie, decontaminate, fingerprints, jaccard_join, line_dedup, merkle, mixing, repetition, url_filter,
 )
 from livemetrics.llm.chat_format import chat_digest, format_conversations
 from livemetrics.llm.common import table
@@ -72,6 +72,10 @@ def op11_conversation_trie(spark: SparkSession, d: str) -> DataFrame:
     return conversation_trie.prefix_trie(table(spark, d, "conversations"))
 
 
+def op12_fingerprints(spark: SparkSession, d: str) -> DataFrame:
+    return fingerprints.edited_prints(table(spark, d, "documents"))
+
+
 def op13_merkle_manifest(spark: SparkSession, d: str) -> DataFrame:
     return merkle.merkle_digest(table(spark, d, "documents"))
 
@@ -89,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_line_dedup": op9_line_dedup,
         "op10_url_filter": op10_url_filter,
         "op11_conversation_trie": op11_conversation_trie,
+        "op12_fingerprints": op12_fingerprints,
         "op13_merkle_manifest": op13_merkle_manifest,
     }
 
