@@ -218,13 +218,13 @@ def oracle_sql() -> str:
 WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, turn FROM conversations
            WHERE conv_id IS NOT NULL),
 o AS (SELECT *, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, role,
-                                   sha256(strlen(role)::VARCHAR || ':' || role || text)) - 1 AS at FROM t),
+                                   sha256(strlen(role)::VARCHAR || ':' || role || text)) - 1 AS i FROM t),
 f AS (SELECT c, c - c % {FAMILY} AS b, {crc} % {HEADS} AS h FROM (SELECT DISTINCT c FROM t)),
-r AS (SELECT f.c, 0 AS own, o.at, o.role, o.text FROM f JOIN o ON o.c = f.b AND o.at < f.h
-      UNION ALL SELECT f.c, 1, o.at, o.role, o.text FROM f JOIN o ON o.c = f.c AND o.at >= f.h),
+r AS (SELECT f.c, 0 AS own, o.i, o.role, o.text FROM f JOIN o ON o.c = f.b AND o.i < f.h
+      UNION ALL SELECT f.c, 1, o.i, o.role, o.text FROM f JOIN o ON o.c = f.c AND o.i >= f.h),
 n AS (SELECT c, row_number() OVER w AS depth, length(text) AS chars,
              md5(string_agg(strlen(role)::VARCHAR || ':' || role || strlen(text)::VARCHAR || ':' || text, '') OVER w) AS k
-      FROM r WINDOW w AS (PARTITION BY c ORDER BY own, at ROWS UNBOUNDED PRECEDING)),
+      FROM r WINDOW w AS (PARTITION BY c ORDER BY own, i ROWS UNBOUNDED PRECEDING)),
 p AS (SELECT c, depth, k, chars FROM n UNION ALL SELECT c, 0, '', 0 FROM f),
 node AS (SELECT depth, k, min(c) AS conv_id, count(*) AS n_convs, any_value(chars) AS chars FROM p GROUP BY ALL),
 link AS (SELECT DISTINCT a.depth, a.k, b.k AS up FROM p a JOIN p b ON a.c = b.c AND b.depth = a.depth - 1),

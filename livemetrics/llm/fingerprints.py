@@ -1,10 +1,11 @@
 """Operator 12, document fingerprints (native): one-permutation MinHash with optimal densification.
 
-A document is the set of its five-word shingles (words ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased; with fewer
+A document is the set of its five-word shingles (words ``[^\\x20\\x09-\\x0D]+``, lower-cased; with fewer
 words the whole sequence is one).  Every shingle is hashed once; the top 8 bits are its bin, and a bin
 keeps the smallest hash.  An empty bin takes over the value of a filled one: the first filled bin in
-a random order of its own (here: the filled bin of smallest ``xxhash64(empty, filled)``), which is optimal
-densification, every empty bin choosing independently.  The fingerprint packs the ``BITS`` low-order bits of
+a random order of its own, which is optimal densification, every empty bin choosing independently.  The
+order starts with ``PROBES`` bins drawn by a fixed rule, so a document with many filled bins needs
+few steps; then all bins follow by ``xxhash64(empty, filled)``.  The fingerprint packs the ``BITS`` low-order bits of
 the ``BINS`` values as hex digits (128 bytes whatever the document's length); two fingerprints agree by
 chance in 2**-BITS of their bins, which ``likeness`` corrects.
 
@@ -23,22 +24,25 @@ length are read whole; an empty table gives an empty result; other columns are i
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from livemetrics.llm.common import WORD, lower_ascii, written
+from livemetrics.llm.common import WORD, written
 from livemetrics.operators.ordered import ordered_parts, running
 
 WORDS = 5
 BIN_BITS = 8
 BINS = 1 << BIN_BITS
 BITS = 4                                     # stored per bin: one hex digit
+PROBES = 16
 LOW = (1 << (64 - BIN_BITS)) - 1             # what is no bin number in a hash
 
 
 def shingle_hashes(text: Column) -> Column:
     """array<long> of a text's shingles (repeats included), 64 bits each."""
-    words = F.transform(F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0)),
+    words = F.transform(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0)),
                         lambda w: F.xxhash64(w))
 
     def cut(w: Column) -> Column:
@@ -63,20 +67,33 @@ def _is_mark(x: Column) -> Column:
     return x.bitwiseAND(F.lit(LOW)) == LOW
 
 
+def probes(number: int) -> list[int]:
+    """The places an empty bin looks at first, in order: the first bytes of a hash of its number."""
+    return list(hashlib.sha256(bytes([number])).digest()[:PROBES])
+
+
 def densified(bins: Column) -> Column:
     """The ``BITS`` low bits of every bin, empty ones filled from the filled ones; no bin filled: empty."""
     low = (1 << BITS) - 1
+    table = F.expr("array(" + ",".join(str(b) for i in range(BINS) for b in probes(i)) + ")")
 
-    def fill(filled: Column) -> Column:
-        def choose(x: Column) -> Column:
-            number = F.shiftright(x, 64 - BIN_BITS)
-            # the order of the filled bins that belongs to this empty one; the value rides in the low bits
+    def fill(vals: Column) -> Column:        # the values in bin order, null in empty bins
+        filled = F.filter(bins, lambda y: ~_is_mark(y))
+
+        def choose(i: Column) -> Column:     # the order of the filled bins that belongs to this empty one
+            number = (i - BINS // 2).cast("long")
             return F.array_min(F.transform(filled, lambda y: F.xxhash64(number, F.shiftright(y, 64 - BIN_BITS))
                                            .bitwiseAND(F.lit(~low)).bitwiseOR(y.bitwiseAND(F.lit(low))))).bitwiseAND(F.lit(low))
-        each = lambda x: F.when(_is_mark(x), choose(x)).otherwise(x.bitwiseAND(F.lit(low)))
-        return F.when(F.size(filled) > 0, F.transform(bins, each)).otherwise(F.array().cast("array<bigint>"))
 
-    return F.element_at(F.transform(F.array(F.filter(bins, lambda x: ~_is_mark(x))), fill), 1)
+        def each(x: Column, i: Column) -> Column:
+            looks = [F.get(vals, F.get(table, i * PROBES + a)) for a in range(PROBES)]
+            return F.coalesce(x, *looks, choose(i))
+
+        n = F.size(F.array_compact(vals))
+        return F.when(n == BINS, vals).when(n > 0, F.transform(vals, each)).otherwise(F.array().cast("array<bigint>"))
+
+    values = F.transform(bins, lambda x: F.when(~_is_mark(x), x.bitwiseAND(F.lit(low))))
+    return F.element_at(F.transform(F.array(values), fill), 1)
 
 
 def fingerprint(text: Column) -> Column:

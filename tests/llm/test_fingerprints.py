@@ -6,8 +6,8 @@ import struct
 import xxhash
 from pyspark.sql import functions as F
 
-from livemetrics.llm.fingerprints import BINS, edited_prints, fingerprint, likeness
-from tests.llm.helpers import LOWER, docs_frame, edge_rows, prose, words
+from livemetrics.llm.fingerprints import BINS, edited_prints, fingerprint, likeness, probes
+from tests.llm.helpers import docs_frame, edge_rows, prose, words
 
 
 def signed(x):
@@ -22,7 +22,7 @@ def xx(*vals):
 
 
 def shingles(text):
-    w = [xx(x) for x in words((text or "").translate(LOWER))]
+    w = [xx(x) for x in words((text or "").lower())]
     if len(w) >= 5:
         return {xx(*w[i:i + 5]) for i in range(len(w) - 4)}
     return {xx(*w)} if w else set()          # an array is hashed element by element
@@ -36,10 +36,12 @@ def plain(text):
         return ""
     out = []
     for b in range(-BINS // 2, BINS // 2):
-        if b not in bins:                    # the filled bin that comes first in this bin's own order
+        looks = [b] + [x - BINS // 2 for x in probes(b + BINS // 2)]
+        found = [f for f in looks if f in bins]
+        if found:
+            out.append(bins[found[0]] & 15)
+        else:                                # the filled bin that comes first in this bin's own order
             out.append(min((xx(b, f) & ~15) | (bins[f] & 15) for f in bins) & 15)
-        else:
-            out.append(bins[b] & 15)
     return "".join(f"{v:x}" for v in out)
 
 
