@@ -9,14 +9,16 @@ from __future__ import annotations
 
 import argparse
 import datetime as dt
-from typing import Callable
+from typing import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from livemetrics.dependencies import READS, JobRun, affected_days
 from livemetrics.functions.predicates import Source
 from livemetrics.functions.numeric import money
 from livemetrics.sinks import overwrite_partitions, write_report
+from livemetrics.sources.tables import on_days
 from livemetrics.staging import stages_dropped_after
 
 
@@ -53,18 +55,14 @@ def backfill(build: Callable[[dt.date, dt.date], DataFrame], start, end, path: s
 # needs with a partition filter on the raw ``day`` column, runs the set-based plan for the
 # whole range and writes the requested days with a dynamic partition overwrite.
 
-# Days of input each job reads for a requested day, as offsets from it: the day itself, the
-# next one for broadcasts running past midnight, and the cohort days of the retention rates.
-OFFSETS = {
-    "ods_play_time": (0,), "ods_online_count": (0,), "dw_room_online_count": (0,),
-    "dw_daily_room_flow": (0,), "dw_room_play_time": (0, 1), "rpt_channel_analysis": (0, -1, -7),
-    "rpt_source": (0, -1, -7), "rpt_user_cnt_by_category": (0,),
-}
+# The days of each table a job reads for an output day are in ``dependencies.READS``.
 
 
-def input_days(job: str, days: list[dt.date]) -> list[dt.date]:
-    """The days ``job`` reads for the requested ``days``."""
-    return sorted({d + dt.timedelta(days=n) for d in days for n in OFFSETS[job]})
+def input_days(job: str, days: list[dt.date], table: str | None = None) -> list[dt.date]:
+    """The days ``job`` reads of ``table`` (of any table) for the requested ``days``."""
+    reads = READS[job]
+    offsets = set(reads[table]) if table else {n for o in reads.values() for n in o}
+    return sorted({d + dt.timedelta(days=n) for d in days for n in offsets})
 
 
 def _read(spark: SparkSession, tables: dict, name: str) -> DataFrame:
@@ -73,24 +71,10 @@ def _read(spark: SparkSession, tables: dict, name: str) -> DataFrame:
     return df.withColumn("price", money("price")) if "price" in df.columns else df
 
 
-def _days(spark: SparkSession, tables: dict, name: str, days: list[dt.date], day_col: str = "day",
-          as_date: bool = True):
-    df = _on_days(_read(spark, tables, name), days, day_col, "%Y-%m-%d")
-    return df.withColumn(day_col, F.to_date(F.col(day_col))) if as_date else df
-
-
-def _on_days(df: DataFrame, days: list[dt.date], col: str, fmt: str) -> DataFrame:
-    """Rows of the given days by a literal filter on the raw column: a range where the days are
-    consecutive, a list otherwise (a one-day retention report reads three days, not eight)."""
-    text = [d.strftime(fmt) for d in days]
-    if (days[-1] - days[0]).days == len(days) - 1:
-        return df.where(F.col(col).between(F.lit(text[0]), F.lit(text[-1])))
-    return df.where(F.col(col).isin(text))
-
-
-def _player(spark, tables, days):
-    # The player log is keyed by a compact yyyyMMdd text day: filter the raw column.
-    return _on_days(_read(spark, tables, "player_log"), days, "date", "%Y%m%d")
+def _days(spark: SparkSession, tables: dict, name: str, days: list[dt.date], day_col: str = "day") -> DataFrame:
+    if name == "player_log":                 # keyed by a compact yyyyMMdd text day
+        return on_days(_read(spark, tables, name), days, "date", compact=True)
+    return on_days(_read(spark, tables, name), days, day_col).withColumn(day_col, F.to_date(F.col(day_col)))
 
 
 def build_job(spark: SparkSession, job: str, tables: dict, days: list[dt.date],
@@ -99,8 +83,9 @@ def build_job(spark: SparkSession, job: str, tables: dict, days: list[dt.date],
     from livemetrics.operators import online
     from livemetrics.plans import play_time, reports, room_flow
 
-    reads = input_days(job, days)
-    t = lambda n, on=reads: _days(spark, tables, n, on)
+    def t(stored: str) -> DataFrame:
+        return _days(spark, tables, stored, input_days(job, days, stored))
+
     if job == "ods_play_time":
         return room_flow.clean_broadcasts(t("play_time_raw"), **kw)
     if job == "ods_online_count":
@@ -111,22 +96,22 @@ def build_job(spark: SparkSession, job: str, tables: dict, days: list[dt.date],
         oc = room_flow.room_online_count(t("online_raw"))
         return room_flow.daily_room_flow(
             t("room_pv_uv"), oc, t("trade"), t("subscription"), t("subscription_total"),
-            _player(spark, tables, reads), t("play_time_raw"),
+            t("player_log"), t("play_time_raw"),
             spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
     if job == "dw_room_play_time":
         # only the requested days' broadcasts are attributed; the look-ahead day adds events
-        sessions = t("play_time_etl", days).withColumn("begin_time", F.to_timestamp("begin_time")) \
+        sessions = t("play_time_etl").withColumn("begin_time", F.to_timestamp("begin_time")) \
                                      .withColumn("end_time", F.to_timestamp("end_time"))
         oc = t("online_count").withColumn("time", F.to_timestamp("time"))
         return play_time.room_play_time(
-            sessions, t("page_view"), oc, t("trade"), _player(spark, tables, reads), t("room_pv_uv", days),
+            sessions, t("page_view"), oc, t("trade"), t("player_log"), t("room_pv_uv"),
             spark.read.parquet(tables["dim_room"]), spark.read.parquet(tables["dim_category"]), **kw)
     if job == "rpt_channel_analysis":
         return reports.channel_report(t("pv_track"), **kw)
     if job == "rpt_source":
         (src,) = sources
         spine = spark.createDataFrame([(d,) for d in days], "day date")
-        return reports.source_report(t("pv_track"), t("page_view", days), src, load_time=load_time, days=spine, **kw)
+        return reports.source_report(t("pv_track"), t("page_view"), src, load_time=load_time, days=spine, **kw)
     if job == "rpt_user_cnt_by_category":
         return reports.category_users(t("page_view"), spark.read.parquet(tables["dim_room"]),
                                       spark.read.parquet(tables["dim_category"]), sources or [],
@@ -143,34 +128,56 @@ def run_job(spark: SparkSession, job: str, tables: dict, start, end, out: str,
             sources: list[Source] | None = None, load_time=None, mode: str = "overwrite_days", **kw) -> None:
     """Run ``job`` for the days ``[start, end)`` and replace those partitions of ``out``, also
     where a day has no rows.  ``mode="append"`` appends report rows instead."""
-    days = days_between(start, end)
+    run_days(spark, job, tables, days_between(start, end), out, sources=sources, load_time=load_time, mode=mode, **kw)
+
+
+def run_days(spark: SparkSession, job: str, tables: dict, days: list[dt.date], out: str,
+             sources: list[Source] | None = None, load_time=None, mode: str = "overwrite_days", **kw) -> None:
+    """``run_job`` for any days, consecutive or not, as one Spark job."""
     if not days:
         return
+    if job == "dw_user_transaction":
+        _run_user_transaction(spark, tables, sorted(days), out, **kw)
+        return
     with stages_dropped_after(spark):
         df = build_job(spark, job, tables, days, sources=sources, load_time=load_time, **kw)
         col = DAY_COLUMN.get(job, "day")
         if job in REPORT_JOBS:
-            write_report(df.where(F.to_date(F.col(col)).isin(days)), out, mode=mode, day_col=col)
+            write_report(df, out, mode=mode, day_col=col, days=days)
         else:
             overwrite_partitions(df, out, day_col=col, days=days)
 
 
+def rerun_late(spark: SparkSession, runs: Sequence[JobRun], changed: Mapping, first, last) -> list[tuple[str, list[dt.date]]]:
+    """Late rows arrived for the ``changed`` days (path of a table -> days): repeat every job of
+    ``runs`` for exactly the output days in ``[first, last]`` that they reach, through the chain of
+    jobs, and return what was rewritten.  ``last`` is the last day the outputs hold: days beyond
+    it are still to come and will read the late rows anyway."""
+    first, last = dt.date.fromisoformat(str(first)), dt.date.fromisoformat(str(last))
+    todo = affected_days(runs, changed, first, last)
+    for r, days in todo:
+        run_days(spark, r.job, dict(r.tables), days, r.out, **r.options)
+    return [(r.job, days) for r, days in todo]
+
+
 def run_user_transaction(spark: SparkSession, tables: dict, start, end, out: str,
                          history_start: str = "2015-06-01") -> None:
-    """U5 for every report day of ``[start, end)``: the trade history is read and reduced once
-    to (user, day, item, room); every report day is computed from that grain, all in one job."""
-    from livemetrics.plans.user_profile import trade_grain, user_transaction_from_grain
+    """U5 for every report day of ``[start, end)``."""
     days = days_between(start, end)
-    if not days:
-        return
-    history = days_between(history_start, end)
+    if days:
+        _run_user_transaction(spark, tables, days, out, history_start)
+
+
+def _run_user_transaction(spark: SparkSession, tables: dict, days: list[dt.date], out: str,
+                          history_start: str = "2015-06-01") -> None:
+    """The trade history is read and reduced once to (user, day, item, room); the profiles of all
+    report days come from one plan over that grain, whatever their number."""
+    from livemetrics.plans.user_profile import trade_grain, user_transaction_range
+    first, last = days[0], days[-1]
+    history = days_between(history_start, last + dt.timedelta(days=1))
     with stages_dropped_after(spark):
-        grain = trade_grain(_days(spark, tables, "trade", history), history[-1], history_start)
-        profiles = [user_transaction_from_grain(grain, d) for d in days]
-        df = profiles[0]
-        for p in profiles[1:]:
-            df = df.unionByName(p)
-        overwrite_partitions(df, out, day_col="date", days=days)
+        grain = trade_grain(_days(spark, tables, "trade", history), last, history_start)
+        overwrite_partitions(user_transaction_range(grain, first, last), out, day_col="date", days=days)
 
 
 def parse_source(spec: str) -> Source:
@@ -202,7 +209,7 @@ def main(argv=None) -> None:
     ``--source name:empty|referrer_re:landing_re`` or ``--source name:tid:tid_re``.
     """
     ap = argparse.ArgumentParser(prog="livemetrics.jobs")
-    ap.add_argument("job", choices=sorted([*OFFSETS, "dw_user_transaction"]))
+    ap.add_argument("job", choices=sorted(READS))
     ap.add_argument("--start")
     ap.add_argument("--end")
     ap.add_argument("--out", required=True)

@@ -81,5 +81,35 @@ def top_k_string(df: DataFrame, user: str, item: str, value: str, k: int = 5, al
                                       F.lit("}")).alias(alias)))
 
 
+def top_k_as_of(df: DataFrame, first, user: str, item: str, value: str, epochs: DataFrame, k: int = 5,
+                day: str = "day", alias: str = "top5", value_format=None) -> DataFrame:
+    """U4 as of many days in one plan: ``top_k_string`` per (user, epoch) over all rows up to the epoch.
+
+    ``epochs`` (user, epochs array<date>, ascending) are the days from ``first`` on at which a user's sums
+    change, ``first`` included; between them the string stays what it is.  A sum is valid from
+    its day to the item's next one.  Sums that only grow overtake each other but never fall, so of
+    the state before the range only the ``k`` largest sums can ever show: a user's whole history
+    shrinks to ``k`` rows beside the items that change inside the range.  A user with a falling sum in
+    the range keeps all items.
+    """
+    first = F.lit(_d(first))
+    per = df.groupBy(user, item, F.greatest(F.col(day), first).alias("_from")).agg(F.sum(value).alias("_add"))
+    w = Window.partitionBy(user, item).orderBy("_from")
+    sums = per.select(user, item, "_from", "_add", F.sum("_add").over(w).alias("_v"), F.lead("_from").over(w).alias("_to"))
+    later = sums.where(F.col("_from") > first)
+    base = sums.where(F.col("_from") == first)
+    falling = later.where(F.col("_add") < 0).select(F.col(user).alias("_u")).distinct()
+    rank = F.row_number().over(Window.partitionBy(user).orderBy(F.col("_v").desc(), F.col(item).asc()))
+    top = (base.join(falling, F.col(user) == F.col("_u"), "left_anti")
+               .withColumn("_rn", rank).where(F.col("_rn") <= k).drop("_rn"))
+    everything = base.join(falling, F.col(user) == F.col("_u"), "left_semi")
+    valid = later.unionByName(top).unionByName(everything).join(epochs, user)
+    at = valid.select(user, item, "_v", F.explode(F.filter("epochs", lambda e: (e >= F.col("_from"))
+                                                  & (F.col("_to").isNull() | (e < F.col("_to"))))).alias("_epoch"))
+    out = top_k_string(at.withColumn("_key", F.struct(user, "_epoch")), "_key", item, "_v", k=k, alias=alias,
+                       value_format=value_format)
+    return out.select(F.col(f"_key.{user}").alias(user), F.col("_key._epoch").alias("epoch"), alias)
+
+
 def daily_totals(trades: DataFrame, keys: Sequence[str] = ("user_id", "day"), amount: str = "price") -> DataFrame:
     return trades.groupBy(*keys).agg(F.sum(amount).alias("amount"))

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import os
+import uuid
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,67 +24,128 @@ def with_partitions(df: DataFrame, day_col: str = "day") -> DataFrame:
               .withColumn("day", F.date_format(d, "yyyy-MM-dd")))
 
 
-class _DayFiles:
-    """Data files of requested day partitions, through the table's own file system."""
+class PartitionReplace:
+    """Replace partition folders of a Parquet tree so that a crash leaves either the old days or a
+    commit that can be finished.
 
-    def __init__(self, spark: SparkSession, path: str, days: Sequence[dt.date]):
-        self._path = spark._jvm.org.apache.hadoop.fs.Path
-        self._fs = self._path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-        self._folders = [f"{path}/year={d:%Y}/month={d:%Y-%m}/day={d:%Y-%m-%d}" for d in days]
-        self._before = {f: self._names(f) for f in self._folders}
-
-    def _names(self, folder: str) -> set[str]:
-        p = self._path(folder)
-        return {x.getPath().getName() for x in self._fs.listStatus(p)} if self._fs.exists(p) else set()
+    The rows are written to a staging folder inside the table (names that start with ``_`` are no
+    data for Spark's readers).  Then a manifest appears by one rename: it lists every folder to
+    replace and whether there are new rows for it.  From then on the commit is decided; applying it
+    moves folder by folder and can be repeated: ``recover`` finishes every commit it finds, and every
+    later write or ``read_committed`` calls it first.  Without a manifest a staging folder is garbage of a
+    crashed write and changes nothing.  One writer per table at a time, as with any overwrite.
+    """
 
-    def drop_unreplaced(self) -> None:
-        """Remove the partitions that still hold a file they held before: the write that has
-        just ended had no row for them."""
-        for f, old in self._before.items():
-            if old and old & self._names(f):
-                self._fs.delete(self._path(f), True)
+    def __init__(self, spark: SparkSession, path: str):
+        self._spark, self._root = spark, path.rstrip("/")
+        self._new = spark._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._new(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, *names: str):
+        return self._new("/".join([self._root, *names]))
+
+    def stage(self, df: DataFrame, cols: Sequence[str], fmt: str = "parquet") -> str:
+        """Write the rows under a new commit id."""
+        commit = uuid.uuid4().hex
+        df.write.partitionBy(*cols).format(fmt).save(f"{self._root}/_staging/{commit}")
+        return commit
+
+    def decide(self, commit: str, depth: int, asked: Sequence[str] | None) -> None:
+        """Publish the manifest.  ``asked`` are the folders to replace, also by nothing; by default
+        exactly those that have staged rows."""
+        base = f"{self._root}/_staging/{commit}"
+        found = self._fs.globStatus(self._new(base + "/*" * depth)) or []
+        have = {"/".join(x.getPath().toString().split("/")[-depth:]) for x in found if x.isDirectory()}
+        replace = {f: f in have for f in (sorted(have) if asked is None else asked)}
+        draft = self._at("_commits", f".{commit}.draft")
+        out = self._fs.create(draft, True)
+        out.write(bytearray(json.dumps(replace).encode()))
+        out.close()
+        self._fs.rename(draft, self._at("_commits", f"{commit}.json"))
+
+    def apply(self, commit: str) -> None:
+        """Put the decided folders in place; any part of it may have been done before."""
+        manifest = self._at("_commits", f"{commit}.json")
+        stream = self._fs.open(manifest)
+        text = self._spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        stream.close()
+        for folder, has_rows in json.loads(text).items():
+            staged, target = self._at("_staging", commit, folder), self._at(folder)
+            if self._fs.exists(staged):
+                self._fs.delete(target, True)
+                self._fs.mkdirs(target.getParent())
+                if not self._fs.rename(staged, target):
+                    raise OSError(f"cannot move {staged} to {target}")
+            elif not has_rows:
+                self._fs.delete(target, True)
+        self._fs.delete(manifest, False)
+        self._fs.delete(self._at("_staging", commit), True)
+
+    def recover(self) -> int:
+        """Finish the decided commits and drop undecided staging folders; the number finished."""
+        done = self._fs.globStatus(self._at("_commits", "*.json")) or []
+        for x in sorted(done, key=lambda x: x.getModificationTime()):
+            self.apply(x.getPath().getName().removesuffix(".json"))
+        if self._fs.exists(self._at("_staging")):
+            self._fs.delete(self._at("_staging"), True)
+        return len(done)
+
+    def replace(self, df: DataFrame, cols: Sequence[str], asked: Sequence[str] | None, fmt: str = "parquet") -> None:
+        self.recover()
+        commit = self.stage(df, cols, fmt)
+        self.decide(commit, len(cols), asked)
+        self.apply(commit)
+
+
+def read_committed(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """The table after finishing what a crashed writer had decided."""
+    PartitionReplace(spark, path).recover()
+    r = spark.read.schema(schema) if schema is not None else spark.read
+    return r.parquet(path)
 
 
 def _spread(df: DataFrame, *cols: str) -> DataFrame:
     """Cluster rows by partition column, splitting a large partition over many tasks: a
-    REBALANCE exchange, whose oversized partitions AQE divides by the advisory size."""
+    REBALANCE exchange, whose oversized partitions AQE divides by the advisory size, at most
+    into one piece per upstream task."""
     return df.hint("rebalance", *[F.col(c) for c in cols])
 
 
+def _dates(days: Sequence) -> list[dt.date]:
+    return [d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days]
+
+
 def overwrite_partitions(df: DataFrame, path: str, day_col: str = "day", fmt: str = "parquet",
                          days: Sequence | None = None) -> None:
-    """B1: replace day partitions (dynamic overwrite); other days are untouched.
+    """B1: replace day partitions; other days are untouched (see ``PartitionReplace``).
 
     ``days`` are the days the caller asked for: each of them is replaced, also by nothing, as
     ``INSERT OVERWRITE .. PARTITION (day)`` does, and rows of other days are not written.
     Without ``days`` exactly the days present in ``df`` are replaced.  A day is spread over as
     many tasks as its size asks for.
     """
-    out = with_partitions(df, day_col)
-    files = None
+    out, asked = with_partitions(df, day_col), None
     if days is not None:
-        days = [d if isinstance(d, dt.date) else dt.date.fromisoformat(str(d)) for d in days]
+        days = _dates(days)
         out = out.where(F.col("day").isin([d.isoformat() for d in days]))
-        files = _DayFiles(df.sparkSession, path, days)
-    (_spread(out, "day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*PARTITION_COLS)
-        .format(fmt)
-        .save(path))
-    if files is not None:
-        files.drop_unreplaced()
-
-
-def write_report(df: DataFrame, path: str, mode: str = "overwrite_days", day_col: str = "date") -> None:
+        asked = [f"year={d:%Y}/month={d:%Y-%m}/day={d:%Y-%m-%d}" for d in days]
+    PartitionReplace(df.sparkSession, path).replace(_spread(out, "day"), PARTITION_COLS, asked, fmt)
+
+
+def write_report(df: DataFrame, path: str, mode: str = "overwrite_days", day_col: str = "date",
+                 days: Sequence | None = None) -> None:
     """B2: report tables.  Default replaces the report days (a rerun does not duplicate a
-    day); ``mode="append"`` appends as the original reports did."""
-    out = df.withColumn("report_day", F.col(day_col)).repartition("report_day")
+    day), with ``days`` exactly those, also by nothing; ``mode="append"`` appends as the original
+    reports did."""
+    out, asked = df.withColumn("report_day", F.col(day_col).cast("string")), None
+    if days is not None:
+        text = [d.isoformat() for d in _dates(days)]
+        out, asked = out.where(F.col("report_day").isin(text)), [f"report_day={d}" for d in text]
     if mode == "append":
-        out.write.mode("append").partitionBy("report_day").parquet(path)
+        PartitionReplace(df.sparkSession, path).recover()
+        out.repartition("report_day").write.mode("append").partitionBy("report_day").parquet(path)
         return
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("report_day").parquet(path))
+    PartitionReplace(df.sparkSession, path).replace(_spread(out, "report_day"), ["report_day"], asked)
 
 
 def create_table(spark: SparkSession, name: str, schema: StructType, comment: str | None = None) -> None:

@@ -49,6 +49,20 @@ def compact_day_scan(df: DataFrame, day, col: str = "date") -> DataFrame:
     return df.where(F.col(col) == F.lit(_day(day).replace("-", "")))
 
 
+def on_days(df: DataFrame, days: list[dt.date], col: str = "day", compact: bool = False) -> DataFrame:
+    """A1-A4 for any days by a literal filter on the raw column: one day, a range where the days are
+    consecutive, a list otherwise (a one-day retention report reads three days, not eight)."""
+    days = sorted(days)
+    if compact and len(days) == 1:
+        return compact_day_scan(df, days[0], col)
+    if len(days) == 1:
+        return day_scan(df, days[0], col)
+    text = [d.strftime("%Y%m%d") if compact else d.isoformat() for d in days]
+    if (days[-1] - days[0]).days == len(days) - 1:
+        return day_range(df, text[0], text[-1], col)
+    return df.where(F.col(col).isin(text))
+
+
 def valid_rooms(df: DataFrame, col: str = "room_id") -> DataFrame:
     """A5: dimension rows with a usable room id."""
     return df.where(F.col(col) > 0)

@@ -7,7 +7,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 from livemetrics.jobs import backfill, days_between, default_day
-from livemetrics.sinks import overwrite_partitions, write_report
+from livemetrics.sinks import PartitionReplace, overwrite_partitions, read_committed, write_report
 from livemetrics.streaming.incremental import rerun_touched_days
 
 
@@ -41,7 +41,7 @@ def test_one_day_is_written_by_many_tasks(spark):
     old = spark.conf.get(key)
     spark.conf.set(key, "256k")
     try:
-        overwrite_partitions(spark.range(400_000).select(F.lit("2024-01-01").alias("day"), F.rand(3).alias("x")), out,
+        overwrite_partitions(spark.range(0, 400_000, 1, 12).select(F.lit("2024-01-01").alias("day"), F.rand(3).alias("x")), out,
                              days=["2024-01-01"])
     finally:
         spark.conf.set(key, old)
@@ -67,6 +67,83 @@ def test_stream_reads_only_touched_days(spark):
     assert sorted((r.day, r.n) for r in spark.read.parquet(out).collect()) == [("2024-01-01", 1), ("2024-01-02", 2)]
 
 
+def _days(spark, out):
+    return sorted((r.day, r.v) for r in spark.read.parquet(out).collect())
+
+
+def test_a_crash_before_the_manifest_changes_nothing(spark):
+    out = tempfile.mkdtemp(prefix="lm-atom-")
+    a = spark.createDataFrame([("2024-01-01", 1), ("2024-01-02", 2)], "day string, v long")
+    overwrite_partitions(a, out)
+    t = PartitionReplace(spark, out)
+    from livemetrics.sinks import with_partitions
+    t.stage(with_partitions(spark.createDataFrame([("2024-01-01", 9)], "day string, v long")), ["year", "month", "day"])
+    assert _days(spark, out) == [("2024-01-01", 1), ("2024-01-02", 2)]       # staged rows are no data
+    assert _days(spark, out) == sorted((r.day, r.v) for r in read_committed(spark, out).collect())
+    assert not os.path.isdir(os.path.join(out, "_staging"))
+
+
+def test_a_crash_between_the_moves_is_finished(spark, monkeypatch):
+    """Three days asked for: one gets new rows, one is emptied, one is new.  The writer dies after
+    each number of file system steps; the next reader sees the whole commit or none of it."""
+    import pytest
+
+    from livemetrics import sinks
+    new = spark.createDataFrame([("2024-01-01", 9), ("2024-01-03", 7)], "day string, v long")
+    days = ["2024-01-01", "2024-01-02", "2024-01-03"]
+    old_rows, new_rows = [("2024-01-01", 1), ("2024-01-02", 2), ("2024-01-04", 4)], [("2024-01-01", 9), ("2024-01-03", 7), ("2024-01-04", 4)]
+
+    class Dying:
+        """A file system that fails after a number of changes."""
+        def __init__(self, fs, steps):
+            self._fs, self._left = fs, steps
+
+        def __getattr__(self, name):
+            f = getattr(self._fs, name)
+            if name not in ("delete", "rename", "mkdirs"):
+                return f
+
+            def step(*a):
+                if self._left == 0:
+                    raise RuntimeError("killed")
+                self._left -= 1
+                return f(*a)
+            return step
+
+    seen = set()
+    for steps in range(12):
+        out = tempfile.mkdtemp(prefix="lm-kill-")
+        overwrite_partitions(spark.createDataFrame(old_rows, "day string, v long"), out)
+        real = sinks.PartitionReplace.__init__
+
+        def dying(self, spark, path, steps=steps):
+            real(self, spark, path)
+            self._fs = Dying(self._fs, steps)
+
+        monkeypatch.setattr(sinks.PartitionReplace, "__init__", dying)
+        try:
+            overwrite_partitions(new, out, days=days)
+            killed = False
+        except RuntimeError:
+            killed = True
+        monkeypatch.setattr(sinks.PartitionReplace, "__init__", real)
+        got = sorted((r.day, r.v) for r in read_committed(spark, out).collect())
+        assert got in (old_rows, new_rows) and (killed or got == new_rows)
+        assert not [f for _, _, names in os.walk(os.path.join(out, "_commits")) for f in names if f.endswith(".json")]
+        seen.add((killed, got == new_rows))
+    assert seen == {(True, False), (True, True), (False, True)}
+    with pytest.raises(ValueError):
+        overwrite_partitions(new, out, days=["no day"])
+
+
+def test_a_rerun_of_a_report_without_rows_leaves_none(spark):
+    out = tempfile.mkdtemp(prefix="lm-rpt0-")
+    r = spark.createDataFrame([("2024-01-01", 3), ("2024-01-02", 4)], "date string, uv long")
+    write_report(r, out, days=["2024-01-01", "2024-01-02"])
+    write_report(r.where("uv > 9"), out, days=["2024-01-01"])
+    assert [(x.date, x.uv) for x in spark.read.parquet(out).collect()] == [("2024-01-02", 4)]
+
+
 def test_report_overwrite_and_append(spark):
     out = tempfile.mkdtemp(prefix="lm-rpt-")
     r = spark.createDataFrame([("2024-01-01", 3)], "date string, uv long")
