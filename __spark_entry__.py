@@ -28,7 +28,9 @@ from livemetrics.staging import stage
 try:                                       # the training-data subpackage is optional
     import corpus_pipeline
     from livemetrics.llm import queries as llm
-except ImportError:
+except ModuleNotFoundError as e:           # it is not there; whatever it lacks itself is an error
+    if e.name not in ("corpus_pipeline", "livemetrics.llm", "livemetrics.llm.queries"):
+        raise
     llm = corpus_pipeline = None
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -152,6 +154,12 @@ def q_user_transaction(spark, d):
     return user_profile.user_transaction(si.trades_orders(spark, d), oq.REPORT_DAY, oq.HISTORY_START)
 
 
+def q_user_transaction_range(spark, d):
+    _prep(spark)
+    grain = user_profile.trade_grain(si.trades_orders(spark, d), oq.REPORT_DAY, oq.HISTORY_START)
+    return user_profile.user_transaction_range(grain, oq.RANGE_START, oq.REPORT_DAY)
+
+
 def q_rolling_spend_daily(spark, d):
     _prep(spark)
     t = si.trades_orders(spark, d).where(valid_trades())
@@ -323,6 +331,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "m7_daily_room_flow": q_daily_room_flow,
         "i6_room_play_time": q_room_play_time,
         "u5_user_transaction": q_user_transaction,
+        "u5_user_transaction_range": q_user_transaction_range,
         "u1_rolling_spend_daily": q_rolling_spend_daily,
         "p1_audience": q_audience,
         "p2_bounce_rate": q_bounce,
@@ -366,6 +375,7 @@ def own_oracle_sql() -> dict[str, str]:
         "m7_daily_room_flow": oq.daily_room_flow(),
         "i6_room_play_time": oq.room_play_time(),
         "u5_user_transaction": oq.user_transaction(),
+        "u5_user_transaction_range": oq.user_transaction_range(),
         "u1_rolling_spend_daily": oq.rolling_spend_daily(),
         "p1_audience": oq.audience_counters(),
         "p2_bounce_rate": oq.bounce(),

@@ -73,24 +73,59 @@ def bounce_rate(v: DataFrame, keys: Sequence[str], session_keys: Sequence[str])
                   .alias("bounce_rate")))
 
 
-def retention(u: DataFrame, keys: Sequence[str], n: int, user: str = "uuid", day: str = "day",
-              alias: str | None = None) -> DataFrame:
-    """New users of day D-n that are active again on D, over all new users of D-n.
+def activity_bitmaps(u: DataFrame, keys: Sequence[str], user: str = "uuid", day: str = "day") -> DataFrame:
+    """Per user, group and block of 32 days: ``active``, a 64-bit map of the active days of the block
+    and of the 32 days after it, and ``new``, the days of the block on which the user was new.
 
-    ``u`` is the ``user_grain`` frame.  Result keyed by the report day D (``day``) and the
-    other ``keys``.  Users with a NULL id drop out of both counts.
+    One aggregation by ``bit_or``: a day sets its bit in its own block and, 32 places up, in the block
+    before, so every later day up to 32 days ahead is read from the same word by a shift.
+    """
+    others = [k for k in keys if k != day]
+    number = F.unix_date(F.col(day))
+    block, place = F.floor(number / 32), F.pmod(number, F.lit(32))
+    bit = lambda i: F.call_function("shiftleft", F.lit(1).cast("long"), i.cast("int"))
+    words = F.array(
+        F.struct(block.alias("_block"), bit(place).alias("_active"),
+                 F.when(F.col("_new") == 1, bit(place)).otherwise(F.lit(0).cast("long")).alias("_fresh")),
+        F.struct((block - 1).alias("_block"), bit(place + 32).alias("_active"), F.lit(0).cast("long").alias("_fresh")))
+    return (u.select(*others, user, F.inline(words)).groupBy(*others, user, "_block")
+             .agg(F.bit_or("_active").alias("active"), F.bit_or("_fresh").alias("new")))
+
+
+def retention_rates(u: DataFrame, keys: Sequence[str], lags: dict[str, int], user: str = "uuid",
+                    day: str = "day") -> DataFrame:
+    """P3 for several lags in one pass: new users of day D-n that are active again on D, over all new
+    users of D-n, for every ``lags`` entry (column -> n, at most 32 days).
+
+    ``u`` is the ``user_grain`` frame.  Result keyed by the report day D (``day``) and the other
+    ``keys``; a rate without a cohort is NULL.  Users with a NULL id drop out of both counts, and a
+    NULL group key finds nobody again, as in a join.
     """
-    alias = alias or f"{n}_day_retention_rate"
+    if any(not 1 <= n <= 32 for n in lags.values()):
+        raise ValueError("a lag is 1 to 32 days")
     others = [k for k in keys if k != day]
-    cohort = (u.where(F.col("_new") == 1)
-               .select(F.date_add(F.col(day), n).alias(day), *others, F.col(user).alias("_cu")))
-    # The active side gets its own column names: both sides come from the same frame.
-    ks = [day, *others]
-    active = u.select(*[F.col(c).alias(f"_a_{c}") for c in ks], F.col(user).alias("_au"))
-    cond = [F.col(c) == F.col(f"_a_{c}") for c in ks] + [F.col("_cu") == F.col("_au")]
-    j = cohort.join(active, cond, "left")
-    return (j.groupBy(*ks)
-             .agg(round_half_up(safe_div(F.count("_au"), F.count("_cu")), 4).alias(alias)))
+    maps = activity_bitmaps(u, keys, user, day).where("new <> 0")
+    cohort = maps.select(*others, F.col(user).isNotNull().alias("_known"), "_block", "active", "new",
+                         F.explode(F.sequence(F.lit(0), F.lit(31))).alias("_i"))
+    cohort = cohort.where(F.expr("(shiftright(new, _i) & 1) = 1"))
+    can_return = F.col("_known")
+    for c in others:
+        can_return = can_return & F.col(c).isNotNull()
+    seen = {name: can_return & F.expr(f"(shiftright(active, _i + {n}) & 1) = 1") for name, n in lags.items()}
+    counts = cohort.groupBy(*others, "_block", "_i").agg(
+        F.count_if("_known").alias("_cohort"), *[F.count_if(c).alias(f"_{name}") for name, c in seen.items()])
+    first = F.date_from_unix_date((F.col("_block") * 32 + F.col("_i")).cast("int"))
+    rows = F.array(*[F.struct(F.date_add(first, n).alias(day), *[
+        (round_half_up(safe_div(F.col(f"_{x}"), F.col("_cohort")), 4) if x == name else F.lit(None).cast("double")).alias(x)
+        for x in lags]) for name, n in lags.items()])
+    out = counts.select(*others, F.inline(rows))
+    return out.groupBy(day, *others).agg(*[F.max(x).alias(x) for x in lags])
+
+
+def retention(u: DataFrame, keys: Sequence[str], n: int, user: str = "uuid", day: str = "day",
+              alias: str | None = None) -> DataFrame:
+    """P3 for one lag (see ``retention_rates``)."""
+    return retention_rates(u, keys, {alias or f"{n}_day_retention_rate": n}, user, day)
 
 
 def label_sources(df: DataFrame, sources: Sequence[Source], out: str = "type") -> DataFrame:

@@ -15,12 +15,15 @@ from livemetrics.functions.numeric import round_half_up, text_key
 from livemetrics.functions.predicates import Source
 from livemetrics.staging import stage
 from livemetrics.operators.audience import (
-    audience, bounce_rate, distinct_count, fan_in, label_sources, retention, user_grain, visits,
+    audience, bounce_rate, distinct_count, fan_in, label_sources, retention_rates, user_grain, visits,
 )
 
 # Fixed values of the channel report: the label of each page-view type.
 CHANNEL_LABELS = {1: "内嵌", 2: "跳转"}
 
+# Fixed values of the reports: the retention columns and their lags in days.
+RETENTION = {"1_day_retention_rate": 1, "7_days_retention_rate": 7}
+
 CHANNEL_COLUMNS = ["date", "channel_name", "ip", "uv", "pv", "stay_hours", "new_user_cnt",
                    "frequent_user_cnt", "frequent_user_ratio", "bounce_rate",
                    "1_day_retention_rate", "7_days_retention_rate"]
@@ -46,9 +49,8 @@ def channel_report(track: DataFrame, day: str = "day", pv_type: str = "pv_type",
     u = user_grain(v, keys, user=user)
     t1 = [audience(u, keys, user=user), distinct_count(v, keys, ip, "ip")]
     t2 = bounce_rate(v, keys, session_keys=[day, user, "session_id_in_day"])
-    t3 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
-    t4 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
-    j = fan_in([*t1, t2, t3, t4], keys)
+    t3 = retention_rates(u, keys, RETENTION, user=user, day=day)
+    j = fan_in([*t1, t2, t3], keys)
     label = F.when(F.col(pv_type) == 1, F.lit(CHANNEL_LABELS[1])).otherwise(F.lit(CHANNEL_LABELS[2]))
     return j.select(
         _fmt_day(day).alias("date"),
@@ -84,12 +86,11 @@ def source_reports(track: DataFrame, page_views: DataFrame, sources: Sequence[So
     u = user_grain(v, keys, user=user)
     a = audience(u, keys, user=user)
     ips = distinct_count(label_sources(page_views, sources, out="type"), keys, ip, "ip")
-    r1 = retention(u, keys, 1, user=user, day=day, alias="1_day_retention_rate")
-    r7 = retention(u, keys, 7, user=user, day=day, alias="7_days_retention_rate")
+    kept = retention_rates(u, keys, RETENTION, user=user, day=day)
     if days is None:
         days = track.select(day).unionByName(page_views.select(day)).distinct()
     spine = days.withColumn("type", F.explode(F.array(*[F.lit(s.name) for s in sources])))
-    parts = [spine, a, ips, r1, r7]
+    parts = [spine, a, ips, kept]
     cols = ["uv", "new_user_cnt", "frequent_user_cnt", "ip", "stay_seconds"]
     if with_bounce:
         parts.append(bounce_rate(v, keys, session_keys=["type", day, user, "session_id_in_day"]))

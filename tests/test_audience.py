@@ -64,3 +64,32 @@ def test_category_users(spark):
                  key=repr)
     assert got == sorted([("blog", 7, "seven", 1, 1), ("tracked", 7, "seven", 1, 1), ("tracked", None, None, 1, 1)],
                          key=repr)
+
+
+def test_retention_bitmaps_equal_a_plain_count(spark):
+    """Days across block borders (32 days), before 1970 too, lags up to 32, NULL users and groups."""
+    import random
+
+    from livemetrics.operators.audience import retention_rates
+    rnd, rows = random.Random(2), {}
+    for _ in range(900):
+        d = rnd.choice([D, dt.date(1970, 1, 1)]) + dt.timedelta(rnd.randrange(-50, 50))
+        rows[d, rnd.choice(["a", "a", "b", None]), rnd.choice([f"u{i}" for i in range(12)] + [None])] = rnd.randrange(2)
+    u = spark.createDataFrame([(*k, v) for k, v in rows.items()], "day date, site string, uuid string, _new int")
+    lags = {"r1": 1, "r7": 7, "r32": 32}
+    got = {(r.day, r.site): (r.r1, r.r7, r.r32) for r in retention_rates(u, ["day", "site"], lags).collect()}
+    want = {}
+    for i, n in enumerate(lags.values()):
+        for d, site in {(d, s) for (d, s, _), new in rows.items() if new}:
+            cohort = [x for (dd, s, x), new in rows.items() if (dd, s, new) == (d, site, 1) and x is not None]
+            back = [x for x in cohort if site is not None and (d + dt.timedelta(n), site, x) in rows]
+            rate = int(10_000 * len(back) / len(cohort) + 0.5) / 10_000 if cohort else None
+            want.setdefault((d + dt.timedelta(n), site), [None] * 3)[i] = rate
+    assert got == {k: tuple(v) for k, v in want.items()} and len(got) > 100
+
+
+def test_retention_reads_the_users_once_and_joins_nothing(spark):
+    from livemetrics.operators.audience import retention_rates
+    u = spark.createDataFrame([(D, "a", "u", 1)], "day date, site string, uuid string, _new int")
+    plan = retention_rates(u, ["day", "site"], {"r1": 1, "r7": 7})._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.split("Initial Plan")[0].count("Scan ExistingRDD") == 1

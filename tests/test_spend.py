@@ -60,3 +60,41 @@ def test_top5_ranks_unrounded_sums(spark):
         .withColumn("p", F.col("p").cast("decimal(18,4)"))
     got = top_k_string(t, "user_id", "room_id", "p", value_format=lambda c: F.round(c, 2)).first().top5
     assert got == "{7:10.01,6:10.01,5:10.01,4:10.00,3:10.00}"
+
+
+def _range_equals_days(spark, rows, first, last):
+    import datetime as dt
+
+    from livemetrics.plans.user_profile import trade_grain, user_transaction_from_grain, user_transaction_range
+    t = spark.createDataFrame(rows, TR)
+    grain = trade_grain(t, last, "2015-06-01")
+    got = user_transaction_range(grain, first, last)
+    days = [first + dt.timedelta(i) for i in range((last - first).days + 1)]
+    want = [tuple(r) for d in days for r in user_transaction_from_grain(grain, d).select(*got.columns).collect()]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr) and want
+    return got
+
+
+def test_profiles_of_a_range_equal_those_of_every_day(spark):
+    """New items overtake old ones, sums tie, users begin inside the range, one user's sums fall."""
+    import random
+    rnd, first, last, rows = random.Random(4), D - dt.timedelta(6), D, []
+    for user in range(1, 9):
+        for _ in range(rnd.choice([1, 6, 40, 90])):
+            back = rnd.choice([0, 1, 2, 4, 6, 7, 9, 20, 36, 37, 300])
+            price = rnd.choice(["1.00", "2.50", "600.00", "4000.10"])
+            rows.append(tr(D - dt.timedelta(back), user, price, room=rnd.randrange(12), item=rnd.randrange(14), n=rnd.randrange(1, 5)))
+    for back in (50, 40, 5, 3, 1):           # falling sums bring back what was out of the first five
+        for item in range(9):
+            rows.append(tr(D - dt.timedelta(back), 99, "10.00", room=item, item=item, n=(-40 if item < 3 else 1) if back == 3 else 10 - item))
+    rows.append(tr(D - dt.timedelta(2), 50, "5.00"))
+    _range_equals_days(spark, rows, first, last)
+    _range_equals_days(spark, rows, last, last)
+
+
+def test_the_plan_of_a_range_does_not_grow_with_the_days(spark):
+    from livemetrics.plans.user_profile import trade_grain, user_transaction_range
+    grain = trade_grain(spark.createDataFrame([tr(D, 1, "5.00")], TR), D, "2015-06-01")
+    sizes = {n: len(user_transaction_range(grain, D - dt.timedelta(n), D)._jdf.queryExecution().optimizedPlan().toString().splitlines())
+             for n in (1, 300)}
+    assert sizes[1] == sizes[300]
