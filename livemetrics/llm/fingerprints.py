@@ -106,13 +106,16 @@ def fingerprint(text: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Estimated similarity (0 to 1) of two fingerprints: the share of agreeing bins, less what agrees by
     chance.  32 bits at a time: digits that differ leave a bit in their lowest place."""
-    step, same = 8, F.lit(BINS)
-    for k in range(0, BINS, step):
-        x, y = (F.conv(F.substring(c, k + 1, step), 16, 10).cast("long") for c in (a, b))
+    step = 8
+
+    def differing(acc: Column, at: Column) -> Column:
+        x, y = (F.conv(F.substring(c, at, F.lit(step)), 16, 10).cast("long") for c in (a, b))
         d = x.bitwiseXOR(y)
-        for shift in (1, 2):                 # any of a digit's four bits into its lowest one
-            d = d.bitwiseOR(F.shiftright(d, shift))
-        same = same - F.bit_count(d.bitwiseAND(F.lit(0x11111111)))
+        d = d.bitwiseOR(F.shiftright(d, 1))
+        d = d.bitwiseOR(F.shiftright(d, 2))  # any of a digit's four bits is in its lowest one now
+        return acc + F.bit_count(d.bitwiseAND(F.lit(0x11111111)))
+
+    same = F.lit(BINS) - F.aggregate(F.sequence(F.lit(1), F.lit(BINS), F.lit(step)), F.lit(0), differing)
     chance = 2.0 ** -BITS
     corrected = F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance))
     return F.when((a == "") | (b == ""), F.when(a == b, 1.0).otherwise(0.0)).when(a == b, 1.0).otherwise(corrected)
@@ -154,16 +157,18 @@ def successors(prints: DataFrame) -> DataFrame:
 def edited_prints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The contract's rows: every text and its edited text, whose last third comes from the next document."""
     prints = written(fingerprints(docs, id_col, text_col), "prints")
-    texts = _named(_keyed(docs, id_col, text_col)).join(successors(prints), KEY)
-    texts = texts.withColumn("copy", F.row_number().over(Window.partitionBy(*KEY).orderBy("id0")))
-    pieces = texts.where("copy = 1").select(*[F.col(f"p_{k}").alias(k) for k in KEY],
+    # both uses of the texts read the same columns, so one exchange of them serves both
+    texts = _named(_keyed(docs, id_col, text_col)).drop("id").join(successors(prints), KEY)
+    texts = texts.withColumn("last", F.lag(F.lit(1)).over(Window.partitionBy(*KEY).orderBy("id0")).isNull())
+    pieces = texts.where("last").select(*[F.col(f"p_{k}").alias(k) for k in KEY],
                                             F.substring("text", F.lit(1), F.col("p_need")).alias("piece"))
     both = texts.join(pieces, KEY)
     need = F.floor(F.col("n_chars") / 3).cast("int")
-    last = F.col("copy") == 1                # the copy that the next text follows; before it, the text follows itself
+    last = F.col("last")                     # the copy that the next text follows; before it, the text follows itself
     taken = F.when(last, F.col("piece")).otherwise(F.substring("text", F.lit(1), need))
     edited = both.select(
-        "id", "n_chars", "fingerprint", F.when(last, F.col("n_fingerprint")).otherwise(F.col("fingerprint")).alias("next"),
+        F.when(F.col("has_id"), F.col("id0")).alias("id"), "n_chars", "fingerprint",
+        F.when(last, F.col("n_fingerprint")).otherwise(F.col("fingerprint")).alias("next"),
         F.concat(F.substring("text", F.lit(1), (F.col("n_chars") - need).cast("int")), taken).alias("edited"))
     out = edited.select("id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
                         fingerprint(F.col("edited")).alias("edited_fingerprint"), "next")
