@@ -444,7 +444,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = written(_bounded(found, nodes, p), "jaccard-found")
         if found.isEmpty():
-            break
+            continue                          # a limited round may have cut what would have passed: the exact one still runs
         more = written(_verified(src, found, p), "jaccard-more")
         if not more.isEmpty():                # the components so far, as stars, and the new links
             label = components(label.select(F.col("id").alias("u"), F.col("component").alias("v")).unionByName(more))
