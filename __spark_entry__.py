@@ -29,7 +29,7 @@ try:                                       # the training-data subpackage is opt
     import corpus_pipeline
     from livemetrics.llm import queries as llm
 except ModuleNotFoundError as e:           # it is not there; whatever it lacks itself is an error
-    if e.name not in ("corpus_pipeline", "livemetrics.llm", "livemetrics.llm.queries"):
+    if e.name != "corpus_pipeline" and not (e.name or "").startswith("livemetrics.llm"):
         raise
     llm = corpus_pipeline = None
 
