@@ -13,14 +13,13 @@ def _c(x) -> Column:
 
 def text_long(x) -> Column:
     """Number text as a bigint, fraction cut off toward zero (Hive: ``cast('123.7' as bigint)``
-    is 123); text that is no number is NULL.  Whole numbers, the common case, are read by one
-    integer cast; only other text is read as a decimal, whose cast to bigint cuts toward zero."""
-    t = _c(x).cast("string")
-    return F.coalesce(t.try_cast("long"), t.try_cast(DecimalType(38, 6)).try_cast("long"))
+    is 123); text that is no number is NULL.  One decimal cast: decimal to bigint cuts toward zero."""
+    return _c(x).cast("string").try_cast(DecimalType(38, 6)).try_cast("long")
 
 
 def text_key(x) -> Column:
-    """Number text compared with a bigint key: '7' and '7.0' are 7, '7.5' matches nothing."""
+    """Number text compared with a bigint key: '7' and '7.0' are 7, '7.5' matches nothing.  Whole
+    numbers, nearly all keys, are read by one integer cast; only other text is read as a decimal."""
     t = _c(x).cast("string")
     d = t.try_cast(DecimalType(38, 6))
     return F.coalesce(t.try_cast("long"), F.when(d == F.floor(d), d.try_cast("long")))
