@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from livemetrics.llm import chat_format, line_dedup, mixing
-from livemetrics.llm.url_filter import ALPHABET, RULES, filter_urls
+from livemetrics.llm.url_filter import ALPHABET, RULES, char_models, filter_urls
 from tests.llm.helpers import DOC_SCHEMA, docs_frame, edge_rows, prose, words
 
 
@@ -249,8 +249,6 @@ def brute_score(rows):
         s = fold(u)
         for k in range(len(s) - 2):
             n[v][s[k:k + 3]] += 1
-    known = set(n["allow"]) | set(n["block"])
-
     def logp(g, c):
         total = sum(c.values())
         p = (sum(x for h, x in c.items() if h[2] == g[2]) + 1) / (total + len(ALPHABET))
@@ -263,12 +261,13 @@ def brute_score(rows):
             p = (c.get(g, 0) + len(two) * p) / (sum(two.values()) + len(two))
         return math.log(p)
 
-    d = {g: logp(g, n["allow"]) - logp(g, n["block"]) for g in known}
-    score = {}
+    score, d = {}, {}
     for u in urls:
         s = fold(u)
-        g = [d[s[k:k + 3]] for k in range(len(s) - 2) if s[k:k + 3] in d]
-        score[u] = sum(g) / len(g) if g else None
+        grams = [s[k:k + 3] for k in range(len(s) - 2)]
+        for g in set(grams) - set(d):
+            d[g] = logp(g, n["allow"]) - logp(g, n["block"])
+        score[u] = sum(d[g] for g in grams) / len(grams)
     side = {v: [score[u] for u in label if label[u] == v] for v in ("allow", "block")}
     cut = sum(sum(x) / len(x) for x in side.values()) / 2 if all(side.values()) else None
     return score, cut
@@ -284,7 +283,8 @@ def test_urls_match_brute_force(spark):
     for r in out:
         host, path, rule = brute_url(r.url)
         assert (r.host, r.path, r.rule) == (host, path, rule.rule if rule else None), r.url
-        if r.url is not None and score[r.url] is not None:
+        assert (r.score is None) == (r.url is None)
+        if r.url is not None:
             assert r.score == pytest.approx(score[r.url], abs=1e-9)
         s = score.get(r.url) if r.url is not None else None
         want = rule.verdict if rule else ("block" if s is not None and cut is not None and s < cut else "allow")
@@ -295,3 +295,25 @@ def test_urls_without_a_model(spark):
     df = spark.createDataFrame([(1, "http://a.org/x"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in filter_urls(df).collect()} == {"allow"}
     assert filter_urls(df.limit(0)).count() == 0
+
+
+def test_every_character_of_a_url_is_scored(spark):
+    """Trigrams that no labelled url holds count by their back-off; long urls are read whole."""
+    labelled = ["http://a.com/b", "http://b.com/b", "http://a.net/es/c", "http://b.net/fr/c"]
+    urls = labelled + ["qqqq", "zzzzz%%%zz", "http://d.org/" + "x7/" * 50_000]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    score, _ = brute_score(urls)
+    out = {r.url: r.score for r in filter_urls(df).collect()}
+    assert set(out) == set(urls)
+    assert all(out[u] == pytest.approx(score[u], abs=1e-9) for u in urls)
+
+
+def test_url_models_are_distributions(spark):
+    rows = [("allow", "http://a.com/b"), ("allow", "http://xyz.com"), ("block", "http://a.net/es/c")]
+    m = char_models(spark.createDataFrame(rows, "label string, url string"))
+    per = (m.groupBy("label", F.substring("gram", 1, 2).alias("context"))
+           .agg(F.sum("p").alias("total"), F.min("p").alias("least"), F.count(F.lit(1)).alias("n")))
+    r = per.agg(F.count(F.lit(1)).alias("contexts"), F.min("total").alias("a"), F.max("total").alias("b"), F.min("least").alias("least"),
+                F.min("n").alias("n")).first()
+    assert r.contexts == 2 * len(ALPHABET) ** 2 and r.n == len(ALPHABET) and r.least > 0
+    assert r.a == pytest.approx(1) and r.b == pytest.approx(1)
