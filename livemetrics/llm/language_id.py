@@ -2,27 +2,33 @@
 
 Each text becomes one normalised TF-IDF vector of hashed character n-grams (1 to 3
 characters of lower-cased letters, word boundaries kept) over the whole text.  Training
-clusters the vectors of each language into several centroids (spherical k-means); a text
-gets the language of the centroid with the largest cosine, over all languages.  A text
-whose best cosine is below the rejection distance, calibrated as a low quantile of the
-training texts' own best cosines, is flagged ``rejected``.
+clusters the vectors of each language into several centroids (spherical k-means, seeded by
+distance, without clusters of a few odd texts); a text gets the language of the centroid with
+the largest cosine, over all languages.  A text whose best cosine is below the rejection
+line of its length is flagged ``rejected``.  The line of a length (letters, by powers of
+two) is a share of a low quantile of the cosines that training texts kept out of the clustering,
+and their beginnings of that length, reach; a shorter text never has a higher line.
 
 Training rows: at most ``LangModel.per_language`` documents of each language, those with
-the smallest hash of the id among the training fold (labelled, ``crc32(id) % folds != 0``).
-That bound is the documented parameter of the classifier sample; only their hashed vectors
-(``per_language * dims`` floats per language) reach the driver, never texts.  Languages are
-taken from the labels, at most ``max_languages`` of them (more raise an error, nothing is
-dropped silently).  The fitted model (centroids and IDF) is a few hundred kB and is sent to
-the tasks; prediction is one scan without a shuffle.
+the smallest hash of the id among the training fold (labelled, with a letter,
+``crc32(id) % folds != 0``); nothing is read from other rows, their labels neither.  That bound is
+the documented parameter of the classifier sample; only its hashed vectors
+(``per_language * dims`` small floats per language, compressed) reach the driver, never texts.
+Languages are taken from the labels, at most ``max_languages`` of them (more raise an error,
+nothing is dropped silently).  The fitted model (centroids and IDF) is a few hundred kB and is
+sent to the tasks; prediction is one scan without a shuffle.
 
 Defined edge results: null text or a text without a letter: ``und``, score 0, rejected; no
 training rows at all: every prediction is ``und``; very long texts are read whole; repeated
-rows give repeated results; a null id counts as held out of nothing (its crc32 is null);
-an empty table gives an empty result; other columns are ignored.
+rows give repeated results, and of an id repeated in the training fold under one language the
+smallest text is learned; a tie of cosines goes to the alphabetically first language; a null id
+counts as held out of nothing (its crc32 is null) and is not learned from; an empty table gives
+an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -47,7 +53,16 @@ class LangModel:
     folds: int = 5                           # remainder 0 is held out
     reject_quantile: float = 0.001
     reject_slack: float = 0.5                # rejection below slack * that quantile
+    calibration: int = 5                     # one in so many sampled texts calibrates the rejection only
     rounds: int = 12
+    restarts: int = 8
+    smallest: float = 0.25                   # least size of a cluster, in shares of an even split
+
+
+#: Lengths of the beginnings of calibration texts, in characters; rejection lines go by the
+#: power of two of a text's letters, the last for all longer texts.
+PIECES = (4, 8, 16, 32, 64, 128, 256, 512)
+LENGTHS = 12
 
 
 def _has_letter(text: pa.Array) -> np.ndarray:
@@ -105,16 +120,43 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.where(n > 0, n, 1)
 
 
-def _cluster(x: np.ndarray, k: int, rounds: int) -> np.ndarray:
-    """Spherical k-means: starts from the mean direction, then adds the farthest points."""
-    centers = [_unit(x.mean(axis=0, keepdims=True))[0]]
-    for _ in range(min(k, len(x)) - 1):
-        centers.append(x[int(np.argmin((x @ np.stack(centers).T).max(axis=1)))])
-    c = np.stack(centers)
+def letter_bytes(c: tv.Chunk) -> np.ndarray:
+    """Bytes of letters of each text of a chunk."""
+    upto = np.concatenate([[0], np.cumsum(_LETTER[c.data])])
+    return upto[c.offsets[1:]] - upto[c.offsets[:-1]]
+
+
+def length_class(letters: np.ndarray) -> np.ndarray:
+    return np.minimum(np.log2(np.maximum(letters, 1)).astype(np.int64), LENGTHS - 1)
+
+
+def _rounds(x: np.ndarray, c: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spherical k-means from the directions ``c``: (centroids, sizes)."""
     for _ in range(rounds):
         own = np.argmax(x @ c.T, axis=1)
         c = _unit(np.stack([x[own == j].mean(axis=0) if (own == j).any() else c[j] for j in range(len(c))]))
-    return c
+    return c, np.bincount(np.argmax(x @ c.T, axis=1), minlength=len(c))
+
+
+def _cluster(x: np.ndarray, p: LangModel) -> tuple[np.ndarray, np.ndarray]:
+    """(centroids, sizes) of one language.  Seeds are drawn with a chance in proportion to their distance from
+    the seeds so far (fixed generator); of several starts the one with the most clusters of a
+    fair size, then the closest, stays, and its smaller clusters join the others."""
+    rng, best = np.random.default_rng(p.centroids), None
+    for _ in range(p.restarts):
+        seeds = [int(rng.integers(len(x)))]
+        for _ in range(min(p.centroids, len(x)) - 1):
+            far = np.clip(1.0 - (x @ x[seeds].T).max(axis=1), 0, None).astype(np.float64)
+            far[far < 1e-6] = 0
+            if not far.any():
+                break
+            seeds.append(int(rng.choice(len(x), p=far / far.sum())))
+        c, n = _rounds(x, x[seeds], p.rounds)
+        fair = n >= p.smallest * len(x) / p.centroids
+        rank = (int(fair.sum()), float((x @ c.T).max(axis=1).sum()))
+        if best is None or rank > best[0]:
+            best = rank, c, fair
+    return _rounds(x, best[1][best[2]], p.rounds)
 
 
 @dataclass(frozen=True)
@@ -122,7 +164,8 @@ class FittedLanguages:
     langs: list[str]                         # language of each centroid
     centroids: np.ndarray
     idf: np.ndarray
-    reject_below: float
+    reject_below: np.ndarray                 # cosine by length class
+    sizes: np.ndarray                        # training texts of each centroid
 
     def scores(self, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(index of the best centroid, its cosine) of every row."""
@@ -131,61 +174,94 @@ class FittedLanguages:
         return best, cos[np.arange(len(cos)), best]
 
 
-def training_sample(docs: DataFrame, counts: dict[str, int], id_col: str, text_col: str, lang_col: str,
-                    p: LangModel) -> DataFrame:
-    """(lang, text) of the bounded labelled sample.
+def no_languages(p: LangModel) -> FittedLanguages:
+    return FittedLanguages([], np.zeros((0, p.dims), np.float32), np.ones(p.dims, np.float32), np.zeros(LENGTHS),
+                           np.zeros(0, np.int64))
+
+
+def training_fold(docs: DataFrame, id_col: str, text_col: str, lang_col: str, p: LangModel) -> DataFrame:
+    """(_k, lang, text) of the rows that may be learned from: labelled, with a letter, not held out."""
+    src = docs.select(docs[id_col].cast("string").alias("_k"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
+    return src.where(F.col("lang").isNotNull() & (F.pmod(F.crc32("_k"), F.lit(p.folds)) != 0)
+                     & F.col("text").rlike(r"\p{L}"))
+
+
+def training_sample(train: DataFrame, ids: dict[str, int], p: LangModel) -> DataFrame:
+    """(lang, text, calibrates) of the bounded labelled sample, one row per id and language.
 
     Each language first keeps the ids whose hash is under a threshold that leaves about four
-    times the wanted number (from the language's row count), so the ranking moves a bounded
-    number of ids whatever the table's size; texts join the chosen ids.
+    times the wanted number (from its count of different ids in the training fold), so the ranking
+    moves a bounded number of ids whatever the table's size; texts join the chosen ids.
     """
-    src = docs.select(docs[id_col].cast("string").alias("_k"), docs[lang_col].alias("lang"), docs[text_col].alias("text"))
-    train = src.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.pmod(F.crc32("_k"), F.lit(p.folds)) != 0))
-    share = F.create_map(*[F.lit(x) for k, n in sorted(counts.items()) for x in (k, min(1.0, 4.0 * p.per_language / n + 1e-9))])
+    share = F.create_map(*[F.lit(x) for k, n in sorted(ids.items()) for x in (k, min(1.0, 4.0 * p.per_language / n + 1e-9))])
     unit = (F.xxhash64("_k").cast("double") + F.lit(2.0**63)) / F.lit(2.0**64)
     rank = F.row_number().over(W.partitionBy("lang").orderBy(F.xxhash64("_k"), "_k"))
-    chosen = (train.where(unit <= F.element_at(share, F.col("lang"))).select("lang", "_k").withColumn("_r", rank)
-              .where(F.col("_r") <= p.per_language).select("lang", "_k").distinct())
+    chosen = (train.where(unit <= F.element_at(share, F.col("lang"))).select("lang", "_k").distinct()
+              .withColumn("_r", rank).where(F.col("_r") <= p.per_language)
+              .select("lang", "_k", (F.col("_r") % p.calibration == 0).alias("calibrates")))
     # at most per_language * max_languages ids
-    return train.join(F.broadcast(chosen), ["lang", "_k"], "left_semi").select("lang", "text")
+    return (train.join(F.broadcast(chosen), ["lang", "_k"]).groupBy("lang", "_k", "calibrates")
+            .agg(F.min("text").alias("text")).select("lang", "text", "calibrates"))
+
+
+def rejection_lines(letters: np.ndarray, cos: np.ndarray, p: LangModel) -> np.ndarray:
+    """Cosine below which a text of each length class is rejected."""
+    at = length_class(letters)
+    line = np.array([np.quantile(cos[at == j], p.reject_quantile) if (at == j).any() else np.inf for j in range(LENGTHS)])
+    line = np.minimum.accumulate(line[::-1])[::-1]             # no higher line for a shorter text
+    known = line[np.isfinite(line)]
+    return np.where(np.isfinite(line), line, known[-1] if len(known) else 0.0) * p.reject_slack
 
 
 def fit_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
                   p: LangModel = LangModel()) -> FittedLanguages:
-    langs = (docs.select(docs[lang_col].alias("l")).where("l is not null").groupBy("l").count()
-             .limit(p.max_languages + 1).collect())
+    train = training_fold(docs, id_col, text_col, lang_col, p)
+    langs = train.groupBy("lang").agg(F.approx_count_distinct("_k").alias("n")).limit(p.max_languages + 1).collect()
     if len(langs) > p.max_languages:
         raise ValueError(f"more than {p.max_languages} languages")
     if not langs:
-        return FittedLanguages([], np.zeros((0, p.dims), np.float32), np.ones(p.dims, np.float32), 0.0)
-    counts = {r["l"]: r["count"] for r in langs}
+        return no_languages(p)
+    ids = {r["lang"]: max(r["n"], 1) for r in langs}
 
     def featurise(batches):
         for b in batches:
-            ok = _has_letter(b.column(1))
-            for c in _small_chunks(b.column(1), 512):
-                tf = term_counts(c, p.dims).astype(np.float16)
-                use = ok[c.first:c.first + len(tf)]
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(c.first, len(tf)).filter(pa.array(use)),
-                     pa.array([v.tobytes() for v in tf[use]], pa.binary())], names=["lang", "tf"])
-
-    rows = map_arrow(training_sample(docs, counts, id_col, text_col, lang_col, p), featurise, "lang string, tf binary").collect()
-    rows.sort(key=lambda r: (r["lang"], bytes(r["tf"])))
-    if not rows:
-        return FittedLanguages([], np.zeros((0, p.dims), np.float32), np.ones(p.dims, np.float32), 0.0)
-    tf = np.stack([np.frombuffer(r["tf"], np.float16) for r in rows]).astype(np.float32)
+            lang, text, cal = b.column(0), b.column(1), b.column(2)
+            held = text.filter(cal)
+            parts = [(lang.filter(pc.invert(cal)), text.filter(pc.invert(cal)), False), (lang.filter(cal), held, True)]
+            parts += [(lang.filter(cal), pc.utf8_slice_codeunits(held, 0, n), True) for n in PIECES]
+            for names, texts, calibrates in parts:
+                for c in _small_chunks(texts, 512):
+                    tf = term_counts(c, p.dims).astype(np.float16)
+                    letters = letter_bytes(c)
+                    use = letters > 0
+                    yield pa.RecordBatch.from_arrays(
+                        [names.slice(c.first, len(tf)).filter(pa.array(use)), pa.array(np.full(use.sum(), calibrates)),
+                         pa.array(letters[use].astype(np.int64)),
+                         pa.array([zlib.compress(v.tobytes(), 1) for v in tf[use]], pa.binary())],
+                        names=["lang", "calibrates", "letters", "tf"])
+
+    rows = map_arrow(training_sample(train, ids, p), featurise,
+                     "lang string, calibrates boolean, letters long, tf binary").collect()
+    rows.sort(key=lambda r: (r["lang"], r["calibrates"], bytes(r["tf"])))
+    if not any(not r["calibrates"] for r in rows):
+        return no_languages(p)
+    tf = np.stack([np.frombuffer(zlib.decompress(r["tf"]), np.float16) for r in rows]).astype(np.float32)
+    cal = np.array([r["calibrates"] for r in rows])
     lang = np.array([r["lang"] for r in rows])
-    idf = (np.log((1 + len(tf)) / (1 + (tf > 0).sum(axis=0))) + 1).astype(np.float32)
+    letters = np.array([r["letters"] for r in rows])
+    learned = ~cal
+    idf = (np.log((1 + learned.sum()) / (1 + (tf[learned] > 0).sum(axis=0))) + 1).astype(np.float32)
     x = _unit(tf * idf)
-    names, cents = [], []
-    for name in sorted(set(lang.tolist())):
-        c = _cluster(x[lang == name], p.centroids, p.rounds)
+    names, cents, sizes = [], [], []
+    for name in sorted(set(lang[learned].tolist())):
+        c, n = _cluster(x[learned & (lang == name)], p)
         cents.append(c)
+        sizes.append(n)
         names += [name] * len(c)
     cents = np.concatenate(cents).astype(np.float32)
-    best = (x @ cents.T).max(axis=1)
-    return FittedLanguages(names, cents, idf, float(np.quantile(best, p.reject_quantile)) * p.reject_slack)
+    judged = cal if cal.any() else learned
+    lines = rejection_lines(letters[judged], (x[judged] @ cents.T).max(axis=1), p)
+    return FittedLanguages(names, cents, idf, lines, np.concatenate(sizes))
 
 
 def predict_languages(docs: DataFrame, model: FittedLanguages, id_col: str = "doc_id", text_col: str = "text",
@@ -220,7 +296,7 @@ def classify(texts: pa.Array, m: FittedLanguages, p: LangModel = LangModel()) ->
     """(language, score, rejected) arrays of a text column."""
     ok = _has_letter(texts)
     lang = np.full(len(ok), "und", dtype=object)
-    score = np.zeros(len(ok))
+    score, line = np.zeros(len(ok)), np.zeros(len(ok))
     if m.langs:
         names = np.array(m.langs, dtype=object)
         for c in _small_chunks(texts, 512):
@@ -228,7 +304,8 @@ def classify(texts: pa.Array, m: FittedLanguages, p: LangModel = LangModel()) ->
             at = slice(c.first, c.first + len(best))
             lang[at] = np.where(ok[at], names[best], "und")
             score[at] = np.where(ok[at], np.clip(cos, 0.0, 1.0), 0.0)
-    rejected = ~ok | (lang == "und") | (score < m.reject_below)
+            line[at] = m.reject_below[length_class(letter_bytes(c))]
+    rejected = ~ok | (lang == "und") | (score < line)
     return pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(rejected, pa.bool_())
 
 

@@ -1,11 +1,17 @@
 """Operators 1 (repetition quality) and 4 (language ID)."""
 
 import collections
+import math
 import zlib
 
+import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from livemetrics.llm.language_id import LangModel, identify_languages, keep_identified
+from livemetrics.llm.language_id import (
+    LangModel, classify, fit_languages, identify_languages, keep_identified, training_fold, training_sample,
+)
 from livemetrics.llm.repetition import RepetitionRules, repetition_quality
 from tests.llm.helpers import DOC_SCHEMA, docs_frame, edge_rows, prose, words
 
@@ -121,3 +127,82 @@ def test_no_labels_and_too_many(spark):
     assert {r.lang_pred for r in identify_languages(none).collect()} == {"und"}
     with pytest.raises(ValueError):
         identify_languages(docs_frame(spark, [(i, "w", f"l{i}") for i in range(5)]), p=LangModel(max_languages=3))
+
+
+def training_ids(keep, n, start=0):
+    """``n`` ids from ``start`` on whose fold is (not) the held-out one."""
+    out, i = [], start
+    while len(out) < n:
+        if (zlib.crc32(str(i).encode()) % 5 != 0) == keep:
+            out.append(i)
+        i += 1
+    return out
+
+
+def test_sample_counts_usable_rows_of_the_training_fold_only(spark):
+    """Null texts, held-out rows and repeats of an id neither thin the sample nor enter it."""
+    p = LangModel(per_language=20)
+    usable = training_ids(True, 30)
+    rows = [(i, f"mot {i} leçon", "cc") for i in usable]
+    rows += [(i, None, "cc") for i in training_ids(True, 6000, 1000)] + [(i, "held words", "cc") for i in training_ids(False, 3000, 1000)]
+    rows += [(i, "held words", "held") for i in training_ids(False, 5, 50_000)]
+    rows += [(usable[0], f"same id {j}", "dd") for j in range(3000)] + [(None, "no id", "dd")]
+    train = training_fold(docs_frame(spark, rows), "doc_id", "text", "lang", p)
+    ids = {r.lang: r.n for r in train.groupBy("lang").agg(F.approx_count_distinct("_k").alias("n")).collect()}
+    assert set(ids) == {"cc", "dd"}
+    got = training_sample(train, ids, p).collect()
+    assert sum(r.lang == "cc" for r in got) == 20
+    assert [(r.text) for r in got if r.lang == "dd"] == ["same id 0"]
+    assert sum(r.calibrates for r in got if r.lang == "cc") == 4
+
+
+def test_clusters_of_a_fair_size_and_lines_by_length(spark):
+    m = fit_languages(docs_frame(spark, language_rows()))
+    p = LangModel()
+    for name in ("aa", "bb", "cc"):
+        sizes = [n for lang, n in zip(m.langs, m.sizes) if lang == name]
+        assert len(sizes) > 1 and min(sizes) >= p.smallest * sum(sizes) / p.centroids
+    assert (np.diff(m.reject_below) >= 0).all()
+
+
+def test_short_clean_texts_stay_and_foreign_ones_go(spark):
+    m = fit_languages(docs_frame(spark, language_rows()))
+    clean = ["the", "house", "und", "straße", "leçon", "thing and thing", "Other, house!", "été " * 300]
+    foreign = ["погода и природа сегодня " * 8, "日本語の文章です。" * 9, "xqzj wvkq zzxq jjwq kxzv " * 12]
+    assert classify(pa.array(clean), m)[2].to_pylist() == [False] * len(clean)
+    assert classify(pa.array(foreign), m)[2].to_pylist() == [True] * len(foreign)
+
+
+def brute_grams(text):
+    """Sublinear counts of byte n-grams by hashed slot, one text and one gram at a time."""
+    letters = set(b"abcdefghijklmnopqrstuvwxyz") | set(range(128, 256))
+    data = bytes(b + 32 if 65 <= b <= 90 else b for b in text.encode())
+    x = []
+    for b in data:
+        if b in letters:
+            x.append(b)
+        elif x and x[-1] != 32:
+            x.append(32)
+    n = collections.Counter()
+    for k in (1, 2, 3):
+        for i in range(len(x) - k + 1):
+            g = 0
+            for b in x[i:i + k]:
+                g = (g * 257 + b) % 2**32
+            h = (g * 2654435761 % 2**32) ^ (k * 0x9E3779B1 % 2**32)
+            h = (h ^ (h >> 15)) * 0x85EBCA6B % 2**32
+            n[(h >> 7) % 4096] += 1
+    return {slot: math.log1p(c) for slot, c in n.items()}
+
+
+def test_predictions_match_brute_force(spark):
+    """Nearest centroid by cosine, one text at a time from the fitted centroids."""
+    m = fit_languages(docs_frame(spark, language_rows()))
+    texts = [r[1] for r in language_rows()[::7]] + ["a", "Zz 9 é", "--the--", "straße/ÉTÉ\nhouse" * 50]
+    lang, score, _ = classify(pa.array(texts), m)
+    for t, got, cos in zip(texts, lang.to_pylist(), score.to_pylist()):
+        v = {k: c * float(m.idf[k]) for k, c in brute_grams(t).items()}
+        norm = math.sqrt(sum(c * c for c in v.values()))
+        sims = [sum(c * float(center[k]) for k, c in v.items()) / norm for center in m.centroids]
+        assert cos == pytest.approx(max(0.0, max(sims)), abs=1e-4)
+        assert max(s for s, name in zip(sims, m.langs) if name == got) == pytest.approx(max(sims), abs=1e-4)
