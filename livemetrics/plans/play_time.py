@@ -19,6 +19,7 @@ from livemetrics.functions.timefn import (
 from livemetrics.operators import online
 from livemetrics.operators.attribution import attribute
 from livemetrics.functions.numeric import decimal0, round_half_up, safe_div, text_key
+from livemetrics.operators.timeindex import interval_summaries
 from livemetrics.operators.room import VALID_PLAY_MS, effective_play, room_revenue, watch_metrics
 from livemetrics.plans.dims import room_dims
 from livemetrics.staging import stage
@@ -52,12 +53,20 @@ def session_page_views(iv: DataFrame, page_views: DataFrame, bucket_s: int = 900
     return per_user.groupBy(*IV).agg(F.sum("_n").cast("long").alias("pv"), F.count("uuid").alias("uv"))
 
 
-def session_concurrency(iv: DataFrame, online_counts: DataFrame, bucket_s: int = 900) -> DataFrame:
+def session_concurrency(iv: DataFrame, online_counts: DataFrame, base_s: int = 60) -> DataFrame:
     """I3 + O5: PCU / ACU over the readings inside the interval and the earliest in-window
-    time at the in-window inner maximum."""
-    oc = online_counts.select("room_id", F.col("time").alias("_ts"), "outer_ol", "inner_ol", "encripted_ol")
-    pairs = attribute(iv, oc, ["room_id"], "begin_time", "end_time", "_ts", bucket_s=bucket_s, salt=SALT)
-    return online.peak_and_average(pairs, IV, time="_ts")
+    time at the in-window inner maximum, from an index of time blocks: a broadcast reads a number of
+    rows that grows with the logarithm of its length, not with its readings."""
+    spec = {"_peak": (F.max, F.struct(F.col("inner_ol").alias("v"), (-F.unix_micros("_ts")).alias("t")))}
+    for m in online.PCU_ACU:
+        spec |= {f"_max_{m}": (F.max, F.col(m)), f"_sum_{m}": (F.sum, F.col(m)),
+                 f"_pos_{m}": (F.sum, F.when(F.col(m) > 0, 1).otherwise(0))}
+    oc = online_counts.select("room_id", F.col("time").alias("_ts"), *online.PCU_ACU)
+    s = interval_summaries(iv, oc, ["room_id"], "begin_time", "end_time", "_ts", spec, base_s)
+    out = [c for m, (pcu, acu) in online.PCU_ACU.items()
+           for c in (F.col(f"_max_{m}").alias(pcu),
+                     F.coalesce(decimal0(safe_div(F.col(f"_sum_{m}"), F.col(f"_pos_{m}"))), F.lit(0).cast("bigint")).alias(acu))]
+    return s.select(*IV, *out, F.timestamp_micros(-F.col("_peak.t")).alias("peak_time"))
 
 
 def session_revenue(iv: DataFrame, trades: DataFrame, bucket_s: int = 900) -> DataFrame:
