@@ -18,9 +18,13 @@ shingles.  The result is each document's set size and connected component.
 4. Search rounds: within each bucket that still holds several components, an R-tree over
    the count vectors (coordinate maxima per node; a node is left out when the sum of
    coordinate minima with the query stays below the overlap a link needs) finds the pairs
-   of different components that may link; they are verified too.  The first rounds take
-   the best few per bucket and component pair, the last takes all: no link is lost, and
-   members of one component are never paired.
+   of different components that may link; they are verified too.  Members share many
+   buckets, so each carries the ``low_buckets`` smallest of its buckets: if the lists of two
+   members have a value in common, only the bucket of the smallest such value proposes the
+   pair (both are in it), else every shared bucket does.  The first round takes the best few
+   per bucket and component pair, the last takes all: no link is lost, and members of one
+   component are never paired.  A bucket of more than ``block_members`` members is searched
+   in blocks, one per pair of its parts, so no task holds a whole large bucket.
 
 Count vectors of large sets have more coordinates (they fold to ``dims`` for the tree), so the
 bound tells unrelated texts apart at every length.  An R-tree over all points alone would not do: in ``dims`` dimensions the boxes of unrelated
@@ -57,7 +61,13 @@ class JaccardJoin:
     dims: int = 128                          # coordinates of a count vector
     seeds: int = 5                           # partitions tried for sets with empty groups
     ratio: float = 1.5                       # width of a size class
-    first_pairs: int = 32                    # pairs per bucket and component pair in early rounds
+    first_pairs: int = 32                    # pairs per block and component pair in early rounds
+    low_buckets: int = 16                    # smallest buckets a member carries, to propose a pair once
+    block_members: int = 4096                # members of a bucket that are searched as one part
+
+
+#: pads a member's list of smallest buckets
+NO_BUCKET = np.iinfo(np.int64).max
 
 
 def _sets(col: pa.Array, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -311,14 +321,28 @@ class CountRTree:
         return qi, self.order[ni], bound
 
 
-def _search_bucket(ids, comp, size, vec, percent: int, limit: int | None):
-    """Pairs of different components of one bucket that may link."""
+def first_shared(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Per row the smallest value that both of two ascending lists (rows of two matrices, padded
+    with ``NO_BUCKET``) hold; ``NO_BUCKET`` if they share none."""
+    out = np.empty(len(a), np.int64)
+    for i in range(0, len(a), 8192):
+        x, y = a[i:i + 8192], b[i:i + 8192]
+        out[i:i + 8192] = np.where((x[:, :, None] == y[:, None, :]).any(axis=2), x, NO_BUCKET).min(axis=1)
+    return out
+
+
+def _search_block(name: int, block: tuple[int, int], ids, comp, size, vec, part, low, percent: int, limit: int | None):
+    """Pairs of different components of one block of a bucket that may link and that no other
+    block proposes."""
     tree = CountRTree(vec, size)
     qa, qb, qo = [], [], []
     for i in range(0, len(ids), 256):
         a, b, o = tree.search(vec[i:i + 256], size[i:i + 256], percent)
         a = a + i
-        ok = comp[a] < comp[b]
+        ok = ((comp[a] < comp[b]) & (np.minimum(part[a], part[b]) == block[0]) & (np.maximum(part[a], part[b]) == block[1]))
+        a, b, o = a[ok], b[ok], o[ok]
+        home = first_shared(low[a], low[b])
+        ok = (home == name) | (home == NO_BUCKET)
         qa.append(a[ok])
         qb.append(b[ok])
         qo.append(o[ok])
@@ -333,21 +357,40 @@ def _search_bucket(ids, comp, size, vec, percent: int, limit: int | None):
     return ids[a], ids[b]
 
 
-def _search_buckets(p: JaccardJoin, limit: int | None):
-    """Rows (bucket, id, comp, n, vec) sorted by bucket to candidate pairs (a, b)."""
+def _search_blocks(p: JaccardJoin, limit: int | None):
+    """Rows (block, bucket, x, y, id, comp, n, part, low, vec) sorted by block, bucket, x and y to
+    candidate pairs (a, b)."""
     def run(batches):
         for t in whole_keys(batches):
-            bucket = t.column(0).to_numpy()
-            ids, comp, size = (t.column(i).to_numpy() for i in (1, 2, 3))
-            vec = np.stack([fold(np.frombuffer(v.as_buffer(), np.int32), p.dims) for v in t.column(4)])
-            cut = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1], [True]]))
+            where = np.stack([t.column(i).to_numpy() for i in range(4)])
+            ids, comp, size, part = (t.column(i).to_numpy() for i in range(4, 8))
+            low = np.full((len(ids), p.low_buckets), NO_BUCKET, np.int64)
+            for i, x in enumerate(t.column(8).to_pylist()):
+                low[i, :len(x)] = x
+            vec = np.stack([fold(np.frombuffer(v.as_buffer(), np.int32), p.dims) for v in t.column(9)])
+            cut = np.flatnonzero(np.concatenate([[True], (where[:, 1:] != where[:, :-1]).any(axis=0), [True]]))
             for i, j in zip(cut[:-1], cut[1:]):
                 if j - i > 1:
-                    a, b = _search_bucket(ids[i:j], comp[i:j], size[i:j], vec[i:j], p.percent, limit)
+                    _, name, x, y = (int(v) for v in where[:, i])
+                    a, b = _search_block(name, (x, y), ids[i:j], comp[i:j], size[i:j], vec[i:j], part[i:j], low[i:j],
+                                         p.percent, limit)
                     yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
     return run
 
 
+def _blocks(named: DataFrame, nodes: DataFrame, low: DataFrame, p: JaccardJoin) -> DataFrame:
+    """Members (bucket, id, comp) of the buckets that hold several components, as rows of
+    ``_search_blocks``: a bucket of more than ``block_members`` is dealt into parts, and each pair
+    of parts (x <= y) is a block, so no task holds more than two parts of a bucket."""
+    mixed = (named.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("m"))
+             .where("lo < hi").select("bucket", F.ceil(F.col("m") / p.block_members).cast("int").alias("parts")))
+    rows = (named.join(mixed, "bucket").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+            .withColumn("x", F.least("part", "other")).withColumn("y", F.greatest("part", "other")))
+    return (rows.join(nodes.select("id", "n", "vec"), "id").join(low, "id")
+            .select(F.xxhash64("bucket", "x", "y").alias("block"), "bucket", "x", "y", "id", "comp", "n", "part", "low", "vec"))
+
+
 # -- the join -------------------------------------------------------------------------------
 
 def _points(docs: DataFrame, p: JaccardJoin) -> DataFrame:
@@ -431,16 +474,16 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
              .select(F.least("ia", "ib").alias("a"), F.greatest("ia", "ib").alias("b")).where("a <> b").distinct())
     members = written(matched.where("kind = 1").select(F.col("a").alias("bucket"), F.col("b").alias("_k")).distinct()
                       .join(of, "_k").select("bucket", "id"), "jaccard-members")
+    low = written(members.groupBy("id").agg(F.slice(F.sort_array(F.collect_list("bucket")), 1, p.low_buckets).alias("low")),
+                  "jaccard-low")
     edges = written(_verified(src, written(_bounded(pairs, nodes, p), "jaccard-pairs"), p), "jaccard-edges")
     label = components(edges)
     for limit in (p.first_pairs, None):
         named = (members.join(label, "id", "left")
                  .select("bucket", "id", F.coalesce("component", "id").alias("comp")))
-        mixed = named.groupBy("bucket").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("bucket")
-        rows = (named.join(mixed, "bucket", "left_semi").join(nodes.select("id", "n", "vec"), "id")
-                .select("bucket", "id", "comp", "n", "vec"))
-        found = map_arrow(rows.repartition(width, "bucket").sortWithinPartitions("bucket"),
-                          _search_buckets(p, limit), "a long, b long")
+        rows = _blocks(named, nodes, low, p)
+        found = map_arrow(rows.repartition(width, "block").sortWithinPartitions("block", "bucket", "x", "y"),
+                          _search_blocks(p, limit), "a long, b long")
         found = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         found = written(_bounded(found, nodes, p), "jaccard-found")
         if found.isEmpty():

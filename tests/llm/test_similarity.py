@@ -9,7 +9,9 @@ import pytest
 
 from livemetrics.llm.components import components
 from livemetrics.llm.decontaminate import Containment, find_contaminated, remove_contaminated
-from livemetrics.llm.jaccard_join import CountRTree, JaccardJoin, jaccard_components, keep_first
+from livemetrics.llm.jaccard_join import (
+    NO_BUCKET, CountRTree, JaccardJoin, first_shared, jaccard_components, keep_first,
+)
 from livemetrics.llm.suffix_dedup import SuffixDedup, dedup_substrings, repeats_in_shard
 from tests.llm.helpers import DOC_SCHEMA, LOWER, docs_frame, edge_rows, prose, words
 
@@ -120,11 +122,12 @@ def near_rows(n_copies=25):
     return rows
 
 
-@pytest.mark.parametrize("n,percent", [(3, 90), (5, 80)])
-def test_components_match_brute_force(spark, n, percent):
+@pytest.mark.parametrize("n,percent,members,low", [(3, 90, 4096, 16), (5, 80, 4096, 16), (5, 80, 6, 1)])
+def test_components_match_brute_force(spark, n, percent, members, low):
     rows = near_rows() + [(2000, None), (2001, ""), (2002, "Two words"), (2003, "two WORDS"), (2003, "two WORDS"),
                           (2004, "one"), (2005, prose(8, 20_000)), (2006, prose(8, 20_000) + " x")]
-    out = jaccard_components(docs_frame(spark, rows + [(None, "alone here now then")]), p=JaccardJoin(words=n, percent=percent, first_pairs=1)).collect()
+    p = JaccardJoin(words=n, percent=percent, first_pairs=1, block_members=members, low_buckets=low)
+    out = jaccard_components(docs_frame(spark, rows + [(None, "alone here now then")]), p=p).collect()
     comp = brute_components(rows, n, percent)
     assert len(out) == len(rows) + 1
     by_text = {}
@@ -155,6 +158,12 @@ def test_rtree_loses_no_pair():
     assert (over[a, b] == bound).all()
 
 
+def test_first_shared_value_of_two_lists():
+    a = np.array([[1, 4, 9], [2, 5, NO_BUCKET], [3, NO_BUCKET, NO_BUCKET]])
+    b = np.array([[0, 4, 9], [1, 6, NO_BUCKET], [1, 3, 7]])
+    assert first_shared(a, b).tolist() == [4, NO_BUCKET, 3]
+
+
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(100, 140)] + [(1, k) for k in range(2, 30)] + [(30, 29), (7, 7), (500, 400)]
     got = {r.id: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
