@@ -11,7 +11,11 @@ The cut is exact: blocks whose terminal capacity exceeds all their edges are dec
 (their edges turn into terminal capacities of the neighbours, which is repeated), and a
 max-flow by shortest augmenting paths settles what remains.
 
-Scale: one scan, one page at a time, no shuffle; memory is bounded by the largest page.
+Elements that wrap half of the page's text and its title (or, for a form, a paragraph) do not
+mark what they hold as boilerplate.
+
+Scale: one scan, one page at a time, no shuffle; memory is bounded by the largest page, and
+cutting and scoring its blocks takes time linear in it.
 
 Defined edge results: null or empty html, or a page without content blocks: empty text;
 unclosed or cut-off tags, comments and scripts end with the page; a null ``page_id`` or url
@@ -23,7 +27,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
-from collections import deque
+from collections import Counter, deque
 from dataclasses import dataclass
 from typing import NamedTuple
 
@@ -63,6 +67,9 @@ notice notices notification overlay pager pagination popup privacy promo promote
 replies reply respond search share sharing sidebar sidenav signup skip social sponsor sponsored subscribe tags
 toast toolbar topbar warning widget widgets""".split())
 GOOD_NAMES = frozenset("article articlebody body content entry main maincontent post story text".split())
+# Bad words that may as well belong to the main part, and the words of layout that say so.
+EITHER_NAMES = frozenset("dialog form legal message response search".split())
+LAYOUT_NAMES = frozenset("article body content layout main page post wrapper".split())
 BAD_TAGS = frozenset("nav footer aside form menu dialog button fieldset search head".split())
 _WORDING = re.compile(r"©|all rights reserved|\bcookies?\b|\bsubscribe\b|\bsign (?:in|up)\b|\blog ?in\b|privacy policy"
                       r"|terms of (?:use|service)|\badvertisement\b|\bsponsored\b", re.I)
@@ -88,40 +95,55 @@ class CutWeights:
 
 class Block(NamedTuple):
     text: str
-    tags: tuple[str, ...]                    # open elements
-    names: frozenset[str]                    # words of their class, id and role names
-    path: tuple[int, ...]                    # element numbers of the open elements
+    element: int                             # innermost open element (0: the page)
     link_share: float
 
 
-class _Open(NamedTuple):
+class Element(NamedTuple):
     tag: str
-    number: int
-    names: frozenset[str]
-    hidden: bool
+    parent: int
+    depth: int
+    names: frozenset[str]                    # words of its class, id and role
 
 
-def _names(attr: str) -> frozenset[str]:
-    found = [x for m in _HINT.findall(attr) for x in m if x]
-    return frozenset(p.lower() for x in found for p in _PART.findall(x)) if found else frozenset()
+class Evidence(NamedTuple):
+    """What an element's tag and names, and those of the elements around it, say."""
+    article: bool = False                    # inside an article element
+    good_tag: bool = False
+    bad_tag: bool = False
+    good_name: bool = False
+    bad_name: bool = False
 
 
-def page_blocks(page: str) -> list[Block]:
-    """Text blocks of a page in order, scripts, styles, comments and hidden parts left out."""
+def _names(attr: str) -> frozenset[str]:
+    """Words of the class, id and role names; in a name that also has a word of layout, words
+    that may mean either ("message-body", "search-layout") say nothing."""
+    out: set[str] = set()
+    for m in _HINT.findall(attr):
+        for name in "".join(m).split():
+            parts = {p.lower() for p in _PART.findall(name)}
+            out |= parts - EITHER_NAMES if not parts.isdisjoint(LAYOUT_NAMES) else parts
+    return frozenset(out)
+
+
+def parse_page(page: str) -> tuple[list[Block], list[Element]]:
+    """Text blocks of a page in order, scripts, styles, comments and hidden parts left out, and
+    its elements (number 0 is the page).  Time is linear in the page: what is open is counted,
+    never listed per block."""
     out: list[Block] = []
-    stack: list[_Open] = []
+    elements = [Element("", 0, 0, frozenset())]
+    stack: list[tuple[int, str, bool]] = []  # (element, tag, hidden)
+    opened: Counter[str] = Counter()
     pieces: list[str] = []
-    linked = plain = number = 0
+    linked = plain = hidden = 0
 
     def close() -> None:
         nonlocal linked, plain
         if pieces:
             text = " ".join("".join(pieces).split())
-            if text and not any(o.hidden for o in stack):
-                names = frozenset().union(*[o.names for o in stack]) if stack else frozenset()
+            if text and not hidden:
                 whole = linked + plain
-                out.append(Block(text, tuple(o.tag for o in stack), names, tuple(o.number for o in stack),
-                                 linked / whole if whole else 0.0))
+                out.append(Block(text, stack[-1][0] if stack else 0, linked / whole if whole else 0.0))
             pieces.clear()
         linked = plain = 0
 
@@ -130,14 +152,27 @@ def page_blocks(page: str) -> list[Block]:
         s = html_lib.unescape(raw) if "&" in raw else raw
         pieces.append(s)
         if s and not s.isspace():
-            if any(o.tag == "a" for o in stack):
+            if opened["a"]:
                 linked += len(s)
             else:
                 plain += len(s)
 
     def pop_to(i: int) -> None:
+        nonlocal hidden
+        for _, tag, gone in stack[i:]:
+            opened[tag] -= 1
+            hidden -= gone
         del stack[i:]
 
+    def pop_nearest(tags: tuple[str, ...], stops) -> None:
+        """Close the innermost open element of ``tags``, unless one of ``stops`` is further in."""
+        if any(opened[t] for t in tags):
+            for i in range(len(stack) - 1, -1, -1):
+                if stack[i][1] in tags:
+                    return pop_to(i)
+                if stack[i][1] in stops:
+                    return
+
     at = 0
     for m in _TOKEN.finditer(page):
         if m.start() > at:
@@ -155,59 +190,78 @@ def page_blocks(page: str) -> list[Block]:
         elif tag == "br":
             pieces.append(" ")
         if m["end"]:
-            for i in range(len(stack) - 1, -1, -1):
-                if stack[i].tag == tag:
-                    pop_to(i)
-                    break
-                if not block and stack[i].tag in BLOCK:
-                    break                     # an inline end tag does not close a block
+            pop_nearest((tag,), () if block else BLOCK)      # an inline end tag does not close a block
             continue
         attr = m["attr"] or ""
         if block:
             if tag in ENDS_P:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag == "p":
-                        pop_to(i)
-                        break
-                    if stack[i].tag in BLOCK:
-                        break
-            scope = SELF_NESTING.get(tag)
-            if scope:
-                for i in range(len(stack) - 1, -1, -1):
-                    if stack[i].tag == tag or (tag in ("dt", "dd") and stack[i].tag in ("dt", "dd")) \
-                            or (tag in ("td", "th") and stack[i].tag in ("td", "th")):
-                        pop_to(i)
-                        break
-                    if stack[i].tag in scope:
-                        break
+                pop_nearest(("p",), BLOCK)
+            if tag in SELF_NESTING:
+                same = next((x for x in (("dt", "dd"), ("td", "th")) if tag in x), (tag,))
+                pop_nearest(same, SELF_NESTING[tag])
         if tag in VOID or attr.endswith("/") and tag not in BLOCK:
             continue
-        number += 1
         # page-wide elements carry layout names ("has-sidebar"): only good ones count there
         names = _names(attr) if "=" in attr else frozenset()
         if tag in ("html", "body", "main", "article"):
             names = names & GOOD_NAMES
-        stack.append(_Open(tag, number, names,
-                           bool(attr) and _HIDDEN.search(attr) is not None))
+        gone = bool(attr) and _HIDDEN.search(attr) is not None
+        parent = stack[-1][0] if stack else 0
+        stack.append((len(elements), tag, gone))
+        elements.append(Element(tag, parent, elements[parent].depth + 1, names))
+        opened[tag] += 1
+        hidden += gone
     if at < len(page):
         text_piece(page[at:])
     close()
+    return out, elements
+
+
+def page_blocks(page: str) -> list[Block]:
+    return parse_page(page)[0]
+
+
+def _wide(blocks: list[Block], elements: list[Element]) -> list[bool]:
+    """Page-wide wrappers: they hold half of the page's text and its first h1, or, for a form, a
+    paragraph of 12 words or more.  Their own tag and names do not mark boilerplate."""
+    chars, paragraph, title = [0] * len(elements), [False] * len(elements), [False] * len(elements)
+    first = True
+    for b in blocks:
+        chars[b.element] += len(b.text)
+        tag = elements[b.element].tag
+        if tag == "p" and b.text.count(" ") >= 11:
+            paragraph[b.element] = True
+        elif tag == "h1" and first:
+            title[b.element], first = True, False
+    for i in range(len(elements) - 1, 0, -1):                # children come after their parent
+        parent = elements[i].parent
+        chars[parent] += chars[i]
+        paragraph[parent] |= paragraph[i]
+        title[parent] |= title[i]
+    return [2 * c >= chars[0] and (t or p and e.tag == "form") for c, t, p, e in zip(chars, title, paragraph, elements)]
+
+
+def element_evidence(blocks: list[Block], elements: list[Element]) -> list[Evidence]:
+    """Evidence of every element, from its own tag and names and its parent's evidence."""
+    out = [Evidence()]
+    wide = _wide(blocks, elements)
+    for i, e in enumerate(elements[1:], 1):
+        up = out[e.parent]
+        bad = not wide[i] and (e.tag in BAD_TAGS or e.tag == "header" and not up.article)
+        out.append(Evidence(up.article or e.tag == "article", up.good_tag or e.tag in ("article", "main"), up.bad_tag or bad,
+                            up.good_name or not e.names.isdisjoint(GOOD_NAMES),
+                            up.bad_name or not wide[i] and not e.names.isdisjoint(BAD_NAMES)))
     return out
 
 
-def content_score(b: Block, w: CutWeights = CutWeights()) -> float:
+def content_score(b: Block, tag: str, e: Evidence, w: CutWeights = CutWeights()) -> float:
     """Evidence that a block is content: the difference of its two terminal capacities."""
-    tags = b.tags
     s = w.bias + w.links * b.link_share
-    good = w.good_tag * ("article" in tags or "main" in tags) + w.good_name * (not b.names.isdisjoint(GOOD_NAMES))
-    if not BAD_TAGS.isdisjoint(tags) or ("header" in tags and not ("article" in tags and tags.index("article") < tags.index("header"))):
-        s += w.bad_tag
-        good = 0.0                            # what stands in an aside is not the article around it
-    if not b.names.isdisjoint(BAD_NAMES):
-        s += w.bad_name
-        good = 0.0
-    s += good
-    if tags and tags[-1] in ("h1", "h2", "h3"):
+    if e.bad_tag or e.bad_name:               # what stands in an aside is not the article around it
+        s += w.bad_tag * e.bad_tag + w.bad_name * e.bad_name
+    else:
+        s += w.good_tag * e.good_tag + w.good_name * e.good_name
+    if tag in ("h1", "h2", "h3"):
         s += w.heading
     n = b.text.count(" ") + 1
     if n >= 12:
@@ -221,22 +275,24 @@ def content_score(b: Block, w: CutWeights = CutWeights()) -> float:
     return s
 
 
-def _distance(a: tuple[int, ...], b: tuple[int, ...]) -> int:
+def _distance(elements: list[Element], a: int, b: int) -> int:
+    """Steps between two elements in the tree; over neighbouring blocks this walks only what was
+    closed and opened between them."""
     k = 0
-    for x, y in zip(a, b):
-        if x != y:
-            break
-        k += 1
-    return len(a) + len(b) - 2 * k
+    while a != b:
+        if elements[a].depth < elements[b].depth:
+            a, b = b, a
+        a, k = elements[a].parent, k + 1
+    return k
 
 
-def smooth_edges(blocks: list[Block], w: CutWeights = CutWeights()) -> dict[tuple[int, int], float]:
+def smooth_edges(blocks: list[Block], elements: list[Element], w: CutWeights = CutWeights()) -> dict[tuple[int, int], float]:
     edges: dict[tuple[int, int], float] = {}
-    last: dict[tuple[int, ...], int] = {}
+    last: dict[int, int] = {}
     for i, b in enumerate(blocks):
         if i:
-            edges[i - 1, i] = w.adjacent / max(1, _distance(blocks[i - 1].path, b.path))
-        parent = b.path[:-1]
+            edges[i - 1, i] = w.adjacent / max(1, _distance(elements, blocks[i - 1].element, b.element))
+        parent = elements[b.element].parent
         j = last.get(parent)
         if j is not None:
             edges[j, i] = edges.get((j, i), 0.0) + w.sibling
@@ -307,8 +363,10 @@ def main_text(page: str | None, w: CutWeights = CutWeights()) -> str:
     """The article of one page: its content blocks joined by newlines."""
     if not page:
         return ""
-    blocks = page_blocks(page)
-    keep = min_cut([content_score(b, w) for b in blocks], smooth_edges(blocks, w))
+    blocks, elements = parse_page(page)
+    said = element_evidence(blocks, elements)
+    score = [content_score(b, elements[b.element].tag, said[b.element], w) for b in blocks]
+    keep = min_cut(score, smooth_edges(blocks, elements, w))
     return "\n".join(b.text for b, k in zip(blocks, keep) if k)
 
 

@@ -74,3 +74,24 @@ def test_pages_table(spark):
     assert dict((i, t) for i, _, t in want)[1] == f"Head\n{LONG}" and dict((i, t) for i, _, t in want)[None] == ""
     assert len(dict((i, t) for i, _, t in want)[4].split("\n")) == 2000
     assert extract_pages(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("around", ['<div class="message-body">%s</div>', '<body><form id="aspnetForm">%s</form></body>',
+                                    '<div class="search-layout"><div id="content">%s</div></div>'])
+@pytest.mark.parametrize("title", ["", "<h1>A title</h1>"])
+def test_names_and_forms_around_the_whole_article_are_neutral(around, title):
+    text = "This is a long sentence of the article with many words in it indeed. " * 3
+    assert main_text(around % f"{title}<p>{text}</p>") == "\n".join(["A title"] * bool(title) + [text.strip()])
+
+
+def test_comments_and_small_forms_still_go():
+    text = "This is a long sentence of the article with many words in it indeed. " * 9
+    other = "<p>Somebody wrote a longer remark here that is no part of the article above at all.</p>"
+    for rest in ('<div class="comment-body">%s</div>', '<div class="comments"><div class="message">%s</div></div>',
+                 '<form class="newsletter">%s</form>', '<div class="search-form">%s</div>'):
+        assert main_text(f"<h1>A title</h1><p>{text}</p>" + rest % other) == "A title\n" + text.strip()
+
+
+def test_many_open_elements_take_linear_time():
+    assert len(page_blocks("<div class=x>word " * 60_000)) == 60_000
+    assert len(page_blocks("<b class=x>word </i><li>" * 60_000)) == 60_000
