@@ -14,9 +14,13 @@ no pair is produced twice, and a session of any length - a corrupt end far in th
 stream of many days - costs one row per day.  Nothing is dropped, capped or switched by
 size, and building the query runs no job.
 
-A busy room spreads over its buckets; ``salt`` further splits every (key, bucket): events
-are dealt into ``salt`` parts by hash and the few session rows are repeated for each.
-AQE's skew-join splitting applies on top.
+A busy room spreads over its buckets, and AQE's skew-join splitting deals a busy partition to
+several tasks.  ``salt`` further splits every (key, bucket) at a fixed cost: events are dealt into
+``salt`` parts by hash and every session row is repeated for each, so it is for few sessions only.
+
+Both sides are shuffled (a merge join).  Spark sizes the laid-out sessions by their input, before
+the rows of the layout, and so would collect them on the driver and broadcast them when they are
+many times the broadcast threshold.
 """
 
 from __future__ import annotations
@@ -69,4 +73,4 @@ def attribute(sessions: DataFrame, events: DataFrame, key: Sequence[str], start:
             s["_w"] == e["_eat"]["w"], s["_bk"] == e["_eat"]["b"], s["_salt"] == e["_esalt"]]
         drop += ["_salt", "_esalt"]
     cond.append(e[ts].between(s[start], s[end]))
-    return s.join(e, cond, "inner").drop(*drop)
+    return s.hint("merge").join(e, cond, "inner").drop(*drop)
