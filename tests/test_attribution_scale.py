@@ -1,13 +1,16 @@
 """What the band join of a broadcast to its events moves: laid-out broadcasts are never collected
-and broadcast."""
+and broadcast, and no broadcast is repeated beyond its own time buckets."""
 
 import datetime as dt
 
 from pyspark.sql import functions as F
 
 from livemetrics.operators.attribution import attribute
+from livemetrics.plans import play_time
 
 T = dt.datetime
+LOG = "date string, roomid string, deviceid string, ip string, ostype string, playduration string, " \
+      "stuckduration string, createtime string"
 
 
 def _plan(df):
@@ -24,3 +27,26 @@ def test_laid_out_sessions_are_not_broadcast(spark, tmp_path):
     p = _plan(j)
     assert "BroadcastExchange" not in p and "SortMergeJoin" in p
     assert j.agg(F.count(F.lit(1))).first()[0] > 0
+
+
+def test_a_broadcast_costs_one_row_per_bucket(spark):
+    """The plans of I2, I4, I5 and I6 repeat a broadcast for its buckets only."""
+    iv = spark.createDataFrame([(7, T(2024, 1, 1, 10, 1), T(2024, 1, 1, 10, 50))], "room_id long, begin_time timestamp, end_time timestamp")
+    ms = str(int((T(2024, 1, 1, 10, 30) - T(1970, 1, 1)).total_seconds() * 1000))
+    log = spark.createDataFrame([("20240101", "7", "d", "", "PC", "60000", "0", ms)], LOG)
+    seen = []
+    joined = play_time.attribute
+
+    def watched(s, e, *a, **k):
+        j = joined(s, e, *a, **k)
+        seen.append(j)
+        return j
+
+    play_time.attribute = watched
+    try:
+        r = play_time.session_watch(iv, log).first()
+    finally:
+        play_time.attribute = joined
+    assert (r.vv, r.vv_device, r.play_duration) == (1, 1, 1)
+    p = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert p.count("Generate explode") == 2                 # buckets of the broadcast, widths of the event
