@@ -63,7 +63,9 @@ def user_transaction_range(grain: DataFrame, first, last) -> DataFrame:
 
     What a user's profile shows changes only on the user's own trade days (``epochs``): strings and
     extreme days are computed there and hold until the next one.  The rolling totals are sums of
-    daily totals dealt to the report days that see them.
+    daily totals dealt to the report days that see them, then one map per user, at most an entry per
+    report day.  The states are spread over the report days last, after the last exchange: what is
+    shuffled has a row per user and epoch, and a user's rows, mostly alike, are written together.
     """
     a, b = dt.date.fromisoformat(str(first)), dt.date.fromisoformat(str(last))
     lo, hi = F.lit(a), F.lit(b)
@@ -80,8 +82,7 @@ def user_transaction_range(grain: DataFrame, first, last) -> DataFrame:
     so_far = Window.partitionBy("user_id").orderBy("epoch")
     t2 = steps.select("user_id", "epoch", F.max("_most").over(so_far).alias("_most"), F.min("_first").over(so_far).alias("_first"),
                       F.date_sub(F.coalesce(F.lead("epoch").over(so_far), F.date_add(hi, 1)), 1).alias("_until"))
-    states = (t2.join(t3, ["user_id", "epoch"], "left").join(t4, ["user_id", "epoch"], "left")
-                .withColumn("day", F.explode(F.sequence("epoch", "_until"))))
+    states = t2.join(t3, ["user_id", "epoch"], "left").join(t4, ["user_id", "epoch"], "left")
 
     widest = max(ROLLING.values())
     recent = daily.where(F.col("day") >= F.lit(a - dt.timedelta(days=widest)))
@@ -90,11 +91,13 @@ def user_transaction_range(grain: DataFrame, first, last) -> DataFrame:
     t1 = seen.groupBy("user_id", "day").agg(*[
         round_half_up(F.sum(F.when(F.date_diff("day", "_spent") <= n, F.col("amount")).otherwise(F.lit(0))), 2).alias(name)
         for name, n in ROLLING.items()])
+    totals = t1.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("day", F.struct(*ROLLING)))).alias("_totals"))
 
-    j = states.join(t1, ["user_id", "day"], "left")
+    j = (states.join(totals, "user_id", "left").withColumn("day", F.explode(F.sequence("epoch", "_until")))
+               .withColumn("_t", F.col("_totals")[F.col("day")]))
     out = [F.date_format("day", "yyyy-MM-dd").alias("date"), "user_id"]
     for c, p in (("day_total", "day_prange"), ("week_total", "week_prange"), ("month_total", "month_prange")):
-        out += [F.coalesce(F.col(c), F.lit(0.0)).alias(c), tier(c).alias(p)]
+        out += [F.coalesce(F.col(f"_t.{c}"), F.lit(0.0)).alias(c), tier(F.col(f"_t.{c}")).alias(p)]
     return j.select(*out, F.date_format("_most.d", "yyyy-MM-dd").alias("most_spent_day"),
                     round_half_up(F.col("_most.a"), 2).alias("most_spent_amount"),
                     F.date_format("_first.d", "yyyy-MM-dd").alias("first_spent_day"),

@@ -98,3 +98,19 @@ def test_the_plan_of_a_range_does_not_grow_with_the_days(spark):
     sizes = {n: len(user_transaction_range(grain, D - dt.timedelta(n), D)._jdf.queryExecution().optimizedPlan().toString().splitlines())
              for n in (1, 300)}
     assert sizes[1] == sizes[300]
+
+
+def test_a_range_is_spread_over_its_days_last(spark):
+    """Nothing is exchanged or joined once a user's state has been repeated for every report day."""
+    from livemetrics.plans.user_profile import trade_grain, user_transaction_range
+    rows = [tr(D - dt.timedelta(9), 1, "600.00", item=3), tr(D - dt.timedelta(2), 1, "7.00", item=4), tr(D, 2, "1.00"),
+            (D - dt.timedelta(1), "", 1, None, None, 5, 1, Decimal("3.00"), 1, "platform")]
+    grain = trade_grain(spark.createDataFrame(rows, TR), D, "2015-06-01")
+    out = user_transaction_range(grain, D - dt.timedelta(3), D)
+    above = out._jdf.queryExecution().executedPlan().toString().split("Generate explode(sequence(epoch")[0]
+    assert "Exchange" not in above and "Join" not in above
+    got = {(r.user_id, r.date): (r.day_total, r.week_total, r.month_total, r.most_spent_day) for r in out.collect()}
+    assert got == {(1, "2024-03-28"): (0.0, 600.0, 600.0, "2024-03-22"), (1, "2024-03-29"): (7.0, 607.0, 607.0, "2024-03-22"),
+                   (1, "2024-03-30"): (0.0, 7.0, 607.0, "2024-03-22"), (1, "2024-03-31"): (0.0, 7.0, 607.0, "2024-03-22"),
+                   (2, "2024-03-31"): (1.0, 1.0, 1.0, "2024-03-31"),
+                   (None, "2024-03-30"): (0.0, 0.0, 0.0, "2024-03-30"), (None, "2024-03-31"): (0.0, 0.0, 0.0, "2024-03-30")}
