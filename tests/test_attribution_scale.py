@@ -29,24 +29,37 @@ def test_laid_out_sessions_are_not_broadcast(spark, tmp_path):
     assert j.agg(F.count(F.lit(1))).first()[0] > 0
 
 
-def test_a_broadcast_costs_one_row_per_bucket(spark):
-    """The plans of I2, I4, I5 and I6 repeat a broadcast for its buckets only."""
-    iv = spark.createDataFrame([(7, T(2024, 1, 1, 10, 1), T(2024, 1, 1, 10, 50))], "room_id long, begin_time timestamp, end_time timestamp")
-    ms = str(int((T(2024, 1, 1, 10, 30) - T(1970, 1, 1)).total_seconds() * 1000))
-    log = spark.createDataFrame([("20240101", "7", "d", "", "PC", "60000", "0", ms)], LOG)
-    seen = []
-    joined = play_time.attribute
+def _joined(make):
+    """The row of ``make()`` and the band join it made."""
+    seen, joined = [], play_time.attribute
 
-    def watched(s, e, *a, **k):
-        j = joined(s, e, *a, **k)
-        seen.append(j)
-        return j
+    def watched(*a, **k):
+        seen.append(joined(*a, **k))
+        return seen[-1]
 
     play_time.attribute = watched
     try:
-        r = play_time.session_watch(iv, log).first()
+        return make().first(), seen[0]._jdf.queryExecution().optimizedPlan().toString()
     finally:
         play_time.attribute = joined
+
+
+def _interval(spark):
+    return spark.createDataFrame([(7, T(2024, 1, 1, 10, 1), T(2024, 1, 1, 10, 50))], "room_id long, begin_time timestamp, end_time timestamp")
+
+
+def test_a_broadcast_costs_one_row_per_bucket(spark):
+    ms = str(int((T(2024, 1, 1, 10, 30) - T(1970, 1, 1)).total_seconds() * 1000))
+    log = spark.createDataFrame([("20240101", "7", "d", "", "PC", "60000", "0", ms)], LOG)
+    r, p = _joined(lambda: play_time.session_watch(_interval(spark), log))
     assert (r.vv, r.vv_device, r.play_duration) == (1, 1, 1)
-    p = seen[0]._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Generate explode") == 2                 # buckets of the broadcast, widths of the event
+
+
+def test_revenue_costs_one_row_per_bucket(spark):
+    trades = spark.createDataFrame([("2024-01-01 10:01:00", 7, 1, 3, 2, 10.5, 1, "platform"), ("2024-01-01 10:50:01", 7, 1, 3, 1, 1.0, 1, "platform")],
+                                   "tr_date string, room_id long, operator_id long, item_id long, item_num long, price double, "
+                                   "trade_status int, product_name string")
+    r, p = _joined(lambda: play_time.session_revenue(_interval(spark), trades))
+    assert (r.total_price, r.total_item_num, r.total_paying_user_num) == (10.5, 2, 1)
+    assert p.count("Generate explode") == 2
