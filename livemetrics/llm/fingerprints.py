@@ -105,20 +105,26 @@ def fingerprint(text: Column) -> Column:
 
 def likeness(a: Column, b: Column) -> Column:
     """Estimated similarity (0 to 1) of two fingerprints: the share of agreeing bins, less what agrees by
-    chance.  32 bits at a time: digits that differ leave a bit in their lowest place."""
+    chance.  32 bits at a time: digits that differ leave a bit in their lowest place.  Both fingerprints are
+    bound to a name first: each use of a column repeats its whole expression in the plan."""
     step = 8
 
-    def differing(acc: Column, at: Column) -> Column:
-        x, y = (F.conv(F.substring(c, at, F.lit(step)), 16, 10).cast("long") for c in (a, b))
-        d = x.bitwiseXOR(y)
-        d = d.bitwiseOR(F.shiftright(d, 1))
-        d = d.bitwiseOR(F.shiftright(d, 2))  # any of a digit's four bits is in its lowest one now
-        return acc + F.bit_count(d.bitwiseAND(F.lit(0x11111111)))
-
-    same = F.lit(BINS) - F.aggregate(F.sequence(F.lit(1), F.lit(BINS), F.lit(step)), F.lit(0), differing)
-    chance = 2.0 ** -BITS
-    corrected = F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance))
-    return F.when((a == "") | (b == ""), F.when(a == b, 1.0).otherwise(0.0)).when(a == b, 1.0).otherwise(corrected)
+    def of(pair: Column) -> Column:
+        a, b = pair["a"], pair["b"]
+
+        def differing(acc: Column, at: Column) -> Column:
+            x, y = (F.conv(F.substring(c, at, F.lit(step)), 16, 10).cast("long") for c in (a, b))
+            d = x.bitwiseXOR(y)
+            d = d.bitwiseOR(F.shiftright(d, 1))
+            d = d.bitwiseOR(F.shiftright(d, 2))  # any of a digit's four bits is in its lowest one now
+            return acc + F.bit_count(d.bitwiseAND(F.lit(0x11111111)))
+
+        same = F.lit(BINS) - F.aggregate(F.sequence(F.lit(1), F.lit(BINS), F.lit(step)), F.lit(0), differing)
+        chance = 2.0 ** -BITS
+        corrected = F.greatest(F.lit(0.0), (same / F.lit(float(BINS)) - chance) / (1 - chance))
+        return F.when((a == "") | (b == ""), F.when(a == b, 1.0).otherwise(0.0)).when(a == b, 1.0).otherwise(corrected)
+
+    return F.element_at(F.transform(F.array(F.struct(a.alias("a"), b.alias("b"))), of), 1)
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
